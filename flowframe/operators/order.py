@@ -7,11 +7,11 @@ sends a whole series to one task, which breaks when there are no keys or when on
 key holds a large share of the rows.  The helpers here keep every task bounded:
 
 ``positions``
-    dense 0-based row position within each series.  The frame is range
-    partitioned on ``(keys, order)`` so a large series is spread over many
-    contiguous blocks; a row number inside ``(keys, block)`` plus the offset of
-    the block inside its series (a prefix sum over a table with one row per
-    ``(keys, block)``) gives the position.
+    dense 0-based row position within each series.  Rows are cut into contiguous
+    blocks of the ``(keys, order)`` sort key (bounds from a hash-chosen sample),
+    so a large series is spread over many blocks; a row number inside ``(keys,
+    block)`` plus the offset of the block inside its series (a prefix sum over a
+    table with one row per ``(keys, block)``) gives the position.
 
 ``with_halo`` / ``segment_window``
     bounded row frames (lag, lead, rolling n rows, EWM).  Rows are cut into
@@ -34,6 +34,7 @@ Segment length is read from the session conf ``flowframe.order.segmentRows``
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -98,27 +99,107 @@ def segment_rows(df: DataFrame) -> int:
     return conf_int(df.sparkSession, SEGMENT_CONF, DEFAULT_SEGMENT_ROWS)
 
 
+def _order_items(order) -> list[tuple[Column, bool]]:
+    """Order spec items: a name or Column (ascending) or ``(name, 'desc')``."""
+    items = []
+    for o in as_list(order):
+        if isinstance(o, tuple):
+            c, d = o
+            items.append((F.col(c) if isinstance(c, str) else c, str(d).lower() != "desc"))
+        else:
+            items.append((F.col(o) if isinstance(o, str) else o, True))
+    return items
+
+
+def sort_key(df: DataFrame, keys, order) -> Column:
+    """One STRUCT whose natural ordering is (keys, order) with missing values last.
+
+    Each item contributes (is-missing flag, value with missing replaced); a
+    descending numeric item is negated.  Comparing the struct is the total order
+    used for blocks and for row numbers, so both always agree.
+    """
+    fields = []
+    items = [(F.col(k), True) for k in as_list(keys)] + _order_items(order)
+    for i, (c, asc) in enumerate(items):
+        t = df.select(c.alias("_t")).schema[0].dataType.typeName()
+        if t in ("string", "binary"):
+            fill = F.lit("")
+        elif t in ("timestamp_ntz", "timestamp", "date"):
+            fill = F.lit("1970-01-01").cast(t if t != "timestamp" else "timestamp")
+        elif t == "boolean":
+            fill = F.lit(False)
+        else:
+            fill = F.lit(0)
+        v = F.coalesce(c, fill)
+        if not asc:
+            if t in ("string", "binary", "boolean"):
+                raise NotImplementedError("descending order on a non-numeric column")
+            v = -v.cast("double") if t not in ("timestamp_ntz", "timestamp", "date") else \
+                -epoch_micros(v)
+        fields += [c.isNull().alias(f"n{i}"), v.alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def block_bounds(df: DataFrame, sk: Column, n_blocks: int, per_block_sample: int = 32) -> Column:
+    """Sorted block boundaries (ARRAY of sort keys) as one scalar subquery.
+
+    The sample is chosen by a hash of the row's sort key, not by position, so the
+    bounds are the same however often and in whatever row order the input is
+    evaluated.  Its size is about ``n_blocks * per_block_sample`` keys.
+    """
+    n_rows = df.agg(F.count(F.lit(1))).scalar()
+    rate = F.greatest(F.lit(1), F.floor(n_rows / F.lit(n_blocks * per_block_sample)))
+    keyed = df.select(sk.alias("_sk"))
+    sample = keyed.where(F.pmod(F.xxhash64("_sk"), rate) == 0)
+    arr = sample.agg(F.sort_array(F.collect_list("_sk")).alias("a"))
+    picks = F.transform(
+        F.sequence(F.lit(1), F.lit(max(n_blocks - 1, 1))),
+        lambda i: F.try_element_at(F.col("a"), (F.floor(i * F.size("a") / F.lit(n_blocks)) + 1).cast("int")))
+    return arr.select(F.array_distinct(F.filter(picks, lambda x: x.isNotNull()))).scalar()
+
+
+def with_block(df: DataFrame, sk: str, bounds: Column, n_blocks: int, name: str = "_blk") -> DataFrame:
+    """Add ``name`` = number of bounds <= ``sk``, by a binary search unrolled into
+    ceil(log2 n)+1 projection steps (higher-order functions cannot reference the
+    bounds subquery)."""
+    steps = max(1, int(math.ceil(math.log2(max(n_blocks, 2)))) + 1)
+    d = df.withColumns({"_lo": F.lit(0), "_hi": F.size(bounds)})
+    for _ in range(steps):
+        lo, hi = F.col("_lo"), F.col("_hi")
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) <= F.col(sk))
+        left = (lo < hi) & ~(F.try_element_at(bounds, mid + 1) <= F.col(sk))
+        d = d.withColumns({"_lo": F.when(right, mid + 1).otherwise(lo),
+                           "_hi": F.when(left, mid).otherwise(hi)})
+    return d.withColumnRenamed("_lo", name).drop("_hi")
+
+
 def positions(df: DataFrame, keys, order, name: str = POS,
               blocks: int | None = None) -> DataFrame:
     """Add a dense 0-based position of each row within its series.
 
-    Three shuffles (range partition, block row numbers, block offsets) and no task
-    ever holds more than one block, whatever the size of a series.
+    Rows are cut into ``blocks`` contiguous ranges of the (keys, order) sort key
+    using sampled bounds; a row number inside ``(keys, block)`` plus the offset of
+    the block inside its series (exclusive prefix sum over a table with one row
+    per ``(keys, block)``) gives the position.  Block assignment is a pure
+    function of the row, so the two branches (row numbers, block counts) agree
+    even when evaluated separately or recomputed after an executor loss; no task
+    holds more than about one block, whatever the size of a series.
     """
     keys = as_list(keys)
-    order = as_order(order)
     spark = df.sparkSession
     n = blocks or conf_int(spark, BLOCKS_CONF, shuffle_partitions(spark))
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-                .withColumn("_blk", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_lpos", F.row_number().over(_window(keys, "_blk").orderBy(*order)) - 1)
-    blk = ranged.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
+    sk = sort_key(df, keys, order)
+    bounds = block_bounds(df, sk, n)
+    d = with_block(df.withColumn("_sk", sk), "_sk", bounds, n)
+    local = d.withColumn(
+        "_lpos", F.row_number().over(_window(keys, "_blk").orderBy("_sk")) - 1)
+    blk = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
     before = _window(keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blk = blk.select(*keys, "_blk", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
     out = join_on_keys(local, blk, [*keys, "_blk"])
     return (out.withColumn(name, (F.col("_off") + F.col("_lpos")).cast("long"))
-               .drop("_blk", "_lpos", "_off"))
+               .drop("_sk", "_blk", "_lpos", "_off"))
 
 
 def ensure_positions(df: DataFrame, keys, order, pos: str = POS) -> DataFrame:

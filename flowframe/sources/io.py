@@ -56,6 +56,7 @@ def list_files(spark: SparkSession, data_dir: str, pattern: str = "*.csv") -> li
     """File names under ``data_dir`` matching a glob, listed by Spark's file index
     (works on any Hadoop file system).  Only paths reach the driver."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", True)
              .load(data_dir).select("path"))
     return sorted(r.path for r in files.collect())
 
