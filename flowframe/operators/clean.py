@@ -61,6 +61,16 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean", keys=None
               .drop(*[f"_fill_{c}" for c in cols])
 
 
+def fill_both(df: DataFrame, keys, order, ffill_cols: Sequence[str] = (),
+              bfill_cols: Sequence[str] = ()) -> DataFrame:
+    """Forward fill some columns and backward fill others in one pass."""
+    d = O.positions(df, keys, order, "_fpos")
+    out = O.prefixes(d, keys, "_fpos", forward=[(f"_ff_{c}", "last", c) for c in ffill_cols],
+                     backward=[(f"_bf_{c}", "first", c) for c in bfill_cols])
+    ren = {**{c: F.col(f"_ff_{c}") for c in ffill_cols}, **{c: F.col(f"_bf_{c}") for c in bfill_cols}}
+    return out.withColumns(ren).drop(*[f"_ff_{c}" for c in ffill_cols], *[f"_bf_{c}" for c in bfill_cols], "_fpos")
+
+
 def ffill(df: DataFrame, keys, order, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """``ffill()``: last non-NULL value up to the row, per series."""
     d = O.positions(df, keys, order, "_ffpos")
@@ -87,8 +97,7 @@ def interpolate(df: DataFrame, keys, order, col: str, name: str | None = None) -
     d = O.positions(df, keys, order, "_ipos")
     pv = F.when(F.col(col).isNotNull(), F.struct(F.col("_ipos").alias("p"), F.col(col).cast("double").alias("v")))
     d = d.withColumn("_pv", pv)
-    d = O.forward_prefix(d, keys, "_ipos", [("_prev", "last", "_pv")])
-    d = O.backward_prefix(d, keys, "_ipos", [("_next", "first", "_pv")])
+    d = O.prefixes(d, keys, "_ipos", forward=[("_prev", "last", "_pv")], backward=[("_next", "first", "_pv")])
     a, p, b, q = F.col("_prev.v"), F.col("_prev.p"), F.col("_next.v"), F.col("_next.p")
     val = (F.when(F.col(col).isNotNull(), F.col(col).cast("double"))
             .when(F.col("_prev").isNull(), F.lit(None))

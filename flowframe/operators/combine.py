@@ -39,22 +39,24 @@ def merge_asof(left: DataFrame, right: DataFrame, on: str, by=None,
     """
     by = as_list(by)
     right_on = right_on or on
-    rcols = [c for c in right.columns if c not in by and c != right_on]
+    # the right time column is kept when its name differs from the left one
+    rcols = [c for c in right.columns if c not in by and not (c == right_on and right_on == on)]
     ro = right_order or right_on
     return _asof_union(left, right, on, right_on, by, rcols, ro, prefix)
 
 
 def _asof_union(left, right, on, right_on, by, rcols, ro, prefix):
     rtype = right.select(F.struct(*[F.col(f"`{c}`") for c in rcols]).alias("s")).schema[0].dataType
+    otype = dict(right.dtypes)[ro]
     lcols = left.columns
     lpart = left.select(
         *[F.col(f"`{c}`") for c in lcols],
         F.col(on).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
-        F.lit(None).cast("double").alias("_ro"), F.lit(None).cast(rtype).alias("_rv"))
+        F.lit(None).cast(otype).alias("_ro"), F.lit(None).cast(rtype).alias("_rv"))
     rpart = right.select(
         *[(F.col(f"`{c}`") if c in by else F.lit(None).cast(dict(left.dtypes)[c])).alias(c) for c in lcols],
         F.col(right_on).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_side"),
-        F.col(ro).cast("double").alias("_ro"),
+        F.col(ro).alias("_ro"),
         F.struct(*[F.col(f"`{c}`") for c in rcols]).alias("_rv"))
     u = lpart.unionByName(rpart)
     u = O.positions(u, by, [F.col("_t"), F.col("_side"), F.col("_ro")], "_apos")

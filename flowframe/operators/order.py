@@ -143,14 +143,14 @@ def sort_key(df: DataFrame, keys, order) -> Column:
 def block_bounds(df: DataFrame, sk: Column, n_blocks: int, per_block_sample: int = 32) -> Column:
     """Sorted block boundaries (ARRAY of sort keys) as one scalar subquery.
 
-    The sample is chosen by a hash of the row's sort key, not by position, so the
-    bounds are the same however often and in whatever row order the input is
-    evaluated.  Its size is about ``n_blocks * per_block_sample`` keys.
+    The sample is the ``n_blocks * per_block_sample`` rows with the smallest hash
+    of their sort key (a bottom-k sample: one pass, per-task top-k then merge),
+    so the bounds are the same however often and in whatever row order the input
+    is evaluated.
     """
-    n_rows = df.agg(F.count(F.lit(1))).scalar()
-    rate = F.greatest(F.lit(1), F.floor(n_rows / F.lit(n_blocks * per_block_sample)))
-    keyed = df.select(sk.alias("_sk"))
-    sample = keyed.where(F.pmod(F.xxhash64("_sk"), rate) == 0)
+    m = max(n_blocks, 1) * per_block_sample
+    sample = (df.select(sk.alias("_sk")).withColumn("_h", F.xxhash64("_sk"))
+                .orderBy("_h", "_sk").limit(m))
     arr = sample.agg(F.sort_array(F.collect_list("_sk")).alias("a"))
     picks = F.transform(
         F.sequence(F.lit(1), F.lit(max(n_blocks - 1, 1))),
@@ -280,12 +280,12 @@ def forward_prefix(df: DataFrame, keys, pos: str, specs: Iterable[tuple[str, str
     ``specs``: (out_name, kind, column) with kind in ``sum``, ``count``, ``max``,
     ``min``, ``last`` (last non-NULL value).
     """
-    return _prefix(df, keys, pos, list(specs), forward=True)
+    return prefixes(df, keys, pos, forward=specs)
 
 
 def backward_prefix(df: DataFrame, keys, pos: str, specs: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Aggregates from each row to the series end; kind ``first`` = next non-NULL."""
-    return _prefix(df, keys, pos, list(specs), forward=False)
+    return prefixes(df, keys, pos, backward=specs)
 
 
 _SEG_AGG = {
@@ -294,44 +294,49 @@ _SEG_AGG = {
 }
 
 
-def _prefix(df: DataFrame, keys, pos: str, specs, forward: bool) -> DataFrame:
+def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: Iterable = ()) -> DataFrame:
+    """Forward and backward unbounded frames in one pass: a running aggregate
+    inside each segment of ``B`` positions plus the exclusive prefix (suffix) of
+    the small per-segment table, joined back once."""
     keys = as_list(keys)
     d = df.withColumn("_seg", _seg_col(df, pos))
-    if forward:
-        inner = _window(keys, "_seg").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-        outer = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        inner = _window(keys, "_seg").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
-        outer = _window(keys).orderBy("_seg").rowsBetween(1, Window.unboundedFollowing)
-
     run_cols, seg_aggs, prev_cols, combine = {}, [], [], {}
-    for i, (name, kind, c) in enumerate(specs):
-        r, s, p = f"_r{i}", f"_s{i}", f"_p{i}"
+    jobs = [(s, True) for s in forward] + [(s, False) for s in backward]
+    for i, ((name, kind, c), fwd) in enumerate(jobs):
+        if fwd:
+            inner = _window(keys, "_seg").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+            outer = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+        else:
+            inner = _window(keys, "_seg").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
+            outer = _window(keys).orderBy("_seg").rowsBetween(1, Window.unboundedFollowing)
+        r, s_, p = f"_r{i}", f"_s{i}", f"_p{i}"
         if kind in ("last", "first"):
-            edge = F.last(c, ignorenulls=True) if forward else F.first(c, ignorenulls=True)
+            edge = F.last(c, ignorenulls=True) if fwd else F.first(c, ignorenulls=True)
             run_cols[r] = edge.over(inner)
-            # last (first) non-NULL value of the segment, by position
-            seg_aggs.append(_edge_nonnull(c, pos, forward).alias(s))
-            prev = (F.last(s, ignorenulls=True) if forward else F.first(s, ignorenulls=True)).over(outer)
+            seg_aggs.append(_edge_nonnull(c, pos, fwd).alias(s_))
+            prev = (F.last(s_, ignorenulls=True) if fwd else F.first(s_, ignorenulls=True)).over(outer)
             prev_cols.append(prev.alias(p))
             combine[name] = F.coalesce(F.col(r), F.col(p))
-        else:
+        elif kind in ("sum", "count"):
             run_cols[r] = _SEG_AGG[kind](c).over(inner)
-            seg_aggs.append(_SEG_AGG[kind](c).alias(s))
-            if kind in ("sum", "count"):
-                prev_cols.append(F.sum(s).over(outer).alias(p))
-                combine[name] = (F.col(r) + F.coalesce(F.col(p), F.lit(0))) if kind == "count" else \
-                    F.when(F.col(r).isNull() & F.col(p).isNull(), F.lit(None)).otherwise(
-                        F.coalesce(F.col(r), F.lit(0)) + F.coalesce(F.col(p), F.lit(0)))
+            seg_aggs.append(_SEG_AGG[kind](c).alias(s_))
+            prev_cols.append(F.sum(s_).over(outer).alias(p))
+            if kind == "count":
+                combine[name] = F.col(r) + F.coalesce(F.col(p), F.lit(0))
             else:
-                f = F.max if kind == "max" else F.min
-                g = F.greatest if kind == "max" else F.least
-                prev_cols.append(f(s).over(outer).alias(p))
-                combine[name] = g(F.col(r), F.col(p))  # greatest/least skip NULL
+                combine[name] = F.when(F.col(r).isNull() & F.col(p).isNull(), F.lit(None)).otherwise(
+                    F.coalesce(F.col(r), F.lit(0)) + F.coalesce(F.col(p), F.lit(0)))
+        else:
+            f = F.max if kind == "max" else F.min
+            g = F.greatest if kind == "max" else F.least
+            run_cols[r] = _SEG_AGG[kind](c).over(inner)
+            seg_aggs.append(_SEG_AGG[kind](c).alias(s_))
+            prev_cols.append(f(s_).over(outer).alias(p))
+            combine[name] = g(F.col(r), F.col(p))  # greatest/least skip NULL
     segs = d.groupBy(*keys, "_seg").agg(*seg_aggs)
     segs = segs.select(*keys, "_seg", *prev_cols)
     out = join_on_keys(d.withColumns(run_cols), segs, [*keys, "_seg"])
-    drop = [*run_cols, *[f"_p{i}" for i in range(len(specs))], "_seg"]
+    drop = [*run_cols, *[f"_p{i}" for i in range(len(jobs))], "_seg"]
     return out.withColumns(combine).drop(*drop)
 
 

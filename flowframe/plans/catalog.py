@@ -4,6 +4,7 @@ from flowframe.plans import registry
 from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_flagship,
     q_table,
+    q_clean,
 )
 
 REGISTRY = registry.REGISTRY

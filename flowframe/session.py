@@ -22,6 +22,7 @@ def get_spark(master: str | None = None, app: str = "flowframe",
         b = b.master(master)
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
