@@ -5,6 +5,7 @@ from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_flagship,
     q_table,
     q_clean,
+    q_time,
 )
 
 REGISTRY = registry.REGISTRY

@@ -9,7 +9,7 @@ from flowframe.operators import combine as E
 from flowframe.operators import group as G
 from flowframe.operators.stats import quantiles
 from flowframe.plans.q_table import EVENTS_NULLS, events_with_nulls
-from flowframe.plans.registry import query
+from flowframe.plans.registry import query, rnd
 from flowframe.sources.io import table as T
 
 # ---------------------------------------------------------------- D cleaning
@@ -30,14 +30,14 @@ def d02(spark, sf):
 FROM {EVENTS_NULLS}""", "T")
 def d03(spark, sf):
     d = D.impute(events_with_nulls(spark, sf), ["value"], "mean")
-    return d.select("event_id", F.round("value", 6).alias("value"))
+    return d.select("event_id", rnd("value", 6).alias("value"))
 
 
 @query("d03_impute_median", f"""SELECT event_id, ROUND(COALESCE(value, (SELECT quantile_cont(value, 0.5) FROM {EVENTS_NULLS})), 6) AS value
 FROM {EVENTS_NULLS}""", "T")
 def d03m(spark, sf):
     d = D.impute(events_with_nulls(spark, sf), ["value"], "median")
-    return d.select("event_id", F.round("value", 6).alias("value"))
+    return d.select("event_id", rnd("value", 6).alias("value"))
 
 
 EVENT_TYPE_NULLS = "(SELECT event_id, CASE WHEN event_id % 6 = 0 THEN NULL ELSE event_type END AS event_type, user_id FROM events)"
@@ -58,7 +58,7 @@ def d03f(spark, sf):
 def d03g(spark, sf):
     d = D.impute(events_with_nulls(spark, sf).select("event_id", "user_id", "value"), ["value"], "mean",
                  keys=["user_id"])
-    return d.select("event_id", "user_id", F.round("value", 6).alias("value"))
+    return d.select("event_id", "user_id", rnd("value", 6).alias("value"))
 
 
 @query("d04_ffill_bfill", f"""SELECT event_id, user_id,
@@ -86,7 +86,7 @@ SELECT event_id, user_id, ROUND(CASE WHEN value IS NOT NULL THEN value WHEN pp I
 def d05(spark, sf):
     e = events_with_nulls(spark, sf).select("event_id", "user_id", "ts", "value")
     e = D.interpolate(e, ["user_id"], ["ts"], "value")
-    return e.select("event_id", "user_id", F.round("value", 6).alias("value"))
+    return e.select("event_id", "user_id", rnd("value", 6).alias("value"))
 
 
 @query("d06_drop_duplicates_keep_first", """SELECT * FROM lineitem
@@ -148,7 +148,7 @@ def part_outlier(spark, sf):
 FROM {PART_OUTLIER}""", "T")
 def d11(spark, sf):
     d = D.cap_outliers(part_outlier(spark, sf), "price", 0.99)
-    return d.select("p_partkey", F.round("price", 6).alias("price"))
+    return d.select("p_partkey", rnd("price", 6).alias("price"))
 
 
 @query("d14_cut_equal_width", f"""
@@ -206,9 +206,9 @@ def e02m(spark, sf):
     o = T(spark, sf, "orders")
     d = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("revenue"))
     m = io.spine_of(o, "o_orderdate", "MS", "month_start").withColumn(
-        "gdp_growth", F.round(F.month("month_start") / 12.0, 6))
+        "gdp_growth", rnd(F.month("month_start") / 12.0, 6))
     out = E.merge_asof(d, m, on="day", right_on="month_start")
-    return out.select(F.col("day").cast("timestamp_ntz").alias("day"), F.round("revenue", 2).alias("revenue"),
+    return out.select(F.col("day").cast("timestamp_ntz").alias("day"), rnd("revenue", 2).alias("revenue"),
                       "gdp_growth")
 
 
@@ -218,9 +218,9 @@ b AS (SELECT s_nationkey AS nationkey, COUNT(*) AS n, ROUND(SUM(s_acctbal), 2) A
 SELECT a.nationkey, a.n AS n_cust, a.bal AS bal_cust, b.n AS n_supp, b.bal AS bal_supp FROM a LEFT JOIN b ON a.nationkey = b.nationkey""", "T")
 def e03(spark, sf):
     a = T(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("bal"))
+        F.count(F.lit(1)).alias("n"), rnd(F.sum("c_acctbal"), 2).alias("bal"))
     b = T(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("s_acctbal"), 2).alias("bal"))
+        F.count(F.lit(1)).alias("n"), rnd(F.sum("s_acctbal"), 2).alias("bal"))
     return E.join_suffix(a, b, ["nationkey"], "_cust", "_supp")
 
 
@@ -243,7 +243,7 @@ def e05(spark, sf):
     a = T(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"),
                                         F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"))
     b = T(spark, sf, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.round(F.avg("o_totalprice"), 6).alias("balance"), F.count(F.lit(1)).alias("n_orders"))
+        rnd(F.avg("o_totalprice"), 6).alias("balance"), F.count(F.lit(1)).alias("n_orders"))
     return E.combine_first(a, b, ["custkey"])
 
 
@@ -272,7 +272,7 @@ def line_nullkey(spark, sf):
 FROM {LINE_NULLKEY} WHERE l_returnflag IS NOT NULL GROUP BY 1""", "T")
 def f01(spark, sf):
     g = G.agg(line_nullkey(spark, sf), ["l_returnflag"], {"l_quantity": "mean"})
-    return g.withColumn("l_quantity_mean", F.round("l_quantity_mean", 6))
+    return g.withColumn("l_quantity_mean", rnd("l_quantity_mean", 6))
 
 
 @query("f02_groupby_multi_agg", """SELECT l_returnflag, l_linestatus, ROUND(AVG(l_quantity), 6) AS l_quantity_mean,
@@ -281,9 +281,9 @@ def f01(spark, sf):
 def f02(spark, sf):
     g = G.agg(T(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"],
               {"l_quantity": ["mean", "std", "min", "max"], "l_extendedprice": "sum"})
-    return g.withColumns({"l_quantity_mean": F.round("l_quantity_mean", 6),
-                          "l_quantity_std": F.round("l_quantity_std", 6),
-                          "l_extendedprice_sum": F.round("l_extendedprice_sum", 2)})
+    return g.withColumns({"l_quantity_mean": rnd("l_quantity_mean", 6),
+                          "l_quantity_std": rnd("l_quantity_std", 6),
+                          "l_extendedprice_sum": rnd("l_extendedprice_sum", 2)})
 
 
 @query("f03_named_agg", """SELECT o_orderpriority, ROUND(AVG(o_totalprice), 4) AS avg_price, COUNT(o_orderkey) AS n_orders,
@@ -291,7 +291,7 @@ def f02(spark, sf):
 def f03(spark, sf):
     g = G.named_agg(T(spark, sf, "orders"), ["o_orderpriority"], avg_price=("o_totalprice", "mean"),
                     n_orders=("o_orderkey", "count"), max_price=("o_totalprice", "max"))
-    return g.withColumn("avg_price", F.round("avg_price", 4))
+    return g.withColumn("avg_price", rnd("avg_price", 4))
 
 
 @query("f04_filter_groups", """SELECT * FROM orders WHERE o_custkey IN
@@ -304,21 +304,21 @@ def f04(spark, sf):
   ROUND(quantile_cont(l_extendedprice, 0.5), 6) AS q50, ROUND(quantile_cont(l_extendedprice, 0.9), 6) AS q90 FROM lineitem""", "T")
 def f05(spark, sf):
     q = quantiles(T(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], names=["q10", "q50", "q90"])
-    return q.select(*[F.round(c, 6).alias(c) for c in ("q10", "q50", "q90")])
+    return q.select(*[rnd(c, 6).alias(c) for c in ("q10", "q50", "q90")])
 
 
 @query("f05_quantiles_by_group", """SELECT l_suppkey, ROUND(quantile_cont(l_quantity, 0.25), 6) AS q25,
   ROUND(quantile_cont(l_quantity, 0.75), 6) AS q75 FROM lineitem GROUP BY 1""", "T")
 def f05g(spark, sf):
     q = quantiles(T(spark, sf, "lineitem"), "l_quantity", [0.25, 0.75], ["l_suppkey"], ["q25", "q75"])
-    return q.select("l_suppkey", F.round("q25", 6).alias("q25"), F.round("q75", 6).alias("q75"))
+    return q.select("l_suppkey", rnd("q25", 6).alias("q25"), rnd("q75", 6).alias("q75"))
 
 
 @query("f06_pivot_table_mean", """SELECT l_returnflag, ROUND(AVG(CASE WHEN l_linestatus = 'F' THEN l_quantity END), 6) AS F,
   ROUND(AVG(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 6) AS O FROM lineitem GROUP BY 1""", "T")
 def f06(spark, sf):
     p = G.pivot_table(T(spark, sf, "lineitem"), ["l_returnflag"], "l_linestatus", "l_quantity", "mean", ["F", "O"])
-    return p.select("l_returnflag", F.round("F", 6).alias("F"), F.round("O", 6).alias("O"))
+    return p.select("l_returnflag", rnd("F", 6).alias("F"), rnd("O", 6).alias("O"))
 
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -352,7 +352,7 @@ def f09(spark, sf):
 def f09u(spark, sf):
     segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     long = T(spark, sf, "customer").groupBy("c_nationkey", "c_mktsegment").agg(
-        F.round(F.sum("c_acctbal"), 2).alias("bal"))
+        rnd(F.sum("c_acctbal"), 2).alias("bal"))
     return G.unstack(long, ["c_nationkey"], "c_mktsegment", "bal", segs)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import windows as W
 from flowframe.operators.order import join_on_keys
-from flowframe.plans.registry import query
+from flowframe.plans.registry import query, rnd
 from flowframe.sources.io import table
 
 
@@ -26,10 +26,10 @@ def daily_revenue_features(orders: DataFrame) -> DataFrame:
                        "revenue", "month_demeaned").drop("_month")
     s = s.dropna(subset=["lag_30"])
     return s.select(
-        F.col("day").cast("timestamp_ntz").alias("day"), F.round("revenue", 2).alias("revenue"), F.round("lag_1", 2).alias("lag_1"),
-        F.round("lag_7", 2).alias("lag_7"), F.round("lag_30", 2).alias("lag_30"),
-        F.round("roll7d_mean", 4).alias("roll7d_mean"),
-        F.round("month_demeaned", 4).alias("month_demeaned"))
+        F.col("day").cast("timestamp_ntz").alias("day"), rnd("revenue", 2).alias("revenue"), rnd("lag_1", 2).alias("lag_1"),
+        rnd("lag_7", 2).alias("lag_7"), rnd("lag_30", 2).alias("lag_30"),
+        rnd("roll7d_mean", 4).alias("roll7d_mean"),
+        rnd("month_demeaned", 4).alias("month_demeaned"))
 
 
 FLAGSHIP_SQL = """

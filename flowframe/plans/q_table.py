@@ -9,7 +9,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from flowframe.operators import profile as P
 from flowframe.operators import select as S
 from flowframe.operators import sort as H
-from flowframe.plans.registry import query
+from flowframe.plans.registry import query, rnd
 from flowframe.sources import io
 from flowframe.sources.io import table as T
 
@@ -68,7 +68,7 @@ def a03(spark, sf):
          .agg(F.sum("o_totalprice").alias("v")))
     d = W.lags(d, [], "day", "v", [1], ["p"])
     res = d.select(F.col("day").cast("timestamp_ntz").alias("date"),
-                   F.round("v", 2).alias("actual"), F.round("p", 2).alias("predicted"))
+                   rnd("v", 2).alias("actual"), rnd("p", 2).alias("predicted"))
     path = io.write_csv(res, io.scratch_path(spark, "a03"))
     return io.read_csv(spark, path, schema="date TIMESTAMP_NTZ, actual DOUBLE, predicted DOUBLE")
 
@@ -111,7 +111,7 @@ def a07(spark, sf):
     s = io.spine_of(T(spark, sf, "orders"), "o_orderdate", "MS", "m")
     return s.select(F.col("m").cast("timestamp_ntz").alias("month_start"),
                     (F.year("m") * 100 + F.month("m")).cast("int").alias("yyyymm"),
-                    F.round(F.month("m") / 12.0, 6).alias("gdp_growth"))
+                    rnd(F.month("m") / 12.0, 6).alias("gdp_growth"))
 
 
 STATUS_DIM = [("F", "finished", 1), ("O", "open", 2), ("P", "pending", 3)]
@@ -158,7 +158,7 @@ def _describe_sql():
 @query("b02_describe_numeric", _describe_sql(), "T")
 def b02(spark, sf):
     d = P.describe(T(spark, sf, "lineitem"), LINE_NUM, [0.1, 0.5, 0.9])
-    return d.select("column", "count", *[F.round(c, 6).alias(c) for c in
+    return d.select("column", "count", *[rnd(c, 6).alias(c) for c in
                                           ("mean", "std", "min", "p10", "p50", "p90", "max")])
 
 
@@ -194,7 +194,7 @@ FROM e WHERE event_type IS NOT NULL GROUP BY 1""", "T")
 def b05(spark, sf):
     e = T(spark, sf, "events").withColumn("event_type", F.when(F.col("event_id") % 9 != 0, F.col("event_type")))
     vc = P.value_counts(e, "event_type", normalize=True)
-    return vc.withColumn("proportion", F.round("proportion", 6))
+    return vc.withColumn("proportion", rnd("proportion", 6))
 
 
 @query("b06_missing_counts", f"""
@@ -216,7 +216,7 @@ def _corr_sql():
 
 @query("b07_corr_matrix", _corr_sql(), "T")
 def b07(spark, sf):
-    return P.corr_matrix(T(spark, sf, "lineitem"), LINE_NUM).withColumn("r", F.round("r", 6))
+    return P.corr_matrix(T(spark, sf, "lineitem"), LINE_NUM).withColumn("r", rnd("r", 6))
 
 
 @query("b08_histogram_20", """
@@ -228,7 +228,7 @@ SELECT s.bin, ROUND(lo + (s.bin - 1) * (hi - lo) / 20, 6) AS lo, ROUND(lo + s.bi
   COALESCE(c.n, 0) AS count FROM s CROSS JOIN b LEFT JOIN c ON s.bin = c.bin""", "T")
 def b08(spark, sf):
     h = P.histogram(T(spark, sf, "part"), "p_retailprice", 20)
-    return h.select("bin", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), "count")
+    return h.select("bin", rnd("lo", 6).alias("lo"), rnd("hi", 6).alias("hi"), "count")
 
 
 @query("b09_box_stats_by_group", """
@@ -242,7 +242,7 @@ SELECT l.l_returnflag, ROUND(f.q1, 6) AS q1, ROUND(f.median, 6) AS median, ROUND
 FROM lineitem l JOIN f ON l.l_returnflag = f.l_returnflag GROUP BY l.l_returnflag, f.q1, f.median, f.q3""", "T")
 def b09(spark, sf):
     b = P.box_stats(T(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag")
-    return b.select("l_returnflag", *[F.round(c, 6).alias(c) for c in
+    return b.select("l_returnflag", *[rnd(c, 6).alias(c) for c in
                                       ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
                     F.col("outliers").cast("bigint").alias("outliers"))
 

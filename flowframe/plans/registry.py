@@ -34,3 +34,12 @@ def query(name: str, sql: str | None = None, check: str = "E"):
         REGISTRY[name] = Query(name, fn, sql, check if sql else "R")
         return fn
     return deco
+
+
+def rnd(c, digits: int):
+    """Round like the oracle: ``round(x * 10^d) / 10^d`` on the double value, so a
+    product landing on .5 rounds the same way on both sides."""
+    from pyspark.sql import functions as F
+    col = F.col(c) if isinstance(c, str) else c
+    k = float(10 ** digits)
+    return F.round(col * F.lit(k)) / F.lit(k)
