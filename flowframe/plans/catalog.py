@@ -6,6 +6,7 @@ from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_table,
     q_clean,
     q_time,
+    q_text,
 )
 
 REGISTRY = registry.REGISTRY
