@@ -7,6 +7,7 @@ from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_clean,
     q_time,
     q_text,
+    q_features,
 )
 
 REGISTRY = registry.REGISTRY
