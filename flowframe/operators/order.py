@@ -41,7 +41,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.session import conf_int, shuffle_partitions
+from flowframe.session import conf_int, shuffle_partitions  # noqa: F401 (re-exported)
 
 SEGMENT_CONF = "flowframe.order.segmentRows"
 BLOCKS_CONF = "flowframe.order.blocks"

@@ -40,26 +40,21 @@ def table_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
              percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """B2: ``describe(percentiles=)``: count, mean, std (ddof 1), min, exact
-    interpolated percentiles, max; one row per numeric column."""
+    interpolated percentiles, max; one row per numeric column.
+
+    The columns are unpivoted to (column, value) so every statistic, the exact
+    percentiles included, is one keyed pass for all columns together."""
     cols = list(cols or numeric_columns(df))
     ps = list(percentiles)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs)
-    # exact percentiles: distributed ranks, one scalar subquery per column
-    one = one.withColumns({f"q{i}": quantiles(df, F.col(f"`{c}`"), ps).select(
-        F.array(*[F.col(f"q{j}") for j in range(len(ps))])).scalar() for i, c in enumerate(cols)})
     pname = [f"p{int(round(p * 100))}" for p in ps]
-    entries = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                        F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                        F.col(f"lo{i}").alias("min"),
-                        *[F.col(f"q{i}")[j].alias(pname[j]) for j in range(len(ps))],
-                        F.col(f"hi{i}").alias("max"))
-               for i, c in enumerate(cols)]
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column", "_v")
+    basic = long.groupBy("column").agg(
+        F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"))
+    q = quantiles(long, "_v", ps, ["column"], pname)
+    out = join_on_keys(basic, q, ["column"], "left")
+    return out.select("column", "count", "mean", "std", "min", *pname, "max")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -23,33 +23,51 @@ from flowframe.operators.order import as_list, join_on_keys
 def quantiles(df: DataFrame, col: str | Column, qs: Sequence[float], keys=None,
               names: Sequence[str] | None = None) -> DataFrame:
     """One row per group (``keys``) with exact interpolated quantiles of ``col``
-    (NULLs ignored).  Output columns: keys, then ``names`` (default q0, q1, ...)."""
+    (NULLs ignored).  Output columns: keys, then ``names`` (default q0, q1, ...).
+
+    Distributed selection: values are cut into blocks by sampled bounds; a
+    partial-aggregated count per (group, block) and its prefix locate the blocks
+    that hold the ranks ``floor(h)``/``ceil(h)``, ``h = (n-1) q``; only the rows of
+    those blocks are shuffled and ranked.  The bulk of the data is scanned twice
+    and never shuffled.
+    """
     keys = as_list(keys)
     qs = list(qs)
     names = list(names or [f"q{i}" for i in range(len(qs))])
     x = F.col(col) if isinstance(col, str) else col
     vals = df.select(*keys, x.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    ranked = O.positions(vals, keys, ["_x"], "_r")
-    if keys:
-        n = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = join_on_keys(ranked, n, keys)
-        nn = F.col("_n")
-    else:
-        nn = vals.agg(F.count(F.lit(1))).scalar()
-        ranked = ranked.withColumn("_n", nn)
-        nn = F.col("_n")
-    hs = [(nn - 1) * F.lit(q) for q in qs]
-    keep = None
-    for h in hs:
-        c = (F.col("_r") == F.floor(h)) | (F.col("_r") == F.ceil(h))
-        keep = c if keep is None else keep | c
-    picked = ranked.where(keep)
+    spark = df.sparkSession
+    n_blocks = O.conf_int(spark, O.BLOCKS_CONF, O.shuffle_partitions(spark))
+    sk = O.sort_key(vals, keys, ["_x"])
+    d = O.with_block(vals.withColumn("_sk", sk), "_sk", O.block_bounds(vals, sk, n_blocks), n_blocks)
+    cnt = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
+    wk = (O.Window.partitionBy(*keys) if keys else O.Window.partitionBy()).orderBy("_blk")
+    cnt = cnt.select(*keys, "_blk", "_bn",
+                     F.coalesce(F.sum("_bn").over(wk.rowsBetween(O.Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("_off"),
+                     F.sum("_bn").over(wk.rowsBetween(O.Window.unboundedPreceding,
+                                                      O.Window.unboundedFollowing)).alias("_n"))
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.floor((F.col("_n") - 1) * F.lit(q)).alias("r"))
+                        for i, q in enumerate(qs)],
+                      *[F.struct(F.lit(i).alias("i"), F.ceil((F.col("_n") - 1) * F.lit(q)).alias("r"))
+                        for i, q in enumerate(qs)])
+    need = (cnt.select(*keys, "_blk", "_bn", "_off", "_n", F.explode(targets).alias("_t"))
+               .where((F.col("_t.r") >= F.col("_off")) & (F.col("_t.r") < F.col("_off") + F.col("_bn")))
+               .select(*keys, "_blk", "_off", "_n").distinct())
+    picked = O.join_on_keys(d.drop("_sk"), need, [*keys, "_blk"])
+    w = (O.Window.partitionBy(*keys, "_blk")).orderBy("_x")
+    ranked = picked.withColumn("_r", F.col("_off") + F.row_number().over(w) - 1)
+    hs = [(F.col("_n") - 1) * F.lit(q) for q in qs]
     aggs = []
     for i, h in enumerate(hs):
         aggs += [F.max(F.when(F.col("_r") == F.floor(h), F.col("_x"))).alias(f"_lo{i}"),
                  F.max(F.when(F.col("_r") == F.ceil(h), F.col("_x"))).alias(f"_hi{i}"),
                  F.max(h - F.floor(h)).alias(f"_fr{i}")]
-    g = picked.groupBy(*keys).agg(*aggs)
+    keep = None
+    for h in hs:
+        c = (F.col("_r") == F.floor(h)) | (F.col("_r") == F.ceil(h))
+        keep = c if keep is None else keep | c
+    g = ranked.where(keep).groupBy(*keys).agg(*aggs)
     return g.select(*keys, *[
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(nm)
         for i, nm in enumerate(names)])

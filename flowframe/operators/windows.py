@@ -208,31 +208,35 @@ def ewm_mean(df: DataFrame, keys, order, col: str, span: float | None = None,
     """``ewm(span).mean()`` with ``adjust=True, ignore_na=False``.
 
     ``y_t = sum_j r^(t-j) x_j / sum_j r^(t-j)`` over non-NULL ``x_j``, ``r = 1-alpha``,
-    positions ``j <= t``.  Weights older than ``K = ewm_horizon(alpha)`` rows are
-    below 1e-17 and dropped, so the frame is bounded.  At a NULL ``x_t`` the exact
-    value equals the value at the last non-NULL position, which is carried forward
-    (this also covers gaps longer than K).
+    row positions ``j <= t``.  Weights older than ``K = ewm_horizon(alpha)`` rows
+    fall below 1e-17, so each segment only needs a halo of K earlier rows.  Inside
+    a segment (halo included, first position e0) both sums are running sums of
+    ``r^-(j-e0) x_j`` and ``r^-(j-e0)``: the common factor ``r^(t-e0)`` cancels in
+    the ratio, so the work is O(1) per row and stays in generated code.  The
+    segment length keeps ``r^-(j-e0)`` below 1e150.  At a NULL ``x_t`` the value
+    equals the value at the last non-NULL position; a gap longer than the
+    segment context is closed by carrying that value forward.
     """
     if alpha is None:
         alpha = 2.0 / (float(span) + 1.0)
     name = name or f"{col}_ewm"
     r = 1.0 - alpha
-    K = ewm_horizon(alpha)
     d, p, drop = _with_pos(df, keys, order, pos)
-
-    def build(w):
-        f = w.rowsBetween(-K, 0)
-        pts = F.collect_list(F.when(F.col(col).isNotNull(),
-                                    F.struct(F.col(p).alias("p"), F.col(col).cast("double").alias("x")))).over(f)
-        t = F.col(p)
-        acc = F.aggregate(
-            pts, F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d")),
-            lambda a, e: F.struct(
-                (a["n"] + F.pow(F.lit(r), t - e["p"]) * e["x"]).alias("n"),
-                (a["d"] + F.pow(F.lit(r), t - e["p"])).alias("d")))
-        return {"_ewm_raw": F.when(F.col(col).isNotNull(), acc["n"] / acc["d"])}
-
-    out = O.bounded(d, keys, p, K, 0, build)
+    if r <= 0.0:
+        out = d.withColumn("_ewm_raw", F.col(col).cast("double"))
+    else:
+        K = ewm_horizon(alpha)
+        reach = int(150 / math.log10(1.0 / r)) if r < 1.0 else 1 << 30
+        seg = max(min(O.segment_rows(d), reach - K), 4 * K + 1)
+        h = O.with_halo(d, p, K, 0, seg_rows=seg)
+        w = O.segment_window(keys, p)
+        e0 = F.min(p).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        h = h.withColumn("_wt", F.pow(F.lit(1.0 / r), F.col(p) - e0))
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        x = F.col(col).cast("double")
+        num = F.sum(F.when(x.isNotNull(), x * F.col("_wt"))).over(run)
+        den = F.sum(F.when(x.isNotNull(), F.col("_wt"))).over(run)
+        out = O.drop_halo(h.withColumn("_ewm_raw", F.when(x.isNotNull(), num / den))).drop("_wt")
     out = O.forward_prefix(out, keys, p, [(name, "last", "_ewm_raw")]).drop("_ewm_raw")
     return out.drop(p) if drop else out
 
