@@ -191,7 +191,7 @@ def positions(df: DataFrame, keys, order, name: str = POS,
     n = blocks or conf_int(spark, BLOCKS_CONF, shuffle_partitions(spark))
     sk = sort_key(df, keys, order)
     bounds = block_bounds(df, sk, n)
-    d = with_block(df.withColumn("_sk", sk), "_sk", bounds, n)
+    d = materialize(with_block(df.withColumn("_sk", sk), "_sk", bounds, n))
     local = d.withColumn(
         "_lpos", F.row_number().over(_window(keys, "_blk").orderBy("_sk")) - 1)
     blk = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
@@ -202,6 +202,19 @@ def positions(df: DataFrame, keys, order, name: str = POS,
                .drop("_sk", "_blk", "_lpos", "_off"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from there.
+
+    Ordered operators read their block-tagged input in two branches (row numbers
+    and block counts); without this, each branch (and every later operator in a
+    chain) would recompute the whole upstream plan.  ``checkpoint()`` is
+    reliable storage, so it also survives executor loss and cuts the lineage.
+    Set ``flowframe.order.materialize=false`` to keep plans lazy instead.
+    """
+    flag = df.sparkSession.conf.get("flowframe.order.materialize", "true")
+    return df.checkpoint() if str(flag).lower() != "false" else df
+
+
 def ensure_positions(df: DataFrame, keys, order, pos: str = POS) -> DataFrame:
     return df if pos in df.columns else positions(df, keys, order, pos)
 

@@ -39,7 +39,8 @@ def quantiles(df: DataFrame, col: str | Column, qs: Sequence[float], keys=None,
     spark = df.sparkSession
     n_blocks = O.conf_int(spark, O.BLOCKS_CONF, O.shuffle_partitions(spark))
     sk = O.sort_key(vals, keys, ["_x"])
-    d = O.with_block(vals.withColumn("_sk", sk), "_sk", O.block_bounds(vals, sk, n_blocks), n_blocks)
+    d = O.materialize(O.with_block(vals.withColumn("_sk", sk), "_sk", O.block_bounds(vals, sk, n_blocks),
+                                   n_blocks).drop("_sk"))
     cnt = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
     wk = (O.Window.partitionBy(*keys) if keys else O.Window.partitionBy()).orderBy("_blk")
     cnt = cnt.select(*keys, "_blk", "_bn",
@@ -54,7 +55,7 @@ def quantiles(df: DataFrame, col: str | Column, qs: Sequence[float], keys=None,
     need = (cnt.select(*keys, "_blk", "_bn", "_off", "_n", F.explode(targets).alias("_t"))
                .where((F.col("_t.r") >= F.col("_off")) & (F.col("_t.r") < F.col("_off") + F.col("_bn")))
                .select(*keys, "_blk", "_off", "_n").distinct())
-    picked = O.join_on_keys(d.drop("_sk"), need, [*keys, "_blk"])
+    picked = O.join_on_keys(d, need, [*keys, "_blk"])
     w = (O.Window.partitionBy(*keys, "_blk")).orderBy("_x")
     ranked = picked.withColumn("_r", F.col("_off") + F.row_number().over(w) - 1)
     hs = [(F.col("_n") - 1) * F.lit(q) for q in qs]

@@ -8,6 +8,7 @@ from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_time,
     q_text,
     q_features,
+    q_models,
 )
 
 REGISTRY = registry.REGISTRY
