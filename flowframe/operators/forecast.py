@@ -43,16 +43,16 @@ def forecast(df: DataFrame, keys, ts: str, value: str, horizon: int = 30, method
     d = O.positions(df, keys, [ts], "_fp")
     n_all = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nall"))
     d = join_on_keys(d, n_all, keys) if keys else d.withColumn("_nall", d.agg(F.count(F.lit(1))).scalar())
-    ctx = d.where(F.col("_fp") >= F.col("_nall") - context).withColumn("_cp", F.col("_fp") - F.greatest(
+    ctx = d.where(F.col("_fp") >= F.col("_nall") - context).withColumn("_ctxp", F.col("_fp") - F.greatest(
         F.col("_nall") - context, F.lit(0)))
     m = season if method == "seasonal_naive" else 1
-    ctx = W.lags(ctx, keys, [ts], value, [m], ["_prev"], pos="_cp")
+    ctx = W.lags(ctx, keys, [ts], value, [m], ["_prev"], pos="_ctxp")
     stats = ctx.groupBy(*keys).agg(
-        F.max_by(value, "_cp").alias("_L"), F.min_by(value, "_cp").alias("_F"),
+        F.max_by(value, "_ctxp").alias("_L"), F.min_by(value, "_ctxp").alias("_F"),
         F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_last_ts"), F.min(value).alias("_min"),
         F.stddev_samp(F.col(value) - F.col("_prev")).alias("_s_naive"),
-        F.sort_array(F.collect_list(F.when(F.col("_cp") >= F.col("_nall") - F.greatest(
-            F.col("_nall") - context, F.lit(0)) - season, F.struct("_cp", F.col(value).alias("v"))))).alias("_tail"))
+        F.sort_array(F.collect_list(F.when(F.col("_ctxp") >= F.col("_nall") - F.greatest(
+            F.col("_nall") - context, F.lit(0)) - season, F.struct("_ctxp", F.col(value).alias("v"))))).alias("_tail"))
     drift = (F.col("_L") - F.col("_F")) / (F.col("_n") - 1)
     # spread: sample std of the one-step (one-season) errors; the drift method's
     # errors are the naive ones shifted by the mean step, so the std is the same

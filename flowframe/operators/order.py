@@ -233,9 +233,9 @@ def with_halo(df: DataFrame, pos: str, before: int, after: int = 0,
         F.when(off >= F.lit(B - before), F.struct((seg + 1).alias("s"), F.lit(True).alias("h"))),
         F.when(off < F.lit(after), F.struct((seg - 1).alias("s"), F.lit(True).alias("h"))),
     )
-    return (df.withColumn("_cp", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-              .withColumn("_seg", F.col("_cp.s")).withColumn("_halo", F.col("_cp.h"))
-              .drop("_cp"))
+    return (df.withColumn("__copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
+              .withColumn("_seg", F.col("__copy.s")).withColumn("_halo", F.col("__copy.h"))
+              .drop("__copy"))
 
 
 def segment_window(keys, pos: str = POS):
@@ -276,9 +276,9 @@ def with_time_halo(df: DataFrame, t_us: str, width_us: int, span_us: int | None
         F.when(t > (seg + 1) * F.lit(span) - F.lit(width_us),
                F.struct((seg + 1).alias("s"), F.lit(True).alias("h"))),
     )
-    return (df.withColumn("_cp", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-              .withColumn("_seg", F.col("_cp.s")).withColumn("_halo", F.col("_cp.h"))
-              .drop("_cp"))
+    return (df.withColumn("__copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
+              .withColumn("_seg", F.col("__copy.s")).withColumn("_halo", F.col("__copy.h"))
+              .drop("__copy"))
 
 
 # ---------------------------------------------------------------- unbounded frames
