@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from flowframe.operators import order as O
 from flowframe.operators import windows as W
 from flowframe.operators.order import as_list, join_on_keys
+from flowframe.session import checkpoint
 
 # Standard normal quantiles at 0.1, 0.2, ..., 0.9 (the nine deciles).
 DECILE_Z = [-1.2815515655446004, -0.8416212335729143, -0.5244005127080407, -0.2533471031357997, 0.0,
@@ -112,7 +113,7 @@ def recursive_forecast(history: DataFrame, keys, ts: str, value: str, n_lags: in
         front = scored.select(*keys, "_last", F.slice(F.concat("_hist", F.array("prediction")), 2, n_lags)
                               .alias("_hist"))
         if step % checkpoint_every == 0:
-            front = front.checkpoint()
+            front = checkpoint(front)
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)

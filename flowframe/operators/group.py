@@ -103,8 +103,23 @@ def explode_list(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     return df.withColumn(name or col, F.explode_outer(col))
 
 
-def group_apply(df: DataFrame, keys, fn, schema: str) -> DataFrame:
+def group_apply(df: DataFrame, keys, fn, schema: str, max_group_rows: int = 1_000_000) -> DataFrame:
     """An opaque pandas function per group (``groupby.transform/filter``
-    with a lambda).  Prefer window/aggregate expressions; this is the fallback
-    and must only be used for groups that fit in one task."""
-    return df.groupBy(*as_list(keys)).applyInPandas(fn, schema)
+    with a lambda) through ``applyInPandas``.
+
+    ``applyInPandas`` hands each whole group to one task, so the largest group
+    size is proven below ``max_group_rows`` first (one partial-aggregated count)
+    and larger inputs are refused: use the window/aggregate forms (G1, G2, F4),
+    which have no such limit."""
+    keys = as_list(keys)
+    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if biggest > max_group_rows:
+        raise ValueError(f"largest group has {biggest} rows > {max_group_rows}; use a window or "
+                         "aggregate expression instead of an opaque group function")
+    return df.groupBy(*keys).applyInPandas(fn, schema)
+
+
+def row_apply(fn, return_type: str) -> Callable:
+    """An opaque row function as a vectorised pandas UDF (Arrow batches);
+    prefer Column expressions (C14)."""
+    return F.pandas_udf(fn, return_type)

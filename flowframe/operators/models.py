@@ -147,7 +147,7 @@ def rbf_classifier(train: DataFrame, test: DataFrame, features: Sequence[str], l
     svm = LinearSVC(labelCol=label, regParam=1e-3, maxIter=200).fit(tr)
     margin = lambda d: svm.transform(d).withColumn("_m", vector_to_array("rawPrediction")[1])
     cal = LogisticRegression(labelCol=label, featuresCol="_mv").fit(
-        assemble(margin(tr).drop(FEATURES), ["_m"], "_mv"))
+        assemble(margin(tr).drop(FEATURES, "rawPrediction", "prediction"), ["_m"], "_mv"))
     out = cal.transform(assemble(margin(te).drop(FEATURES, "rawPrediction", "prediction"), ["_m"], "_mv"))
     return out.withColumn("prob_1", vector_to_array("probability")[1]).drop(
         "_mv", "_m", "rawPrediction", "probability", "_is_test", *names)

@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
+from flowframe.session import checkpoint
 
 
 def _blocks(cands: DataFrame, id_col: str, block_rows: int) -> tuple[DataFrame, int]:
     """Candidates numbered by id and cut into blocks of ``block_rows``; written
     once to the checkpoint folder so each block read is a scan, not a recompute."""
     c = O.positions(cands, [], [id_col], "_cp").withColumn("_cb", F.floor(F.col("_cp") / block_rows))
-    c = c.checkpoint()
+    c = checkpoint(c)
     n = c.count()
     return c, max(1, math.ceil(n / block_rows))
 
@@ -132,7 +133,7 @@ def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter:
         return df
     d = df.withColumns({f"_obs_{c}": F.col(c).isNotNull() for c in todo})
     means = df.agg(*[F.avg(c).alias(c) for c in todo]).first()
-    d = d.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c]))) for c in todo}).checkpoint()
+    d = checkpoint(d.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c]))) for c in todo}))
     scale = max([abs(v) for v in df.agg(*[F.max(F.abs(c)) for c in cols]).first() if v is not None] or [1.0])
     for _ in range(max_iter):
         prev = d
@@ -143,7 +144,7 @@ def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter:
                 a.where(F.col(f"_obs_{c}")))
             d = m.transform(a).withColumn(c, F.when(F.col(f"_obs_{c}"), F.col(c)).otherwise(F.col("prediction"))) \
                  .drop("_f", "prediction")
-        d = d.checkpoint()
+        d = checkpoint(d)
         j = prev.select(id_col, *[F.col(c).alias(f"_p_{c}") for c in todo]).join(d.select(id_col, *todo), id_col)
         change = j.agg(F.greatest(F.lit(0.0), *[F.max(F.abs(F.col(c) - F.col(f"_p_{c}"))) for c in todo])).first()[0]
         if (change or 0.0) < tol * scale:

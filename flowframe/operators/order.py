@@ -41,7 +41,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.session import conf_int, shuffle_partitions  # noqa: F401 (re-exported)
+from flowframe.session import checkpoint, conf_int, shuffle_partitions  # noqa: F401 (re-exported)
 
 SEGMENT_CONF = "flowframe.order.segmentRows"
 BLOCKS_CONF = "flowframe.order.blocks"
@@ -212,7 +212,7 @@ def materialize(df: DataFrame) -> DataFrame:
     Set ``flowframe.order.materialize=false`` to keep plans lazy instead.
     """
     flag = df.sparkSession.conf.get("flowframe.order.materialize", "true")
-    return df.checkpoint() if str(flag).lower() != "false" else df
+    return checkpoint(df) if str(flag).lower() != "false" else df
 
 
 def ensure_positions(df: DataFrame, keys, order, pos: str = POS) -> DataFrame:

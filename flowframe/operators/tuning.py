@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from flowframe.operators import order as O
 from flowframe.operators import split as SP
 from flowframe.operators.models import FEATURES, assemble
+from flowframe.session import checkpoint
 
 
 def _rmse(pred: DataFrame, label: str) -> float:
@@ -34,7 +35,7 @@ def ts_cross_val(df: DataFrame, order, features: Sequence[str], label: str, make
     the expanding past, score RMSE on the next block.  (``CrossValidator`` would
     train on future folds too, so it is not used for time series.)  Folds are
     fitted as concurrent Spark jobs, like ``CrossValidator(parallelism)``."""
-    folds = SP.time_series_split(df, [], order, n_splits).checkpoint()
+    folds = checkpoint(SP.time_series_split(df, [], order, n_splits))
 
     def one(k):
         f = folds.where(F.col("fold") == k)

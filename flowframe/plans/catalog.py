@@ -9,6 +9,7 @@ from flowframe.plans import (  # noqa: F401  (imported for registration)
     q_text,
     q_features,
     q_models,
+    q_user,
 )
 
 REGISTRY = registry.REGISTRY

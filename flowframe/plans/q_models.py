@@ -28,6 +28,7 @@ from flowframe.plans.q_features import daily_revenue
 from flowframe.plans.registry import query, rnd
 from flowframe.sources import io
 from flowframe.sources.io import table as T
+from flowframe.session import checkpoint
 
 FEATS = ["month", "day", "dayofweek", "lag_1", "lag_7", "lag_30"]
 
@@ -41,7 +42,7 @@ def daily_features(spark, sf):
 
 
 def _split(spark, sf):
-    f = daily_features(spark, sf).checkpoint()
+    f = checkpoint(daily_features(spark, sf))
     return f.where("role = 'train'"), f.where("role = 'test'")
 
 

@@ -71,3 +71,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def env_int(name: str, default: int) -> int:
     v = os.environ.get(name)
     return int(v) if v else default
+
+
+def checkpoint(df):
+    """``df.checkpoint()`` into the session's checkpoint folder (reliable storage:
+    survives executor loss and cuts the lineage).  Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
