@@ -83,14 +83,9 @@ def a04(spark, sf):
 @query("a05_json_records_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def a05(spark, sf):
     c = T(spark, sf, "customer")
-    path = io.scratch_path(spark, "a05")
-    # one JSON array of records per file (pandas orient='records' layout), written
-    # in bounded chunks: one file per chunk directory
-    chunks = (c.withColumn("_chunk", F.col("c_custkey") % 16)
-                .groupBy("_chunk").agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value")))
-    chunks.write.partitionBy("_chunk").text(path)
+    path = io.write_json_records(c, io.scratch_path(spark, "a05"), rows_per_file=500)
     schema = StructType(c.schema.fields + [StructField("_chunk", IntegerType())])
-    return io.read_json(spark, path, schema=schema, multiline=True).drop("_chunk")
+    return io.read_json(spark, path, schema=schema, multiline=True)
 
 
 @query("a06_parquet_roundtrip", """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,

@@ -97,13 +97,27 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_json_records(df: DataFrame, path: str, rows_per_file: int = 50_000) -> str:
+    """``to_json(orient='records')`` layout: each file holds one JSON array of
+    records.  The number of files follows the row count, so no file (and no
+    task building it) holds more than about ``rows_per_file`` records."""
+    n = df.count()
+    files = max(1, -(-n // rows_per_file))
+    chunks = (df.repartition(files).withColumn("_chunk", F.spark_partition_id())
+                .groupBy("_chunk").agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")))
+    chunks.write.mode("overwrite").partitionBy("_chunk").text(path)
+    return path
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
               multiline: bool = False) -> DataFrame:
     """A5: ``pd.read_json``; ``multiline=True`` reads one JSON array of records per file."""
     r = spark.read.option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
-    return r.json(path)
+    out = r.json(path)
+    # files written by write_json_records sit in _chunk=<n> folders
+    return out.drop("_chunk") if "_chunk" in out.columns else out
 
 
 # ---------------------------------------------------------------- A6 Parquet

@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The reference has no streaming operator (no watermark, window, state store or
+trigger appears in it; every input is a bounded table), so nothing is built
+here.  The batch operators that a stream would reuse (``resample``,
+``rolling_time``) are plain DataFrame transformations and can be applied inside
+``foreachBatch``.
+"""
