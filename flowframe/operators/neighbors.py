@@ -1,5 +1,5 @@
-"""Exact nearest neighbours without forming pairs of rows (K8, D12), and
-iterative imputation (D13).
+"""Exact nearest neighbours and density clustering without forming pairs of
+rows (K8, K12, D12), and iterative imputation (D13).
 
 Candidates (training rows, donors) are cut into blocks of at most
 ``block_rows`` rows; each block is broadcast in turn (a proven size bound) and
@@ -150,3 +150,97 @@ def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter:
         if (change or 0.0) < tol * scale:
             break
     return d.drop(*[f"_obs_{c}" for c in todo])
+
+
+# ---------------------------------------------------------------- K12 density clustering
+
+def block_scan(queries: DataFrame, cands: DataFrame, q_id: str, c_id: str, cols: Sequence[str],
+               kernel, out_schema: str, extra: Sequence[str] = (), block_rows: int = 50_000) -> DataFrame:
+    """Stream bounded blocks of ``cands`` past every query partition.
+
+    ``kernel(Q, q_ids, X, c_ids, extras) -> pandas.DataFrame`` returns per-query
+    partial results for one block (never one row per pair); the caller merges
+    the blocks with a grouped aggregate.  Each block is broadcast with a proven
+    size bound (``block_rows``)."""
+    sc = queries.sparkSession.sparkContext
+    c, nb = _blocks(cands, c_id, block_rows)
+    parts = []
+    for b in range(nb):
+        blk = c.where(F.col("_cb") == b).select(c_id, *cols, *extra).toPandas()
+        bc = sc.broadcast((blk[list(cols)].to_numpy(dtype="float64"), blk[c_id].to_numpy(dtype="int64"),
+                           {e: blk[e].to_numpy() for e in extra}))
+
+        def run(it, bc=bc):
+            X, ids, ex = bc.value
+            for pdf in it:
+                Q = pdf[list(cols)].to_numpy(dtype="float64")
+                yield kernel(Q, pdf[q_id].to_numpy(dtype="int64"), X, ids, ex)
+
+        parts.append(queries.select(q_id, *cols).mapInPandas(run, out_schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _sq_dist(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
+    return np.maximum((Q ** 2).sum(1)[:, None] + (X ** 2).sum(1)[None, :] - 2 * Q @ X.T, 0.0)
+
+
+def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 0.5, min_samples: int = 5,
+           block_rows: int = 50_000, max_rounds: int = 100) -> DataFrame:
+    """``DBSCAN(eps, min_samples)``, exact, without forming pairs of rows.
+
+    1. core: at least ``min_samples`` rows (itself included) within ``eps``: a
+       per-query count summed over candidate blocks;
+    2. clusters: connected components of core rows under the eps relation, by
+       repeated min-label propagation (each round a blocked scan returning the
+       smallest label within eps) plus pointer jumping, checkpointed per round;
+    3. border rows take the smallest cluster among core rows within eps, others
+       are noise (-1).  Clusters are numbered by their smallest id, which is the
+       order in which an index-order expansion discovers them.
+    Output: ``id_col``, ``cluster``.
+    """
+    e2 = float(eps) ** 2
+    pts = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
+
+    def count_kernel(Q, qids, X, ids, ex):
+        return pd.DataFrame({"_q": qids, "_n": (_sq_dist(Q, X) <= e2).sum(1).astype("int64")})
+
+    cnt = block_scan(pts, pts, id_col, id_col, cols, count_kernel, "_q LONG, _n LONG", block_rows=block_rows)
+    cnt = cnt.groupBy("_q").agg(F.sum("_n").alias("_n")).withColumnRenamed("_q", id_col)
+    tagged = checkpoint(O.join_on_keys(pts, cnt, [id_col]).withColumn("_core", F.col("_n") >= min_samples))
+    core = tagged.where("_core").select(id_col, *cols).withColumn("_lab", F.col(id_col))
+
+    def min_label_kernel(Q, qids, X, ids, ex):
+        lab = ex["_lab"].astype("int64")
+        near = _sq_dist(Q, X) <= e2
+        big = np.iinfo("int64").max
+        m = np.where(near, lab[None, :], big).min(1) if X.shape[0] else np.full(len(qids), big)
+        return pd.DataFrame({"_q": qids, "_m": m.astype("int64")})
+
+    core = checkpoint(core)
+    for _ in range(max_rounds):
+        m = block_scan(core, core, id_col, id_col, cols, min_label_kernel, "_q LONG, _m LONG",
+                       extra=["_lab"], block_rows=block_rows)
+        m = m.groupBy("_q").agg(F.min("_m").alias("_m")).withColumnRenamed("_q", id_col)
+        nxt = O.join_on_keys(core, m, [id_col]).withColumn("_new", F.least("_lab", "_m")).drop("_m")
+        # pointer jumping: take the label of the row named by the label
+        hop = nxt.select(F.col(id_col).alias("_new"), F.col("_new").alias("_hop"))
+        nxt = O.join_on_keys(nxt, hop, ["_new"], "left").withColumn("_new", F.least("_new", "_hop")).drop("_hop")
+        nxt = checkpoint(nxt)
+        changed = nxt.where(F.col("_new") != F.col("_lab")).limit(1).count()
+        core = nxt.drop("_lab").withColumnRenamed("_new", "_lab")
+        if not changed:
+            break
+    border = tagged.where(~F.col("_core")).select(id_col, *cols)
+    bm = block_scan(border, core, id_col, id_col, cols, min_label_kernel, "_q LONG, _m LONG",
+                    extra=["_lab"], block_rows=block_rows)
+    big = np.iinfo("int64").max
+    bm = (bm.groupBy("_q").agg(F.min("_m").alias("_lab")).withColumnRenamed("_q", id_col)
+            .where(F.col("_lab") < F.lit(big)))
+    labels = core.select(id_col, "_lab").unionByName(bm)
+    ranks = O.positions(labels.select("_lab").distinct(), [], ["_lab"], "_cluster")
+    out = O.join_on_keys(labels, ranks, ["_lab"]).select(id_col, F.col("_cluster").cast("int").alias("cluster"))
+    return O.join_on_keys(pts.select(id_col), out, [id_col], "left").withColumn(
+        "cluster", F.coalesce("cluster", F.lit(-1)))

@@ -355,3 +355,12 @@ def d13(spark, sf):
         F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice")).alias("price"))
     out = NB.iterative_impute(p, "p_partkey", ["p_size", "price"])
     return out.select("p_partkey", rnd("price", 6).alias("price"))
+
+
+@query("k12_dbscan")
+def k12(spark, sf):
+    """``DBSCAN(eps=0.5, min_samples=5)`` on the standardised part size and price."""
+    p = T(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"),
+                                    F.col("p_retailprice").alias("price"))
+    z = J.standard_scale(p, ["size", "price"], "_z")
+    return NB.dbscan(z, "p_partkey", ["size_z", "price_z"], eps=0.5, min_samples=5)
