@@ -26,14 +26,27 @@ TOKEN_PATTERN = r"(?U)\b\w\w+\b"   # fixed value: the vectorizer's default token
 
 
 @lru_cache(maxsize=1)
-def english_stop_words() -> tuple[str, ...]:
+def english_stop_words() -> tuple[str, ...] | None:
     """Spark ML's default English stop-word list, read from the Spark ML jar (the
     same list ``StopWordsRemover.loadDefaultStopWords('english')`` returns), so no
-    JVM is needed to build oracle SQL."""
+    JVM is needed to build oracle SQL.  None when no jar is found."""
     import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        return tuple(z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split())
+    dirs = [os.path.join(os.path.dirname(pyspark.__file__), "jars")]
+    if os.environ.get("SPARK_HOME"):
+        dirs.append(os.path.join(os.environ["SPARK_HOME"], "jars"))
+    for d in dirs:
+        for jar in glob.glob(os.path.join(d, "spark-mllib_*.jar")):
+            with zipfile.ZipFile(jar) as z:
+                return tuple(z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split())
+    return None
+
+
+def _stop_words() -> list[str]:
+    words = english_stop_words()
+    if words is None:
+        from pyspark.ml.feature import StopWordsRemover
+        words = StopWordsRemover.loadDefaultStopWords("english")
+    return list(words)
 
 
 # ---------------------------------------------------------------- J1 TF-IDF
@@ -45,7 +58,7 @@ def tfidf_top_terms(df: DataFrame, id_col: str, text_col: str, max_features: int
     stop words removed, the ``max_features`` terms of highest corpus frequency
     (ties: term ascending), smoothed idf ``ln((1+N)/(1+df)) + 1``, rows scaled to
     unit L2 norm; zero weights are not emitted."""
-    stops = list(stop_words if stop_words is not None else english_stop_words())
+    stops = list(stop_words if stop_words is not None else _stop_words())
     tok = df.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0))
                     .alias("term"))
     tok = tok.where(~F.col("term").isin(stops))

@@ -31,7 +31,10 @@ SELECT s.day, COALESCE(d.r, 0.0) AS revenue FROM s LEFT JOIN d ON s.day = d.day)
 
 
 def _tfidf_sql():
-    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in J.english_stop_words())
+    words = J.english_stop_words()
+    if words is None:       # no Spark ML jar readable: rows-only check
+        return None
+    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in words)
     return f"""
 WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]{{2,}}')) AS term FROM documents),
 tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM tok WHERE term NOT IN ({stops}) GROUP BY 1, 2),
