@@ -59,18 +59,14 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``describe(include=['O'])``: count, unique, top, freq per column.
-    Ties for the top value are broken by the smaller value (ours)."""
-    parts = []
-    for c in cols:
-        vc = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("f"))
-        parts.append(vc.agg(F.lit(c).alias("column"), F.sum("f").alias("count"),
-                            F.count(F.lit(1)).alias("unique"),
-                            F.min_by("v", F.struct(F.negative("f"), "v")).cast("string").alias("top"),
-                            F.max("f").alias("freq")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    Ties for the top value are broken by the smaller value (ours).  The columns
+    are unpivoted so all of them are profiled by one keyed aggregation."""
+    long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot(
+        [], list(cols), "column", "v").where(F.col("v").isNotNull())
+    vc = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("f"))
+    return vc.groupBy("column").agg(F.sum("f").alias("count"), F.count(F.lit(1)).alias("unique"),
+                                    F.min_by("v", F.struct(F.negative("f"), "v")).alias("top"),
+                                    F.max("f").alias("freq"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
