@@ -66,6 +66,10 @@ def pivot_table(df: DataFrame, index, columns: str, values: str, aggfunc: str =
     src = df.dropna(subset=[*index, columns]).where(F.col(values).isNotNull())
     g = src.groupBy(*index)
     p = (g.pivot(columns, list(levels)) if levels is not None else g.pivot(columns)).agg(AGG[aggfunc](values))
+    # pandas drops value columns that are missing everywhere (one count per column)
+    vcols = [c for c in p.columns if c not in index]
+    counts = p.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(vcols)]).first()
+    p = p.drop(*[c for i, c in enumerate(vcols) if counts[f"_n{i}"] == 0])
     if fill_value is not None:
         p = p.na.fill(fill_value)
     return p

@@ -61,3 +61,11 @@ def test_drop_duplicates_keeps_first(spark):
     got = D.drop_duplicates(spark.createDataFrame(pdf), ["k"], ["t"]).orderBy("k").toPandas()
     exp = pdf.sort_values("t").drop_duplicates(subset=["k"]).sort_values("k")
     assert got["v"].tolist() == exp["v"].tolist()
+
+
+def test_pivot_table_drops_all_missing_columns(spark):
+    pdf = pd.DataFrame({"r": ["a", "a", "b"], "c": ["x", "y", "x"], "v": [1.0, None, 3.0]})
+    from flowframe.operators import group as G
+    got = G.pivot_table(spark.createDataFrame(pdf), ["r"], "c", "v", "mean", levels=["x", "y"])
+    exp = pdf.pivot_table(index="r", columns="c", values="v", aggfunc="mean")
+    assert sorted(c for c in got.columns if c != "r") == sorted(exp.columns)
