@@ -40,12 +40,25 @@ def _hashed_index(df: DataFrame, id_cols: Sequence[str], seed: int, keys=None, n
 
 def stratified_holdout(df: DataFrame, id_cols: Sequence[str], label: str, test_size: float = 0.2,
                        seed: int = 42, role: str = "role") -> DataFrame:
-    """``train_test_split(stratify=y)``: within each class the first
-    ``ceil(test_size * n_class)`` rows of a seeded hash order are 'test'."""
+    """``train_test_split(stratify=y)``: ``ceil(test_size * n)`` test rows in
+    total, split over classes by the floor of each class's proportional share
+    plus one more for the classes with the largest remainders (ties to the
+    smaller label, where the library draws at random).  Within a class the first
+    rows of a seeded hash order are 'test'."""
+    from pyspark.sql import Window
     d = _hashed_index(df, id_cols, seed, [label])
-    d = join_on_keys(d, _counts(df, [label]), [label])
-    return d.withColumn(role, F.when(F.col("_hi") < F.ceil(F.col("_n") * test_size), "test").otherwise("train")) \
-            .drop("_hi", "_n")
+    cnt = _counts(df, [label])
+    n = df.agg(F.count(F.lit(1))).scalar()
+    n_test = F.ceil(n * F.lit(test_size))
+    share = n_test * F.col("_n") / n
+    alloc = cnt.withColumns({"_fl": F.floor(share), "_fr": share - F.floor(share)})
+    # one row per class: a small table ranked as a whole
+    w = Window.orderBy(F.col("_fr").desc(), F.col(label))
+    alloc = alloc.withColumn("_rk", F.row_number().over(w)).withColumn(
+        "_left", n_test - F.sum("_fl").over(Window.partitionBy()))
+    alloc = alloc.select(label, (F.col("_fl") + (F.col("_rk") <= F.col("_left")).cast("long")).alias("_t"))
+    d = join_on_keys(d, alloc, [label])
+    return d.withColumn(role, F.when(F.col("_hi") < F.col("_t"), "test").otherwise("train")).drop("_hi", "_t")
 
 
 def kfold(df: DataFrame, id_cols: Sequence[str], k: int = 5, seed: int = 42, label: str | None = None,
