@@ -110,5 +110,9 @@ def upsample_minority(df: DataFrame, id_cols: Sequence[str], label: str, minorit
     n_minor = minor.agg(F.count(F.lit(1))).scalar()
     idx = O.positions(minor, [], list(id_cols), "_mi")
     draws = spark.range(n_major).select(F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), n_minor).alias("_mi"))
-    drawn = draws.join(idx, "_mi").drop("_mi")
+    # each minority row is drawn about n_major / n_minor times: a hot join key
+    # when the minority is small, so the index is broadcast when its size is
+    # proven bounded (the draws never shuffle); otherwise AQE splits the skew
+    from flowframe.sources.io import broadcast_if_bounded
+    drawn = draws.join(broadcast_if_bounded(idx), "_mi").drop("_mi")
     return major.unionByName(drawn)
