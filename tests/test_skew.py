@@ -47,3 +47,13 @@ def test_drop_duplicates_hot_group(spark):
     got = D.drop_duplicates(spark.createDataFrame(pdf), ["k"], ["t"]).toPandas().sort_values("k")
     exp = pdf.sort_values("t").drop_duplicates(subset=["k"]).sort_values("k")
     np.testing.assert_allclose(got["v"].to_numpy(), exp["v"].to_numpy())
+
+
+def test_quantiles_hot_value(spark):
+    rng = np.random.default_rng(8)
+    n = 4000
+    x = np.where(rng.random(n) < 0.4, 0.0, rng.normal(size=n).round(3))   # 40 % zeros
+    pdf = pd.DataFrame({"x": x})
+    got = quantiles(spark.createDataFrame(pdf), "x", [0.05, 0.3, 0.5, 0.75]).toPandas().iloc[0].to_numpy()
+    exp = pdf["x"].quantile([0.05, 0.3, 0.5, 0.75]).to_numpy()
+    np.testing.assert_allclose(got, exp, rtol=1e-12, atol=1e-12)
