@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "flowframe",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
+        # remove checkpoint files once nothing references the checkpointed data
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
