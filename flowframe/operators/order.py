@@ -310,7 +310,11 @@ _SEG_AGG = {
 def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: Iterable = ()) -> DataFrame:
     """Forward and backward unbounded frames in one pass: a running aggregate
     inside each segment of ``B`` positions plus the exclusive prefix (suffix) of
-    the small per-segment table, joined back once."""
+    the small per-segment table, joined back once.
+
+    The per-segment totals are read off the running aggregates themselves (the
+    value at a segment's last row, or first row going backwards), so both sides
+    of the join come from the same windowed plan and its exchange is reused."""
     keys = as_list(keys)
     d = df.withColumn("_seg", _seg_col(df, pos))
     run_cols, seg_aggs, prev_cols, combine = {}, [], [], {}
@@ -323,16 +327,16 @@ def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: It
             inner = _window(keys, "_seg").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
             outer = _window(keys).orderBy("_seg").rowsBetween(1, Window.unboundedFollowing)
         r, s_, p = f"_r{i}", f"_s{i}", f"_p{i}"
+        # segment total = running value at the segment's end (start when backward)
+        seg_aggs.append((F.max_by(r, pos) if fwd else F.min_by(r, pos)).alias(s_))
         if kind in ("last", "first"):
             edge = F.last(c, ignorenulls=True) if fwd else F.first(c, ignorenulls=True)
             run_cols[r] = edge.over(inner)
-            seg_aggs.append(_edge_nonnull(c, pos, fwd).alias(s_))
             prev = (F.last(s_, ignorenulls=True) if fwd else F.first(s_, ignorenulls=True)).over(outer)
             prev_cols.append(prev.alias(p))
             combine[name] = F.coalesce(F.col(r), F.col(p))
         elif kind in ("sum", "count"):
             run_cols[r] = _SEG_AGG[kind](c).over(inner)
-            seg_aggs.append(_SEG_AGG[kind](c).alias(s_))
             prev_cols.append(F.sum(s_).over(outer).alias(p))
             if kind == "count":
                 combine[name] = F.col(r) + F.coalesce(F.col(p), F.lit(0))
@@ -343,12 +347,12 @@ def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: It
             f = F.max if kind == "max" else F.min
             g = F.greatest if kind == "max" else F.least
             run_cols[r] = _SEG_AGG[kind](c).over(inner)
-            seg_aggs.append(_SEG_AGG[kind](c).alias(s_))
             prev_cols.append(f(s_).over(outer).alias(p))
             combine[name] = g(F.col(r), F.col(p))  # greatest/least skip NULL
-    segs = d.groupBy(*keys, "_seg").agg(*seg_aggs)
+    dw = d.withColumns(run_cols)
+    segs = dw.groupBy(*keys, "_seg").agg(*seg_aggs)
     segs = segs.select(*keys, "_seg", *prev_cols)
-    out = join_on_keys(d.withColumns(run_cols), segs, [*keys, "_seg"])
+    out = join_on_keys(dw, segs, [*keys, "_seg"])
     drop = [*run_cols, *[f"_p{i}" for i in range(len(jobs))], "_seg"]
     return out.withColumns(combine).drop(*drop)
 
