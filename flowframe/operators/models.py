@@ -144,7 +144,7 @@ def rbf_classifier(train: DataFrame, test: DataFrame, features: Sequence[str], l
     both, names = random_fourier(both, features, n_components, seed=seed)
     tr = assemble(both.where(~F.col("_is_test")), names)
     te = assemble(both.where(F.col("_is_test")), names)
-    svm = LinearSVC(labelCol=label, regParam=1e-3, maxIter=200).fit(tr)
+    svm = LinearSVC(labelCol=label, regParam=1e-3).fit(tr)
     margin = lambda d: svm.transform(d).withColumn("_m", vector_to_array("rawPrediction")[1])
     cal = LogisticRegression(labelCol=label, featuresCol="_mv").fit(
         assemble(margin(tr).drop(FEATURES, "rawPrediction", "prediction"), ["_m"], "_mv"))
