@@ -42,3 +42,30 @@ def test_upsample_exact_counts(spark):
     up = SP.upsample_minority(lab, ["doc_id"], "quality", minority=0, majority=1, seed=42)
     c = {r["quality"]: r["count"] for r in up.groupBy("quality").count().collect()}
     assert c[0] == c[1] == lab.where(F.col("quality") == 1).count()
+
+
+def test_forecast_deciles_monotone_and_clamped(spark):
+    from flowframe.operators import forecast as FC
+    from flowframe.plans.q_models import priority_daily
+    f = FC.forecast(priority_daily(spark, SF_CHECK), ["o_orderpriority"], "day", "revenue", 30, "drift").toPandas()
+    q = f[FC.DECILES].to_numpy()
+    assert (q[:, 1:] >= q[:, :-1] - 1e-9).all()
+    assert (q >= 0).all()                      # revenue is never negative, so deciles are clamped
+    assert f.groupby("o_orderpriority").size().eq(30).all()
+
+
+def test_sampling_shap_additive(spark):
+    import numpy as np
+    from flowframe.operators import explain as X
+    from flowframe.operators import models as K
+    o = T(spark, SF_CHECK, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("y"), F.month("o_orderdate").cast("double").alias("m"),
+        F.dayofmonth("o_orderdate").cast("double").alias("d"), F.col("o_custkey").cast("double").alias("c"))
+    feats = ["m", "d", "c"]
+    model = K.random_forest_regressor(20, 5, 42, label="y").fit(K.assemble(o, feats))
+    rows = o.where(F.col("o_orderkey") < 40)
+    phi = X.sampling_shap(model, rows, "o_orderkey", feats, n_orders=4).toPandas()
+    pred = model.transform(K.assemble(rows, feats)).select("o_orderkey", "prediction").toPandas()
+    tot = phi.groupby("o_orderkey").agg(s=("phi", "sum"), b=("base", "first")).reset_index()
+    m = tot.merge(pred, on="o_orderkey")
+    np.testing.assert_allclose(m["s"] + m["b"], m["prediction"], rtol=1e-9, atol=1e-6)
