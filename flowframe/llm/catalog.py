@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowframe.llm import simhash_dedup
+from flowframe.llm import fingerprints, mixing, simhash_dedup, topk, url_filter
 from flowframe.llm.common import ship, table
 from flowframe.session import ensure_checkpoint_dir
 
@@ -25,6 +26,41 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return build
 
 
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+SQL["op3_exact_top_k"] = topk.ORACLE
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rules over every page's url."""
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark, url_filter.RULES))
+
+
+SQL["op5_url_filter"] = url_filter.ORACLE
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts and their edited texts; other documents within 3 bits."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), radius=3)
+
+
+MIX_SEED = 11
+
+
+@query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Square-root damped source weights, one expected pass over the corpus."""
+    return mixing.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED)
+
+
+SQL["op8_mix_sources"] = mixing.ORACLE
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word 3-shingles, links at 3 or fewer differing bits."""
