@@ -24,6 +24,7 @@ result; words and texts of any length are encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections import deque
@@ -221,19 +222,21 @@ class Vocabulary:
         return found
 
 
-_BUILT: dict[int, Vocabulary] = {}
+_BUILT: dict[str, Vocabulary] = {}
 
 
 def _shared(docs: DataFrame, path: str):
     """The vocabulary file, read by the driver and broadcast (a file of a few MB)."""
     with open(path, encoding="utf-8") as file:
-        held = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    held = docs.sparkSession.sparkContext.broadcast(content)
+    key = hashlib.sha256(content.encode()).hexdigest()
 
     def vocabulary() -> Vocabulary:
-        if held.id not in _BUILT:
+        if key not in _BUILT:
             _BUILT.clear()
-            _BUILT[held.id] = Vocabulary(json.loads(held.value))
-        return _BUILT[held.id]
+            _BUILT[key] = Vocabulary(json.loads(held.value))
+        return _BUILT[key]
 
     return vocabulary
 
@@ -271,8 +274,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded
     """
     from pyspark.sql.types import StringType, StructField, StructType
 
-    vocabulary_file = path
-    with open(vocabulary_file, encoding="utf-8") as file:
+    with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
     shared = docs.sparkSession.sparkContext.broadcast([names.get(i, "") for i in range(max(names) + 1)])

@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.llm import fingerprints, mixing, simhash_dedup, topk, url_filter
-from flowframe.llm.common import ship, table
+from flowframe.llm import bpe, fingerprints, html_text, mixing, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
+from flowframe.llm.common import fold, ship, table
 from flowframe.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,61 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return build
 
 
+#: Places of the public vocabularies (parameters of the operators).
+WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: Folds whose labels are never learned from: (folds, the one held out).
+TOXIC_FOLD, QUALITY_FOLD = (3, 1), (4, 2)
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy longest-match pieces of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, token_counts.sentencepiece_pieces(WORD_PIECES)).select("doc_id", "n_words", "n_tokens")
+
+
+@query
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every whole text, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
+    decoded = bpe.decode(encoded, WORD_BPE)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def learnable(labels: DataFrame, folds: tuple[int, int]) -> DataFrame:
+    """Labels outside the held-out fold."""
+    return labels.where(fold(F.col("doc_id"), folds[0]) != folds[1])
+
+
+def judged(scored: DataFrame, folds: tuple[int, int]) -> DataFrame:
+    return scored.select("doc_id", (fold(F.col("doc_id"), folds[0]) == folds[1]).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.train(docs, learnable(table(spark, sf_dir, "labels"), TOXIC_FOLD))
+    return judged(toxicity.score(docs, net), TOXIC_FOLD)
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, learnable(table(spark, sf_dir, "labels"), QUALITY_FOLD))
+    return judged(quality.score(docs, model), QUALITY_FOLD)
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every twentieth vector against all others."""

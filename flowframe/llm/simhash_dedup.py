@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import map_text
+from flowframe.llm.common import free_name, map_text
 from flowframe.llm.components import connected_components
 from flowframe.session import checkpoint
 
@@ -165,14 +165,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("keep")
     kept = found.groupBy("root", F.pmod("row_key", F.lit(64))).agg(first).groupBy("root").agg(F.min("keep").alias("keep"))
     # one row per class; equal rows have one fingerprint, hence one class: the key is unique
-    kept = kept.select(F.coalesce("keep.doc_id", F.lit(0)).alias("__keep_id"), F.col("keep.no_id").alias("__keep_no_id"),
-                       F.col("keep.row_key").alias("__keep_row"))
-    marked = docs.withColumn("__row", row_key)
-    same = (F.coalesce(marked[f"`{doc_id}`"], F.lit(0)) == kept["__keep_id"]) & (
-        marked[f"`{doc_id}`"].isNull() == kept["__keep_no_id"]) & (marked["__row"] == kept["__keep_row"])
-    out = marked.join(kept, same)
-    single = printed.groupBy("doc_id", "row_key").count().where("count > 1").limit(1).count() == 0
-    if not single:  # wholly equal rows: the join returned each of them
-        order = F.row_number().over(Window.partitionBy("__keep_id", "__keep_no_id", "__keep_row").orderBy("__row"))
-        out = out.withColumn("__copy", order).where("__copy = 1")
+    row, keep_id, keep_no_id, keep_row, copy = (free_name(docs, x) for x in ("__row", "__keep_id", "__keep_no_id", "__keep_row", "__copy"))
+    kept = kept.select(F.coalesce("keep.doc_id", F.lit(0)).alias(keep_id), F.col("keep.no_id").alias(keep_no_id),
+                       F.col("keep.row_key").alias(keep_row))
+    own = F.col(f"`{doc_id}`")
+    same = (F.coalesce(own, F.lit(0)) == F.col(keep_id)) & (own.isNull() == F.col(keep_no_id)) & (F.col(row) == F.col(keep_row))
+    out = docs.withColumn(row, row_key).join(kept, same)
+    if not printed.groupBy("doc_id", "row_key").count().where("count > 1").isEmpty():  # the join returned each of the equal rows
+        first = F.row_number().over(Window.partitionBy(keep_id, keep_no_id, keep_row).orderBy(row))
+        out = out.withColumn(copy, first).where(F.col(copy) == 1)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,6 +16,7 @@ empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections import deque
 from collections.abc import Iterable
 
@@ -95,7 +96,7 @@ def sentencepiece_pieces(path: str) -> list[str]:
     return [model.id_to_piece(i) for i in range(model.vocab_size()) if not any(f(i) for f in skip)]
 
 
-_BUILT: dict[int, LongestMatch] = {}
+_BUILT: dict[str, LongestMatch] = {}
 
 
 def token_counts(docs: DataFrame, pieces: list[str], text: str = "text", marker: str = MARKER,
@@ -106,12 +107,13 @@ def token_counts(docs: DataFrame, pieces: list[str], text: str = "text", marker:
     Python worker builds the automaton once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
+    key = hashlib.sha256("\n".join(pieces).encode()).hexdigest()
 
     def setup() -> LongestMatch:
-        if shared.id not in _BUILT:
+        if key not in _BUILT:
             _BUILT.clear()
-            _BUILT[shared.id] = LongestMatch(shared.value)
-        return _BUILT[shared.id]
+            _BUILT[key] = LongestMatch(shared.value)
+        return _BUILT[key]
 
     def step(automaton: LongestMatch, texts: pa.Array) -> list[pa.Array]:
         split = pc.utf8_split_whitespace(texts.fill_null(""))
