@@ -1,13 +1,36 @@
 """Corpus pipeline: quality, toxicity, near-duplicates, source mixing, tokens.
 
 Each stage takes the rows that its predecessor kept, as a Parquet table read again.
+Empty tables pass through; a null or empty text has quality 0 and goes in the first
+stage; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowframe.llm import catalog, simhash_dedup
+from flowframe.llm import bpe, catalog, mixing, quality, simhash_dedup, toxicity
+from flowframe.llm.common import free_name, table
+
+#: A document scores at least this to be kept (quality) or rejected (toxicity).
+THRESHOLD = 0.7
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = catalog.learnable(table(spark, sf_dir, "labels"), catalog.QUALITY_FOLD)
+    out = free_name(docs, "quality_score")
+    scored = quality.score(docs, quality.train(docs, labels), out=out)
+    return scored.where(F.col(out) >= THRESHOLD).drop(out)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = catalog.learnable(table(spark, sf_dir, "labels"), catalog.TOXIC_FOLD)
+    out = free_name(docs, "toxic_score")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), out=out)
+    return scored.where(F.col(out) < THRESHOLD).drop(out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +38,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_dedup.deduplicate(docs, shingle=3, distance=3)
 
 
-STAGES = [("simhash near-dedup", near_duplicates)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to the target weights of their sources, shuffled."""
+    return mixing.mix(docs, seed=catalog.MIX_SEED).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and the text decoded from them."""
+    ids, decoded = free_name(docs, "ids"), free_name(docs, "decoded")
+    return bpe.decode(bpe.encode(docs, catalog.WORD_BPE, ids=ids), catalog.WORD_BPE, ids=ids, decoded=decoded)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("toxicity", toxicity_filter),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing sources", mix_sources),
+    ("bpe encoding", encode),
+]
 
 #: The stages hold fitted classifiers and a tokenizer, which SQL cannot express.
 ORACLE_SQL: str | None = None
