@@ -6,18 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def year(c: Column) -> Column:
-    return F.year(c)
-
-
-def month(c: Column) -> Column:
-    return F.month(c)
-
-
-def day(c: Column) -> Column:
-    return F.dayofmonth(c)
-
-
 def dayofweek(c: Column) -> Column:
     """Pandas ``dayofweek``: Monday = 0 (Spark ``dayofweek`` is Sunday = 1)."""
     return F.weekday(c)

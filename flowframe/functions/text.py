@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from typing import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,13 +65,50 @@ def startswith(c: Column, prefix: str) -> Column:
     return F.startswith(c, F.lit(prefix))
 
 
+def _group_shape(pattern: str, group: int) -> tuple[int, bool]:
+    """Fewest characters of a group's match, and whether it takes part in every match."""
+    def find(items, always: bool):
+        for op, arg in items:
+            name = str(op)
+            if name == "SUBPATTERN":
+                if arg[0] == group:
+                    return arg[3].getwidth()[0], always
+                found = find(arg[3], always)
+            elif name == "BRANCH":
+                found = next((f for b in arg[1] if (f := find(b, False))), None)
+            elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+                found = find(arg[2], always and arg[0] > 0)
+            elif name in ("ASSERT", "ATOMIC_GROUP"):
+                found = find(arg[1] if name == "ASSERT" else arg, always)
+            else:
+                found = None
+            if found:
+                return found
+        return None
+
+    return find(re._parser.parse(pattern), True) or (0, True)
+
+
 def extract(c: Column, pattern: str, group: int = 1) -> Column:
-    """First match's ``group``; no match -> NULL."""
+    """First match's ``group``; no match, or a group that took no part in it ->
+    NULL (S8).  Spark gives '' for both, which only means NULL when the group cannot
+    match the empty text; a group that can, and need not take part, goes to Python."""
     p = java_regex(pattern)
-    return F.when(c.rlike(p), F.regexp_extract(c, p, group))
+    fewest, always = _group_shape(pattern, group)
+    if fewest > 0:
+        return F.nullif(F.regexp_extract(c, p, group), F.lit(""))
+    if always:
+        return F.when(c.rlike(p), F.regexp_extract(c, p, group))
+
+    @F.pandas_udf("string")
+    def python_extract(s: pd.Series) -> pd.Series:
+        found = s.map(lambda v: m[group] if v is not None and (m := re.search(pattern, v)) else None)
+        return found.astype("object")
+
+    return python_extract(c)
 
 
-def extract_code(c: Column, pattern: str = r"Code: (\d+)", default: int = 0) -> Column:
+def extract_code(c: Column, pattern: str, default: int = 0) -> Column:
     """``str.extract(p).fillna(0).astype(int)``."""
     return F.coalesce(extract(c, pattern).try_cast("long"), F.lit(default))
 

@@ -9,20 +9,16 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.operators.order import as_list, join_on_keys
-from flowframe.sources.io import broadcast_if_bounded
 
 
-def merge_left(df: DataFrame, dim: DataFrame, on: Sequence[str], null_safe: bool = False,
-               max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def merge_left(df: DataFrame, dim: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
     """``pd.merge(df, master, on=, how='left')``; unmatched rows kept.
 
-    The dimension is broadcast only after its row count is proven below
-    ``max_broadcast_rows``; otherwise AQE chooses at run time.  ``null_safe``
-    matches NULL keys with NULL keys as pandas does (S3)."""
-    d = broadcast_if_bounded(dim, max_broadcast_rows)
+    The join strategy is left to Spark, which broadcasts by size in bytes.
+    ``null_safe`` matches NULL keys with NULL keys as pandas does (S3)."""
     if null_safe:
-        return join_on_keys(df, d, list(on), "left")
-    return df.join(d, list(on), "left")
+        return join_on_keys(df, dim, list(on), "left")
+    return df.join(dim, list(on), "left")
 
 
 def merge_asof(left: DataFrame, right: DataFrame, on: str, by=None,

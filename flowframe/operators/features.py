@@ -62,10 +62,12 @@ def tfidf_top_terms(df: DataFrame, id_col: str, text_col: str, max_features: int
     tok = df.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0))
                     .alias("term"))
     tok = tok.where(~F.col("term").isin(stops))
-    tf = tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
-               .orderBy(F.col("_total").desc(), F.col("term")).limit(max_features))
+    # counts combine before the shuffle; only tokens of the chosen terms meet their document
+    chosen = (tok.groupBy("term").agg(F.count(F.lit(1)).alias("_total"))
+                 .orderBy(F.col("_total").desc(), F.col("term")).limit(max_features).select("term"))
+    tf = (tok.join(F.broadcast(chosen), "term").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     n_docs = df.agg(F.count(F.lit(1))).scalar()
+    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))       # max_features rows
     idf = vocab.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("_df"))) + 1.0).alias("_idf"))
     w = tf.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
     # at most max_features rows per document: a bounded window
@@ -75,12 +77,11 @@ def tfidf_top_terms(df: DataFrame, id_col: str, text_col: str, max_features: int
 
 # ---------------------------------------------------------------- J2-J5 encoders
 
-def levels(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
-    """Sorted distinct non-NULL values of a categorical column, checked bounded."""
-    vals = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).limit(max_levels + 1).collect()
-    if len(vals) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; encode with index_labels instead")
-    return [r[0] for r in vals]
+def levels(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-NULL values of a categorical column.  Each becomes a column of
+    the result, so the plan's width, not this list, is what limits their number."""
+    vals = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col)
+    return [r[0] for r in vals.toLocalIterator()]
 
 
 def get_dummies(df: DataFrame, col: str, drop_first: bool = True, prefix: str | None = None,
@@ -103,13 +104,12 @@ def one_hot(df: DataFrame, col: str, fitted_levels: Sequence, prefix: str | None
 
 
 def label_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """``LabelEncoder``: code = index of the value among sorted levels.
-    Spark ML ``StringIndexer(stringOrderType='alphabetAsc')``."""
-    from pyspark.ml.feature import StringIndexer
+    """``LabelEncoder``: code = index of the value among sorted levels, from the
+    scalable row index over the distinct values; no level passes the driver.  A missing
+    value sorts after all others, as one more level."""
     name = name or f"{col}_label"
-    model = StringIndexer(inputCol=col, outputCol="_idx", stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    return model.transform(df).withColumn(name, F.col("_idx").cast("int")).drop("_idx")
+    codes = O.positions(df.select(col).distinct(), [], [col], name)
+    return join_on_keys(df, codes.withColumn(name, F.col(name).cast("int")), [col], "left")
 
 
 def ordinal_encode(df: DataFrame, col: str, categories: Sequence, name: str | None = None) -> DataFrame:
@@ -166,7 +166,7 @@ def f_regression(df: DataFrame, features: Sequence[str], target: str) -> DataFra
     one aggregate pass; output (feature, f_score, rank)."""
     one = df.agg(F.count(F.lit(1)).alias("n"), *[F.corr(f, target).alias(f"r_{i}") for i, f in enumerate(features)])
     rows = [F.struct(F.lit(f).alias("feature"),
-                     (F.col(f"r_{i}") ** 2 / (1 - F.col(f"r_{i}") ** 2) * (F.col("n") - 2)).alias("f_score"))
+                     (F.try_divide(F.col(f"r_{i}") ** 2, 1 - F.col(f"r_{i}") ** 2) * (F.col("n") - 2)).alias("f_score"))
             for i, f in enumerate(features)]
     return _ranked(one.select(F.explode(F.array(*rows)).alias("e")).select("e.*"))
 
@@ -186,7 +186,7 @@ def f_classif(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     for i, f in enumerate(features):
         ssb = F.col(f"B{i}") - F.col(f"S{i}") * F.col(f"S{i}") / F.col("N")
         ssw = F.col(f"Q{i}") - F.col(f"B{i}")
-        fs = (ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k")))
+        fs = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(ssw, F.col("N") - F.col("k")))
         rows.append(F.struct(F.lit(f).alias("feature"), fs.alias("f_score")))
     return _ranked(t.select(F.explode(F.array(*rows)).alias("e")).select("e.*"))
 

@@ -29,9 +29,10 @@ DECILES = [f"q{10 * (i + 1)}" for i in range(9)]
 
 
 def forecast(df: DataFrame, keys, ts: str, value: str, horizon: int = 30, method: str = "naive",
-             season: int = 7, context: int = 1024, step_days: int = 1, clamp: bool = True) -> DataFrame:
+             season: int = 7, context: int | None = None, step_days: int = 1, clamp: bool = True) -> DataFrame:
     """Forecast the next ``horizon`` steps of every series from its latest
-    ``context`` points.
+    ``context`` points (default: the whole history).  A forecast that a short series
+    does not allow - drift of one point, a season that it does not cover - is NULL.
 
     With last value L, first context value F, context length n and one-step
     error spread s (sample std): naive ``L`` +- ``s sqrt(h)``; drift ``L + h(L-F)/(n-1)``
@@ -44,17 +45,17 @@ def forecast(df: DataFrame, keys, ts: str, value: str, horizon: int = 30, method
     d = O.positions(df, keys, [ts], "_fp")
     n_all = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nall"))
     d = join_on_keys(d, n_all, keys) if keys else d.withColumn("_nall", d.agg(F.count(F.lit(1))).scalar())
-    ctx = d.where(F.col("_fp") >= F.col("_nall") - context).withColumn("_ctxp", F.col("_fp") - F.greatest(
-        F.col("_nall") - context, F.lit(0)))
+    skip = F.greatest(F.col("_nall") - context, F.lit(0)) if context else F.lit(0)
+    ctx = d.where(F.col("_fp") >= skip).withColumn("_ctxp", F.col("_fp") - skip)
     m = season if method == "seasonal_naive" else 1
     ctx = W.lags(ctx, keys, [ts], value, [m], ["_prev"], pos="_ctxp")
     stats = ctx.groupBy(*keys).agg(
         F.max_by(value, "_ctxp").alias("_L"), F.min_by(value, "_ctxp").alias("_F"),
         F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_last_ts"), F.min(value).alias("_min"),
         F.stddev_samp(F.col(value) - F.col("_prev")).alias("_s_naive"),
-        F.sort_array(F.collect_list(F.when(F.col("_ctxp") >= F.col("_nall") - F.greatest(
-            F.col("_nall") - context, F.lit(0)) - season, F.struct("_ctxp", F.col(value).alias("v"))))).alias("_tail"))
-    drift = (F.col("_L") - F.col("_F")) / (F.col("_n") - 1)
+        F.sort_array(F.collect_list(F.when(F.col("_ctxp") >= F.col("_nall") - skip - season,
+                                           F.struct("_ctxp", F.col(value).alias("v"))))).alias("_tail"))
+    drift = F.try_divide(F.col("_L") - F.col("_F"), F.col("_n") - 1)
     # spread: sample std of the one-step (one-season) errors; the drift method's
     # errors are the naive ones shifted by the mean step, so the std is the same
     stats = stats.withColumn("_s", F.col("_s_naive"))
@@ -64,10 +65,11 @@ def forecast(df: DataFrame, keys, ts: str, value: str, horizon: int = 30, method
         point, spread = F.col("_L"), F.col("_s") * F.sqrt(h)
     elif method == "drift":
         point = F.col("_L") + h * drift
-        spread = F.col("_s") * F.sqrt(h * (1 + h / (F.col("_n") - 1)))
+        spread = F.col("_s") * F.sqrt(h * (1 + F.try_divide(h, F.col("_n") - 1)))
     elif method == "seasonal_naive":
         tail = F.transform("_tail", lambda e: e["v"])
-        point = F.element_at(tail, F.size(tail) - F.lit(season) + F.pmod(h - 1, F.lit(season)) + 1)
+        at = F.size(tail) - F.lit(season) + F.pmod(h - 1, F.lit(season)) + 1
+        point = F.when(at >= 1, F.try_element_at(tail, F.greatest(at, F.lit(1))))
         spread = F.col("_s") * F.sqrt(F.floor((h - 1) / season) + 1)
     else:
         raise ValueError(method)
@@ -87,7 +89,8 @@ def recursive_forecast(history: DataFrame, keys, ts: str, value: str, n_lags: in
     ``horizon`` steps by feeding predictions back as lags.  The frontier holds
     one row per series with its last ``n_lags`` values as an array; each step is
     one distributed ``transform``.  Lineage is cut with ``checkpoint()`` (the
-    shared checkpoint folder) every ``checkpoint_every`` steps."""
+    shared checkpoint folder) every ``checkpoint_every`` steps.  A series with fewer
+    than ``n_lags`` points, or a missing one among the last, has NULL forecasts."""
     keys = as_list(keys)
     lags = list(range(1, n_lags + 1))
     tr = W.lags(history, keys, [ts], value, lags, [f"_l{k}" for k in lags]).dropna(
@@ -102,7 +105,11 @@ def recursive_forecast(history: DataFrame, keys, ts: str, value: str, n_lags: in
               .groupBy(*keys, "_last").agg(F.sort_array(F.collect_list(F.struct("_rp", F.col(value).cast("double")
                                                                               .alias("v")))).alias("_t"))
               .select(*keys, "_last", F.transform("_t", lambda e: e["v"]).alias("_hist")))
-    preds = []
+    ready = (F.size("_hist") == n_lags) & ~F.exists("_hist", lambda v: v.isNull())
+    short = front.where(~ready).select(*keys, "_last", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    preds = [short.select(*keys, "step", (F.col("_last") + F.make_interval(days=F.col("step"))).alias("ts"),
+                          F.lit(None).cast("double").alias("forecast"))]
+    front = checkpoint(front.where(ready))
     for step in range(1, horizon + 1):
         # lag k is the k-th value from the end of the history array
         feats = F.array(*[F.element_at("_hist", -k) for k in lags])

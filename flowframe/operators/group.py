@@ -66,10 +66,11 @@ def pivot_table(df: DataFrame, index, columns: str, values: str, aggfunc: str =
     src = df.dropna(subset=[*index, columns]).where(F.col(values).isNotNull())
     g = src.groupBy(*index)
     p = (g.pivot(columns, list(levels)) if levels is not None else g.pivot(columns)).agg(AGG[aggfunc](values))
-    # pandas drops value columns that are missing everywhere (one count per column)
-    vcols = [c for c in p.columns if c not in index]
-    counts = p.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(vcols)]).first()
-    p = p.drop(*[c for i, c in enumerate(vcols) if counts[f"_n{i}"] == 0])
+    # pandas drops value columns that are missing everywhere: given levels without any row
+    # (an aggregate by pivot value; levels found in the data have rows by construction)
+    if levels is not None:
+        present = {r[0] for r in src.where(F.col(columns).isin(list(levels))).select(columns).distinct().collect()}
+        p = p.drop(*[str(v) for v in levels if v not in present])
     if fill_value is not None:
         p = p.na.fill(fill_value)
     return p
@@ -107,20 +108,13 @@ def explode_list(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     return df.withColumn(name or col, F.explode_outer(col))
 
 
-def group_apply(df: DataFrame, keys, fn, schema: str, max_group_rows: int = 1_000_000) -> DataFrame:
+def group_apply(df: DataFrame, keys, fn, schema: str) -> DataFrame:
     """An opaque pandas function per group (``groupby.transform/filter``
-    with a lambda) through ``applyInPandas``.
+    with a lambda) through ``applyInPandas``, for functions that have no native form.
 
-    ``applyInPandas`` hands each whole group to one task, so the largest group
-    size is proven below ``max_group_rows`` first (one partial-aggregated count)
-    and larger inputs are refused: use the window/aggregate forms (G1, G2, F4),
-    which have no such limit."""
-    keys = as_list(keys)
-    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if biggest > max_group_rows:
-        raise ValueError(f"largest group has {biggest} rows > {max_group_rows}; use a window or "
-                         "aggregate expression instead of an opaque group function")
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+    ``applyInPandas`` hands each whole group to one task; window and aggregate forms
+    (G1, G2, F4) have no such limit."""
+    return df.groupBy(*as_list(keys)).applyInPandas(fn, schema)
 
 
 def row_apply(fn, return_type: str) -> Callable:

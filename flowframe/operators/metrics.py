@@ -15,15 +15,16 @@ from flowframe.operators.order import as_list, join_on_keys
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str, keys=None) -> DataFrame:
-    """M1: MSE, RMSE, MAE, R^2 (and MAPE) overall or per key."""
+    """M1: MSE, RMSE, MAE, R^2 (and MAPE) overall or per key.  Rows with a label of 0
+    have no relative error and are left out of MAPE; R^2 of constant labels is NULL."""
     keys = as_list(keys)
     e = F.col(y) - F.col(pred)
     g = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
         F.sum(e * e).alias("_sse"), F.var_pop(y).alias("_vy"),
-        F.avg(F.abs(e) / F.abs(F.col(y))).alias("mape"))
+        F.avg(F.try_divide(F.abs(e), F.abs(F.col(y)))).alias("mape"))
     return g.select(*keys, "n", "mse", F.sqrt("mse").alias("rmse"), "mae",
-                    (1 - F.col("_sse") / (F.col("_vy") * F.col("n"))).alias("r2"), "mape")
+                    (1 - F.try_divide(F.col("_sse"), F.col("_vy") * F.col("n"))).alias("r2"), "mape")
 
 
 def binary_metrics(df: DataFrame, y: str, pred: str, positive=1) -> DataFrame:
@@ -52,7 +53,7 @@ def roc_auc(df: DataFrame, y: str, score: str, positive=1) -> DataFrame:
     ranks = g.select((F.col("_p") * (below + (F.col("_c") + 1) / 2.0)).alias("_rs"), "_p", "_c")
     t = ranks.agg(F.sum("_rs").alias("rs"), F.sum("_p").alias("n1"), F.sum("_c").alias("n"))
     n0 = F.col("n") - F.col("n1")
-    return t.select(((F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2.0) / (F.col("n1") * n0)).alias("roc_auc"))
+    return t.select(F.try_divide(F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2.0, F.col("n1") * n0).alias("roc_auc"))
 
 
 def confusion_matrix(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -126,9 +127,9 @@ def silhouette_sq(df: DataFrame, id_col: str, vec: str, cluster: str) -> DataFra
     tot = F.col("_n") * F.col("_q") - 2 * dot + F.col("_qsum")
     own = F.col("_k") == F.col("_c")
     r = j.groupBy("_id").agg(
-        F.max(F.when(own & (F.col("_n") > 1), tot / (F.col("_n") - 1))).alias("a"),
+        F.max(F.when(own & (F.col("_n") > 1), F.try_divide(tot, F.col("_n") - 1))).alias("a"),
         F.max(F.when(own, F.col("_n") == 1)).alias("_single"),
         F.min(F.when(~own, tot / F.col("_n"))).alias("b"))
     sil = F.when(F.col("_single"), F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest(F.col("a"), F.col("b"))), F.lit(0.0)))
     return r.agg(F.avg(sil).alias("silhouette"))

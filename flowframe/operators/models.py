@@ -12,13 +12,14 @@ import math
 from typing import Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 UnivariateFeatureSelector, VectorAssembler, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +74,14 @@ def coefficients(model, features: Sequence[str], name: str) -> DataFrame:
 
 
 def random_fourier(df: DataFrame, cols: Sequence[str], n_components: int = 100, gamma: float | None = None,
-                   seed: int = 42, prefix: str = "rff") -> tuple[DataFrame, list[str]]:
+                   seed: int = 42, prefix: str = "rff", fit_on: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """K3/K7 re-aim of the RBF kernel: random Fourier features
     ``sqrt(2/D) cos(w.x + b)`` with ``w ~ N(0, 2 gamma)`` (Rahimi & Recht 2007).
     ``gamma`` defaults to 1 / (d * var(X)) (the 'scale' rule); inputs are
-    standardised first so the kernel width is comparable across columns."""
+    standardised first so the kernel width is comparable across columns, with the
+    statistics of ``fit_on`` (the training rows; default: ``df``)."""
     d = len(cols)
-    std = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+    std = (df if fit_on is None else fit_on).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     z = [(F.col(c) - std[f"m{i}"]) / (std[f"s{i}"] or 1.0) for i, c in enumerate(cols)]
     g = gamma if gamma is not None else 1.0 / d
@@ -102,7 +104,7 @@ def rbf_regression(train: DataFrame, test: DataFrame, features: Sequence[str], l
     """K3: kernel regression on random Fourier features with a robust (Huber)
     linear fit in place of the epsilon-insensitive SVR loss."""
     both = train.withColumn("_is_test", F.lit(False)).unionByName(test.withColumn("_is_test", F.lit(True)))
-    both, names = random_fourier(both, features, n_components, seed=seed)
+    both, names = random_fourier(both, features, n_components, seed=seed, fit_on=train)
     tr = assemble(both.where(~F.col("_is_test")), names)
     te = assemble(both.where(F.col("_is_test")), names)
     m = LinearRegression(labelCol=label, loss="huber", regParam=1e-3, maxIter=200).fit(tr)
@@ -141,7 +143,7 @@ def rbf_classifier(train: DataFrame, test: DataFrame, features: Sequence[str], l
     Fourier features, its margin calibrated to a probability by a one-feature
     logistic fit (Platt scaling)."""
     both = train.withColumn("_is_test", F.lit(False)).unionByName(test.withColumn("_is_test", F.lit(True)))
-    both, names = random_fourier(both, features, n_components, seed=seed)
+    both, names = random_fourier(both, features, n_components, seed=seed, fit_on=train)
     tr = assemble(both.where(~F.col("_is_test")), names)
     te = assemble(both.where(F.col("_is_test")), names)
     svm = LinearSVC(labelCol=label, regParam=1e-3).fit(tr)
@@ -181,11 +183,51 @@ def hierarchical(k: int = 3, seed: int = 42) -> BisectingKMeans:
 
 # ---------------------------------------------------------------- K14, K15 pipelines
 
+class PopulationScaler(Estimator):
+    """Centre and scale a vector by the population standard deviation (Spark's own
+    scaler uses the sample one; S5).  The fitted model is a pipeline of Spark stages."""
+
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__()
+        self.columns = (inputCol, outputCol)
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        source, target = self.columns
+        middle = f"{target}_sample"
+        sample = StandardScaler(inputCol=source, outputCol=middle, withMean=True, withStd=True).fit(df)
+        n = df.count()
+        factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+        again = ElementwiseProduct(scalingVec=Vectors.dense([factor] * sample.mean.size), inputCol=middle, outputCol=target)
+        return PipelineModel([sample, again])
+
+
+class FourierFeatures(Estimator):
+    """K3 features of a vector column as a pipeline stage, scaled on the rows it is fitted on."""
+
+    def __init__(self, features: Sequence[str], outputCol: str, n_components: int = 100, seed: int = 42):
+        super().__init__()
+        self.spec = (list(features), outputCol, n_components, seed)
+
+    def _fit(self, df: DataFrame) -> "FourierModel":
+        return FourierModel(self.spec, df)
+
+
+class FourierModel(Transformer):
+    def __init__(self, spec, train: DataFrame):
+        super().__init__()
+        self.spec, self.train = spec, train
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        features, out, n, seed = self.spec
+        wide, names = random_fourier(df, features, n, seed=seed, fit_on=self.train)
+        return assemble(wide, names, out).drop(*names)
+
+
 def column_transformer(numeric: Sequence[str], categorical: Sequence[str], out: str = FEATURES) -> list:
     """Scale numeric columns (population std, centred) and one-hot encode
     categorical ones (unknown level -> all zeros), assembled to one vector."""
     stages = [VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="keep"),
-              StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True)]
+              PopulationScaler("_num", "_num_s")]
     oh = []
     for c in categorical:
         stages.append(StringIndexer(inputCol=c, outputCol=f"_{c}_i", handleInvalid="keep",
@@ -193,7 +235,7 @@ def column_transformer(numeric: Sequence[str], categorical: Sequence[str], out:
         oh.append(c)
     if oh:
         stages.append(OneHotEncoder(inputCols=[f"_{c}_i" for c in oh], outputCols=[f"_{c}_oh" for c in oh],
-                                    dropLast=True, handleInvalid="keep"))
+                                    dropLast=True, handleInvalid="error"))  # the indexer's slot for unknown levels is the last
     stages.append(VectorAssembler(inputCols=["_num_s", *[f"_{c}_oh" for c in oh]], outputCol=out))
     return stages
 
@@ -202,7 +244,7 @@ def scale_select_model(features: Sequence[str], estimator, k: int | None = None,
                        task: str = "regression") -> Pipeline:
     """``Pipeline([scaler, SelectKBest(k), model])``."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="keep"),
-              StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)]
+              PopulationScaler("_raw", "_scaled")]
     src = "_scaled"
     if k:
         ftype = "continuous" if task == "regression" else "continuous"

@@ -1,99 +1,125 @@
-"""Exact nearest neighbours and density clustering without forming pairs of
-rows (K8, K12, D12), and iterative imputation (D13).
-
-Candidates (training rows, donors) are cut into blocks of at most
-``block_rows`` rows; each block is broadcast in turn (a proven size bound) and
-every query partition keeps only its k best candidates of that block with NumPy
-inside ``mapInPandas``.  The per-block top-k lists (k rows per query and block,
-never one row per pair) are merged with a grouped ``sort_array``.  The work is
-the inherent n_query x n_candidate distance computations; memory per task is
-one block.
+"""Exact nearest neighbours and density clustering (K8, K12, D12), and iterative
+imputation (D13).
+
+Neighbours: queries and candidates are packed on the executors into blocks of
+bounded size (a hash of the id picks the block); every query block meets every
+candidate block through an equality join, and a task keeps only the k best
+candidates of each query in a pair of blocks.  No row of either side passes the
+driver, no row per pair is made, and a task holds two blocks and one slice of
+their distances.
+
+Density clustering: a grid whose cells have a diagonal of ``eps``.  Cells with
+``min_samples`` rows are all core and one cluster, so only rows of sparser cells
+are compared with the rows of nearby cells; clusters are connected components of
+cells, whatever their diameter.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
+from itertools import product
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
+from flowframe.operators.components import connected_components
 from flowframe.session import checkpoint
 
+#: Bytes of coordinates in a block, and cells of a slice of distances.
+BLOCK_BYTES = 4 << 20
+SLICE_CELLS = 1 << 21
 
-def _blocks(cands: DataFrame, id_col: str, block_rows: int) -> tuple[DataFrame, int]:
-    """Candidates numbered by id and cut into blocks of ``block_rows``; written
-    once to the checkpoint folder so each block read is a scan, not a recompute."""
-    c = O.positions(cands, [], [id_col], "_cp").withColumn("_cb", F.floor(F.col("_cp") / block_rows))
-    c = checkpoint(c)
-    n = c.count()
-    return c, max(1, math.ceil(n / block_rows))
+
+def _packed(df: DataFrame, id_col: str, feats: Column, payload: Column, block: str, dims: int,
+            block_rows: int | None) -> DataFrame:
+    """``df`` in blocks: one row of (block, ids, payload, coordinates) each."""
+    rows = block_rows or max(256, BLOCK_BYTES // (8 * max(1, dims)))
+    n = max(1, -(-df.count() // rows))
+    d = df.select(F.col(id_col).cast("long").alias("id"), feats.alias("x"), payload.alias("y"),
+                  F.pmod(F.xxhash64(id_col), F.lit(n)).cast("long").alias(block))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        x = np.array([[np.nan if v is None else v for v in r] for r in pdf["x"]], dtype="float64").reshape(len(pdf), dims)
+        return pd.DataFrame({block: [int(pdf[block].iloc[0])], "ids": [pdf["id"].tolist()], "ys": [pdf["y"].tolist()],
+                             "xs": [x.tobytes()]})
+
+    kind = dict(d.dtypes)["y"]
+    return checkpoint(d.groupBy(block).applyInPandas(pack, f"{block} long, ids array<long>, ys array<{kind}>, xs binary"))
 
 
 def knn_topk(queries: DataFrame, cands: DataFrame, q_id: str, c_id: str, cols: Sequence[str],
-             payload: str, k: int = 5, block_rows: int = 50_000, nan_euclidean: bool = False,
+             payload: str, k: int = 5, block_rows: int | None = None, nan_euclidean: bool = False,
              vector: str | None = None) -> DataFrame:
     """For every query row, its k nearest candidates as (q_id, rank, dist, c_id,
     payload); ties broken by candidate id.  Distances are Euclidean over
     ``cols`` (or the array column ``vector``); with ``nan_euclidean`` missing
     coordinates are skipped and the sum scaled by total/present (sklearn's
     nan_euclidean)."""
-    spark = queries.sparkSession
-    sc = spark.sparkContext
-    c, nb = _blocks(cands, c_id, block_rows)
+    feats = F.col(vector).cast("array<double>") if vector else F.array(*[F.col(c).cast("double") for c in cols])
+    dims = (queries.select(F.max(F.size(vector))).first()[0] or 0) if vector else len(cols)
+    q = _packed(queries, q_id, feats, F.lit(0), "_qb", dims, block_rows).select("_qb", F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"))
+    c = _packed(cands, c_id, feats, F.col(payload), "_cb", dims, block_rows)
     ptype = dict(cands.dtypes)[payload]
-    schema = f"_q LONG, _d DOUBLE, _c LONG, _pl {ptype}"
-    parts = []
-    feat = [vector] if vector else list(cols)
-    for b in range(nb):
-        blk = c.where(F.col("_cb") == b).select(c_id, payload, *feat).toPandas()
-        if vector:
-            X = np.stack(blk[vector].to_numpy()).astype("float64")
+    n = c.agg(F.coalesce(F.max("_cb"), F.lit(-1))).first()[0]
+    pairs = q.withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 0)).cast("long")))).join(c, "_cb")
+
+    def top(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                yield _block_top(row, dims, k, nan_euclidean)
+
+    found = pairs.select("q_ids", "q_xs", "ids", "ys", "xs").mapInPandas(top, f"_q long, _d double, _c long, _pl {ptype}")
+    w = Window.partitionBy("_q").orderBy("_d", "_c")
+    best = found.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+    return best.select(F.col("_q").alias(q_id), (F.col("_rank") - 1).alias("rank"), F.col("_d").alias("dist"),
+                       F.col("_c").alias(c_id + "_nn"), F.col("_pl").alias(payload))
+
+
+def _block_top(row, dims: int, k: int, nan_euclidean: bool) -> pd.DataFrame:
+    """The k nearest rows of one candidate block for every row of one query block."""
+    q_ids, ids = np.asarray(row.q_ids, dtype="int64"), np.asarray(row.ids, dtype="int64")
+    ys = np.asarray(row.ys, dtype=object)
+    q_all = np.frombuffer(row.q_xs).reshape(len(q_ids), dims)
+    x = np.frombuffer(row.xs).reshape(len(ids), dims)
+    x0, x_here = np.nan_to_num(x), ~np.isnan(x)
+    out = []
+    step = max(1, SLICE_CELLS // max(1, len(ids)))
+    for at in range(0, len(q_ids), step):
+        q = q_all[at:at + step]
+        q0, q_here = np.nan_to_num(q), ~np.isnan(q)
+        both = q_here.astype(float) @ x_here.T.astype(float)
+        rough = np.maximum((q0 ** 2) @ x_here.T + q_here @ (x0 ** 2).T - 2 * q0 @ x0.T, 0)
+        if nan_euclidean:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                rough = np.where(both > 0, rough * dims / both, np.inf)
         else:
-            X = blk[list(cols)].to_numpy(dtype="float64")
-        bc = sc.broadcast((X, blk[c_id].to_numpy(dtype="int64"), blk[payload].to_numpy()))
-
-        def top(it, bc=bc):
-            Xc, ids, pl = bc.value
-            for pdf in it:
-                if vector:
-                    Q = np.stack(pdf[vector].to_numpy()).astype("float64")
-                else:
-                    Q = pdf[list(cols)].to_numpy(dtype="float64")
-                if nan_euclidean:
-                    D = Q.shape[1]
-                    qm, cm = ~np.isnan(Q), ~np.isnan(Xc)
-                    Qz, Cz = np.nan_to_num(Q), np.nan_to_num(Xc)
-                    both = qm.astype(float) @ cm.T.astype(float)
-                    sq = (Qz ** 2) @ cm.T + qm @ (Cz ** 2).T - 2 * Qz @ Cz.T
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        d2 = np.where(both > 0, np.maximum(sq, 0) * D / both, np.inf)
-                else:
-                    d2 = np.maximum((Q ** 2).sum(1)[:, None] + (Xc ** 2).sum(1)[None, :] - 2 * Q @ Xc.T, 0)
-                kk = min(k, Xc.shape[0])
-                # order by (distance, candidate id)
-                order = np.lexsort((np.broadcast_to(ids, d2.shape), d2), axis=1)[:, :kk]
-                rows = np.repeat(pdf[q_id].to_numpy(dtype="int64"), kk)
-                dd = np.take_along_axis(d2, order, 1).ravel()
-                yield pd.DataFrame({"_q": rows, "_d": np.sqrt(dd), "_c": ids[order].ravel(),
-                                    "_pl": pl[order].ravel()})
-
-        parts.append(queries.select(q_id, *feat).mapInPandas(top, schema))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    best = allp.where(~F.isnan("_d") & (F.col("_d") < F.lit(float("inf")))).groupBy("_q").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("_d", "_c", "_pl"))), 1, k).alias("_nn"))
-    out = best.select(F.col("_q").alias(q_id), F.posexplode("_nn").alias("rank", "_n"))
-    return out.select(q_id, "rank", F.col("_n._d").alias("dist"), F.col("_n._c").alias(c_id + "_nn"),
-                      F.col("_n._pl").alias(payload))
+            rough = np.where(both == dims, rough, np.inf)
+        # a few more than k by the fast formula, then exact sums decide
+        some = min(k + 16, len(ids))
+        near = np.lexsort((np.broadcast_to(ids, rough.shape), rough), axis=1)[:, :some]
+        gap = q0[:, None, :] - x0[near]
+        here = q_here[:, None, :] & x_here[near]
+        exact = np.where(here, gap * gap, 0.0).sum(axis=2)
+        if nan_euclidean:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                exact = exact * dims / here.sum(axis=2)
+        exact = np.where(np.isfinite(np.take_along_axis(rough, near, 1)), exact, np.inf)
+        order = np.lexsort((ids[near], exact), axis=1)[:, :k]
+        d, c = np.take_along_axis(exact, order, 1), np.take_along_axis(near, order, 1)
+        keep = np.isfinite(d)
+        out.append(pd.DataFrame({"_q": np.broadcast_to(q_ids[at:at + step, None], d.shape)[keep], "_d": np.sqrt(d[keep]),
+                                 "_c": ids[c][keep], "_pl": ys[c][keep]}))
+    return pd.concat(out)
 
 
 def knn_classify(train: DataFrame, test: DataFrame, id_col: str, label: str, cols: Sequence[str] = (),
-                 vector: str | None = None, k: int = 5, block_rows: int = 50_000) -> DataFrame:
+                 vector: str | None = None, k: int = 5, block_rows: int | None = None) -> DataFrame:
     """K8: ``KNeighborsClassifier(k)``: majority vote of the k nearest training
     rows, ties to the smallest label.  Output (id, predicted)."""
     nn = knn_topk(test, train, id_col, id_col, cols, label, k, block_rows, vector=vector)
@@ -102,7 +128,7 @@ def knn_classify(train: DataFrame, test: DataFrame, id_col: str, label: str, col
 
 
 def knn_impute(df: DataFrame, id_col: str, cols: Sequence[str], target: str, k: int = 5,
-               block_rows: int = 50_000) -> DataFrame:
+               block_rows: int | None = None) -> DataFrame:
     """``KNNImputer(n_neighbors=k)`` for one column: a missing ``target``
     takes the mean of the k nearest donors that have it (nan-Euclidean over
     ``cols``, unscaled); the column mean when no donor is comparable."""
@@ -123,7 +149,8 @@ def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter:
     it is observed) and predict its missing cells; repeat up to ``max_iter``
     rounds until the largest change is below ``tol`` times the largest absolute
     value.  Each round is checkpointed to the shared checkpoint folder, which
-    also cuts the lineage of the loop."""
+    also cuts the lineage of the loop.  Stopping at ``max_iter`` without
+    convergence warns, as the library does."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
     cols = list(cols)
@@ -149,98 +176,92 @@ def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter:
         change = j.agg(F.greatest(F.lit(0.0), *[F.max(F.abs(F.col(c) - F.col(f"_p_{c}"))) for c in todo])).first()[0]
         if (change or 0.0) < tol * scale:
             break
+    else:
+        warnings.warn(f"iterative_impute: no convergence after {max_iter} rounds", RuntimeWarning, stacklevel=2)
     return d.drop(*[f"_obs_{c}" for c in todo])
 
 
 # ---------------------------------------------------------------- K12 density clustering
 
-def block_scan(queries: DataFrame, cands: DataFrame, q_id: str, c_id: str, cols: Sequence[str],
-               kernel, out_schema: str, extra: Sequence[str] = (), block_rows: int = 50_000) -> DataFrame:
-    """Stream bounded blocks of ``cands`` past every query partition.
-
-    ``kernel(Q, q_ids, X, c_ids, extras) -> pandas.DataFrame`` returns per-query
-    partial results for one block (never one row per pair); the caller merges
-    the blocks with a grouped aggregate.  Each block is broadcast with a proven
-    size bound (``block_rows``)."""
-    sc = queries.sparkSession.sparkContext
-    c, nb = _blocks(cands, c_id, block_rows)
-    parts = []
-    for b in range(nb):
-        blk = c.where(F.col("_cb") == b).select(c_id, *cols, *extra).toPandas()
-        bc = sc.broadcast((blk[list(cols)].to_numpy(dtype="float64"), blk[c_id].to_numpy(dtype="int64"),
-                           {e: blk[e].to_numpy() for e in extra}))
-
-        def run(it, bc=bc):
-            X, ids, ex = bc.value
-            for pdf in it:
-                Q = pdf[list(cols)].to_numpy(dtype="float64")
-                yield kernel(Q, pdf[q_id].to_numpy(dtype="int64"), X, ids, ex)
-
-        parts.append(queries.select(q_id, *cols).mapInPandas(run, out_schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _sq_dist(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
-    return np.maximum((Q ** 2).sum(1)[:, None] + (X ** 2).sum(1)[None, :] - 2 * Q @ X.T, 0.0)
-
-
-def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 0.5, min_samples: int = 5,
-           block_rows: int = 50_000, max_rounds: int = 100) -> DataFrame:
-    """``DBSCAN(eps, min_samples)``, exact, without forming pairs of rows.
-
-    1. core: at least ``min_samples`` rows (itself included) within ``eps``: a
-       per-query count summed over candidate blocks;
-    2. clusters: connected components of core rows under the eps relation, by
-       repeated min-label propagation (each round a blocked scan returning the
-       smallest label within eps) plus pointer jumping, checkpointed per round;
+def _square(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+
+
+def _cell_pairs(cells: DataFrame, dims: int, side: float, eps: float) -> DataFrame:
+    """(a, b) of the occupied cells that can hold rows within ``eps``, both ways and
+    with themselves.  The join key is the first three coordinates, shifted."""
+    first = min(dims, 3)
+    reach = math.ceil(eps / side)
+    shifts = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in product(range(-reach, reach + 1), repeat=first)])
+    head = F.slice("cell", 1, first)
+    left = cells.select(F.col("cell").alias("a"), F.explode(F.transform(shifts, lambda o: F.zip_with(head, o, lambda x, y: x + y))).alias("key"))
+    right = cells.select(F.col("cell").alias("b"), head.alias("key"))
+    gap = F.zip_with("a", "b", lambda x, y: F.greatest(F.abs(x - y) - 1, F.lit(0)).cast("double") * side)
+    near = F.aggregate(gap, F.lit(0.0), lambda s, v: s + v * v) <= eps * eps * (1 + 1e-9)
+    return left.join(right, "key").where(near).select("a", "b")
+
+
+def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 0.5, min_samples: int = 5) -> DataFrame:
+    """``DBSCAN(eps, min_samples)``, exact.
+
+    1. core: at least ``min_samples`` rows (itself included) within ``eps``.  All
+       rows of a cell are within ``eps`` of each other, so cells that full need no
+       comparison; the rows of other cells are counted against nearby cells;
+    2. clusters: the core rows of a cell belong together, so clusters are connected
+       components of cells.  Two cells are linked if two of their core rows are
+       within ``eps``: finer cells decide that by their corners where they can, and
+       rows are compared only where corners leave it open;
     3. border rows take the smallest cluster among core rows within eps, others
-       are noise (-1).  Clusters are numbered by their smallest id, which is the
-       order in which an index-order expansion discovers them.
+       are noise (-1), as are rows with a missing coordinate.  Clusters are numbered
+       by their smallest id, which is the order in which an index-order expansion
+       discovers them.
     Output: ``id_col``, ``cluster``.
     """
-    e2 = float(eps) ** 2
-    pts = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-
-    def count_kernel(Q, qids, X, ids, ex):
-        return pd.DataFrame({"_q": qids, "_n": (_sq_dist(Q, X) <= e2).sum(1).astype("int64")})
-
-    cnt = block_scan(pts, pts, id_col, id_col, cols, count_kernel, "_q LONG, _n LONG", block_rows=block_rows)
-    cnt = cnt.groupBy("_q").agg(F.sum("_n").alias("_n")).withColumnRenamed("_q", id_col)
-    tagged = checkpoint(O.join_on_keys(pts, cnt, [id_col]).withColumn("_core", F.col("_n") >= min_samples))
-    core = tagged.where("_core").select(id_col, *cols).withColumn("_lab", F.col(id_col))
-
-    def min_label_kernel(Q, qids, X, ids, ex):
-        lab = ex["_lab"].astype("int64")
-        near = _sq_dist(Q, X) <= e2
-        big = np.iinfo("int64").max
-        m = np.where(near, lab[None, :], big).min(1) if X.shape[0] else np.full(len(qids), big)
-        return pd.DataFrame({"_q": qids, "_m": m.astype("int64")})
-
-    core = checkpoint(core)
-    for _ in range(max_rounds):
-        m = block_scan(core, core, id_col, id_col, cols, min_label_kernel, "_q LONG, _m LONG",
-                       extra=["_lab"], block_rows=block_rows)
-        m = m.groupBy("_q").agg(F.min("_m").alias("_m")).withColumnRenamed("_q", id_col)
-        nxt = O.join_on_keys(core, m, [id_col]).withColumn("_new", F.least("_lab", "_m")).drop("_m")
-        # pointer jumping: take the label of the row named by the label
-        hop = nxt.select(F.col(id_col).alias("_new"), F.col("_new").alias("_hop"))
-        nxt = O.join_on_keys(nxt, hop, ["_new"], "left").withColumn("_new", F.least("_new", "_hop")).drop("_hop")
-        nxt = checkpoint(nxt)
-        changed = nxt.where(F.col("_new") != F.col("_lab")).limit(1).count()
-        core = nxt.drop("_lab").withColumnRenamed("_new", "_lab")
-        if not changed:
-            break
-    border = tagged.where(~F.col("_core")).select(id_col, *cols)
-    bm = block_scan(border, core, id_col, id_col, cols, min_label_kernel, "_q LONG, _m LONG",
-                    extra=["_lab"], block_rows=block_rows)
-    big = np.iinfo("int64").max
-    bm = (bm.groupBy("_q").agg(F.min("_m").alias("_lab")).withColumnRenamed("_q", id_col)
-            .where(F.col("_lab") < F.lit(big)))
-    labels = core.select(id_col, "_lab").unionByName(bm)
-    ranks = O.positions(labels.select("_lab").distinct(), [], ["_lab"], "_cluster")
-    out = O.join_on_keys(labels, ranks, ["_lab"]).select(id_col, F.col("_cluster").cast("int").alias("cluster"))
-    return O.join_on_keys(pts.select(id_col), out, [id_col], "left").withColumn(
-        "cluster", F.coalesce("cluster", F.lit(-1)))
+    dims, e2 = len(cols), float(eps) ** 2
+    side = float(eps) / math.sqrt(dims) * (1 - 1e-9)
+    fine = 8
+    every = df.select(id_col)
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    pts = df.select(F.col(id_col).alias("id"), x.alias("x")).where(~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
+    pts = checkpoint(pts.select("id", "x", F.transform("x", lambda v: F.floor(v / side)).alias("cell"),
+                                F.transform("x", lambda v: F.floor(v / (side / fine))).alias("sub")))
+    cells = pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    near = checkpoint(_cell_pairs(cells.select("cell"), dims, side, eps))
+    sparse = pts.join(cells.where(F.col("n") < min_samples).select("cell"), "cell", "left_semi")
+    around = sparse.select("id", "x", F.col("cell").alias("a")).join(near, "a")
+
+    def within(rows: DataFrame, others: DataFrame) -> DataFrame:
+        there = others.select(F.col("cell").alias("b"), F.col("x").alias("y"), *[c for c in others.columns if c not in ("id", "x", "cell", "sub")])
+        return rows.join(there, "b").where(_square("x", "y") <= e2)
+
+    counted = within(around, pts).groupBy("id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= min_samples)
+    full = pts.join(cells.where(F.col("n") >= min_samples).select("cell"), "cell", "left_semi")
+    core = checkpoint(full.select("id", "x", "cell", "sub").unionByName(
+        sparse.join(counted.select("id"), "id", "left_semi").select("id", "x", "cell", "sub")))
+
+    # links between cells that hold core rows
+    subs = core.select("cell", "sub").distinct()
+    link = near.where(F.col("a") < F.col("b"))
+    far = lambda p, q, d: F.aggregate(F.zip_with(p, q, lambda x, y: d(F.abs(x - y)).cast("double") * (side / fine)),
+                                      F.lit(0.0), lambda s, v: s + v * v)
+    corners = (link.join(subs.select(F.col("cell").alias("a"), F.col("sub").alias("sa")), "a")
+               .join(subs.select(F.col("cell").alias("b"), F.col("sub").alias("sb")), "b")
+               .where(far("sa", "sb", lambda v: F.greatest(v - 1, F.lit(0))) <= e2 * (1 + 1e-9)))
+    corners = checkpoint(corners.withColumn("sure", far("sa", "sb", lambda v: v + 1) <= e2 * (1 - 1e-9)))
+    sure = corners.where("sure").select("a", "b").distinct()
+    unsure = corners.join(sure, ["a", "b"], "left_anti")
+    rows = (unsure.join(core.select(F.col("cell").alias("a"), F.col("sub").alias("sa"), "x"), ["a", "sa"])
+            .join(core.select(F.col("cell").alias("b"), F.col("sub").alias("sb"), F.col("x").alias("y")), ["b", "sb"]))
+    linked = sure.unionByName(rows.where(_square("x", "y") <= e2).select("a", "b").distinct())
+    name = lambda c: F.concat_ws(",", F.transform(c, lambda v: v.cast("string")))
+    roots = connected_components(linked.select(name("a").alias("a"), name("b").alias("b")))
+    grouped = core.withColumn("node", name("cell")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labels = grouped.groupBy("root").agg(F.min("id").alias("lab"))
+    core_labels = checkpoint(grouped.join(labels, "root").select("id", "x", "cell", "lab"))
+
+    border = around.join(core_labels.select("id"), "id", "left_anti")
+    reached = within(border, core_labels).groupBy("id").agg(F.min("lab").alias("lab"))
+    labelled = core_labels.select("id", "lab").unionByName(reached)
+    ranks = O.positions(labels.select("lab"), [], ["lab"], "cluster")
+    out = labelled.join(ranks, "lab").select(F.col("id").alias(id_col), F.col("cluster").cast("int").alias("cluster"))
+    return every.join(out, id_col, "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1)))

@@ -20,8 +20,9 @@ key holds a large share of the rows.  The helpers here keep every task bounded:
     halo, the window runs per ``(keys, segment)``, halo rows are dropped.
 
 ``with_time_halo``
-    bounded time-range frames (``rolling('7D')``): segments are fixed spans of
-    time; rows in the last window-width of a span are copied into the next span.
+    bounded time-range frames (``rolling('7D')``): rows are cut into contiguous
+    blocks of (keys, time) at sampled bounds; a row is copied into the later blocks
+    that its window reaches.
 
 ``forward_prefix`` / ``backward_prefix``
     unbounded frames (expanding, forward/backward fill): a running aggregate
@@ -132,14 +133,39 @@ def sort_key(df: DataFrame, keys, order) -> Column:
             fill = F.lit(0)
         v = F.coalesce(c, fill)
         if not asc:
-            if t in ("string", "binary", "boolean"):
-                raise NotImplementedError("descending order on a non-numeric column")
-            v = -v.cast("double") if t not in ("timestamp_ntz", "timestamp", "date") else \
-                -epoch_micros(v)
+            v = _reversed(v, t)
         fields += [c.isNull().alias(f"n{i}"), v.alias(f"v{i}")]
     return F.struct(*fields)
 
 
+def _reversed(v: Column, kind: str) -> Column:
+    """A value that sorts opposite to ``v``, exact in ``v``'s own range."""
+    if kind in ("string", "binary"):
+        # hex keeps the byte order, complemented digits turn it around, and the end mark
+        # (above every digit) puts a text after the longer texts that start with it
+        digits = "0123456789ABCDEF"
+        return F.concat(F.translate(F.hex(v if kind == "binary" else F.encode(v, "UTF-8")), digits, digits[::-1]), F.lit("~"))
+    if kind in ("byte", "short", "integer", "long"):
+        return F.bitwise_not(v.cast("long"))      # -v - 1: no overflow at the minimum
+    if kind == "boolean":
+        return ~v
+    if kind in ("timestamp_ntz", "timestamp", "date"):
+        return -epoch_micros(v)
+    return -v
+
+
+SERIES = "_series"
+
+
+def with_series(df: DataFrame, keys) -> tuple[DataFrame, list[str]]:
+    """Add one never-NULL struct column that stands for the keys (NULL = NULL), so that
+    windows and joins on it share one hash partitioning.  No keys: no column."""
+    keys = as_list(keys)
+    if not keys:
+        return df, []
+    return df.withColumn(SERIES, sort_key(df, keys, [])), [SERIES]
+
+
 def block_bounds(df: DataFrame, sk: Column, n_blocks: int, per_block_sample: int = 32) -> Column:
     """Sorted block boundaries (ARRAY of sort keys) as one scalar subquery.
 
@@ -192,14 +218,16 @@ def positions(df: DataFrame, keys, order, name: str = POS,
     sk = sort_key(df, keys, order)
     bounds = block_bounds(df, sk, n)
     d = materialize(with_block(df.withColumn("_sk", sk), "_sk", bounds, n))
+    d, series = with_series(d, keys)
     local = d.withColumn(
-        "_lpos", F.row_number().over(_window(keys, "_blk").orderBy("_sk")) - 1)
-    blk = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
-    before = _window(keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blk = blk.select(*keys, "_blk", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
-    out = join_on_keys(local, blk, [*keys, "_blk"])
+        "_lpos", F.row_number().over(_window(series, "_blk").orderBy("_sk")) - 1)
+    blk = d.groupBy(*series, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
+    before = _window(series).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blk = blk.select(*series, "_blk", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
+    # the window's partitioning serves the join: the full-width rows move once
+    out = local.join(blk, [*series, "_blk"])
     return (out.withColumn(name, (F.col("_off") + F.col("_lpos")).cast("long"))
-               .drop("_sk", "_blk", "_lpos", "_off"))
+               .drop("_sk", "_blk", "_lpos", "_off", SERIES))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -264,21 +292,18 @@ def epoch_micros(ts) -> Column:
                             c.cast("timestamp_ntz"))
 
 
-def with_time_halo(df: DataFrame, t_us: str, width_us: int, span_us: int | None = None) -> DataFrame:
-    """Spans of ``span_us`` (default 4 window widths); rows within ``width_us`` of
-    a span's end are copied into the next span.  A task holds at most one span
-    plus one window width of one series."""
-    span = max(span_us or 4 * width_us, width_us)
-    t = F.col(t_us)
-    seg = F.floor(t / F.lit(span)).cast("long")
-    copies = F.array(
-        F.struct(seg.alias("s"), F.lit(False).alias("h")),
-        F.when(t > (seg + 1) * F.lit(span) - F.lit(width_us),
-               F.struct((seg + 1).alias("s"), F.lit(True).alias("h"))),
-    )
-    return (df.withColumn("__copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-              .withColumn("_seg", F.col("__copy.s")).withColumn("_halo", F.col("__copy.h"))
-              .drop("__copy"))
+def with_time_halo(df: DataFrame, keys, t_us: str, width_us: int, blocks: int | None = None) -> DataFrame:
+    """Blocks of (keys, ``t_us``) at sampled bounds, so a crowded span of time is as many
+    blocks as its rows need.  A row belongs to its own block and, as a halo row, to every
+    later block that starts within ``width_us`` of it."""
+    n = blocks or conf_int(df.sparkSession, BLOCKS_CONF, shuffle_partitions(df.sparkSession))
+    d = df.withColumn("_until", F.col(t_us) + F.lit(width_us - 1))
+    bounds = block_bounds(df, sort_key(df, keys, [t_us]), n)
+    d = d.withColumns({"_sk": sort_key(d, keys, [t_us]), "_sk2": sort_key(d, keys, ["_until"])})
+    d = with_block(d, "_sk", bounds, n, "_own")
+    d = with_block(d, "_sk2", bounds, n, "_reach")
+    d = d.withColumn("_seg", F.explode(F.sequence("_own", F.greatest("_own", "_reach"))))
+    return d.withColumn("_halo", F.col("_seg") != F.col("_own")).drop("_until", "_sk", "_sk2", "_own", "_reach")
 
 
 # ---------------------------------------------------------------- unbounded frames
@@ -316,16 +341,16 @@ def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: It
     value at a segment's last row, or first row going backwards), so both sides
     of the join come from the same windowed plan and its exchange is reused."""
     keys = as_list(keys)
-    d = df.withColumn("_seg", _seg_col(df, pos))
+    d, series = with_series(df.withColumn("_seg", _seg_col(df, pos)), keys)
     run_cols, seg_aggs, prev_cols, combine = {}, [], [], {}
     jobs = [(s, True) for s in forward] + [(s, False) for s in backward]
     for i, ((name, kind, c), fwd) in enumerate(jobs):
         if fwd:
-            inner = _window(keys, "_seg").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-            outer = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+            inner = _window(series, "_seg").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+            outer = _window(series).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
         else:
-            inner = _window(keys, "_seg").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
-            outer = _window(keys).orderBy("_seg").rowsBetween(1, Window.unboundedFollowing)
+            inner = _window(series, "_seg").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
+            outer = _window(series).orderBy("_seg").rowsBetween(1, Window.unboundedFollowing)
         r, s_, p = f"_r{i}", f"_s{i}", f"_p{i}"
         # segment total = running value at the segment's end (start when backward)
         seg_aggs.append((F.max_by(r, pos) if fwd else F.min_by(r, pos)).alias(s_))
@@ -350,10 +375,10 @@ def prefixes(df: DataFrame, keys, pos: str, forward: Iterable = (), backward: It
             prev_cols.append(f(s_).over(outer).alias(p))
             combine[name] = g(F.col(r), F.col(p))  # greatest/least skip NULL
     dw = d.withColumns(run_cols)
-    segs = dw.groupBy(*keys, "_seg").agg(*seg_aggs)
-    segs = segs.select(*keys, "_seg", *prev_cols)
-    out = join_on_keys(dw, segs, [*keys, "_seg"])
-    drop = [*run_cols, *[f"_p{i}" for i in range(len(jobs))], "_seg"]
+    segs = dw.groupBy(*series, "_seg").agg(*seg_aggs)
+    segs = segs.select(*series, "_seg", *prev_cols)
+    out = dw.join(segs, [*series, "_seg"])
+    drop = [*run_cols, *[f"_p{i}" for i in range(len(jobs))], "_seg", SERIES]
     return out.withColumns(combine).drop(*drop)
 
 

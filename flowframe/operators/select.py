@@ -41,11 +41,19 @@ def select_dtypes(df: DataFrame, include: str = "number") -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in keep])
 
 
+def _narrow(df: DataFrame, order, keys, cols: Sequence[str] | None) -> DataFrame:
+    """Only the columns that are asked for or that place a row, before rows are moved."""
+    by = [o[0] if isinstance(o, tuple) else o for o in O.as_list(order)]
+    if not cols or not all(isinstance(c, str) for c in [*by, *O.as_list(keys)]):
+        return df
+    return df.select(*dict.fromkeys([*cols, *by, *O.as_list(keys)]))
+
+
 def loc_range(df: DataFrame, order, start: int, stop: int, keys=None,
               cols: Sequence[str] | None = None) -> DataFrame:
     """C4: ``loc[start:stop, cols]`` over the default 0..n-1 labels: the end is
     included."""
-    d = O.positions(df, keys, order, "_pos").where(F.col("_pos").between(start, stop))
+    d = O.positions(_narrow(df, order, keys, cols), keys, order, "_pos").where(F.col("_pos").between(start, stop))
     return d.select(*(cols or df.columns))
 
 
@@ -54,7 +62,7 @@ def iloc_range(df: DataFrame, order, start: int | None, stop: int | None, keys=N
     """``iloc[start:stop, cols]`` with the end excluded; negative bounds count
     from the series end (``iloc[-30:]``)."""
     keys = O.as_list(keys)
-    d = O.positions(df, keys, order, "_pos")
+    d = O.positions(_narrow(df, order, keys, cols), keys, order, "_pos")
     if (start is not None and start < 0) or (stop is not None and stop < 0):
         n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else None
         if keys:

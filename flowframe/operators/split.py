@@ -34,7 +34,7 @@ def chrono_split(df: DataFrame, keys, order, train_frac: float | None = 0.8,
 
 
 def _hashed_index(df: DataFrame, id_cols: Sequence[str], seed: int, keys=None, name: str = "_hi") -> DataFrame:
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
+    h = F.md5(F.encode(F.concat_ws(":", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))), "UTF-8"))
     return O.positions(df.withColumn("_h", h), keys, ["_h", *id_cols], name).drop("_h")
 
 
@@ -101,7 +101,8 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 def upsample_minority(df: DataFrame, id_cols: Sequence[str], label: str, minority, majority,
                       seed: int = 42) -> DataFrame:
     """``resample(minority, replace=True, n_samples=len(majority))``: draw i
-    (i = 0..n_major-1) takes minority row ``pmod(xxhash64(i, seed), n_minor)``;
+    (i = 0..n_major-1) takes the minority row whose rank is the first 13 hex digits
+    of ``md5(i:seed)`` modulo n_minor;
     the result is the majority rows plus exactly n_major drawn minority rows."""
     spark = df.sparkSession
     major = df.where(F.col(label) == F.lit(majority))
@@ -109,10 +110,8 @@ def upsample_minority(df: DataFrame, id_cols: Sequence[str], label: str, minorit
     n_major = major.count()          # one number: the size of the draw
     n_minor = minor.agg(F.count(F.lit(1))).scalar()
     idx = O.positions(minor, [], list(id_cols), "_mi")
-    draws = spark.range(n_major).select(F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), n_minor).alias("_mi"))
-    # each minority row is drawn about n_major / n_minor times: a hot join key
-    # when the minority is small, so the index is broadcast when its size is
-    # proven bounded (the draws never shuffle); otherwise AQE splits the skew
-    from flowframe.sources.io import broadcast_if_bounded
-    drawn = draws.join(broadcast_if_bounded(idx), "_mi").drop("_mi")
-    return major.unionByName(drawn)
+    digits = F.substring(F.md5(F.encode(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed))), "UTF-8")), 1, 13)
+    draws = spark.range(n_major).select((F.conv(digits, 16, 10).cast("long") % n_minor).alias("_mi"))
+    # each minority row is drawn about n_major / n_minor times; Spark broadcasts the index
+    # by its size in bytes, beyond that AQE splits the skew
+    return major.unionByName(draws.join(idx, "_mi").drop("_mi"))

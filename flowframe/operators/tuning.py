@@ -14,14 +14,14 @@ from typing import Callable, Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.operators import split as SP
-from flowframe.operators.models import FEATURES, assemble
+from flowframe.operators.models import FEATURES, PopulationScaler, assemble
 from flowframe.session import checkpoint
 
 
@@ -29,19 +29,31 @@ def _rmse(pred: DataFrame, label: str) -> float:
     return float(pred.agg(F.sqrt(F.avg((F.col(label) - F.col("prediction")) ** 2))).first()[0])
 
 
-def ts_cross_val(df: DataFrame, order, features: Sequence[str], label: str, make_estimator: Callable,
-                 n_splits: int = 5, parallelism: int = 4) -> list[tuple[int, float]]:
+def ts_folds(df: DataFrame, order, n_splits: int = 5) -> DataFrame:
+    """The rows of every fold with their role, written once for all models and settings."""
+    return checkpoint(SP.time_series_split(df, [], order, n_splits))
+
+
+def scaled(estimator) -> Pipeline:
+    """A scaler and a model as one estimator, so that every fold scales by its own training rows."""
+    return Pipeline(stages=[PopulationScaler(FEATURES, "_scaled"), estimator.copy().setFeaturesCol("_scaled")])
+
+
+def ts_cross_val(df: DataFrame, order, features: Sequence[str], label: str, make_estimator: Callable[[DataFrame], object],
+                 n_splits: int = 5, parallelism: int = 4, folds: DataFrame | None = None) -> list[tuple[int, float]]:
     """``cross_val_score(pipe, cv=TimeSeriesSplit(n))``: for each fold, fit on
     the expanding past, score RMSE on the next block.  (``CrossValidator`` would
     train on future folds too, so it is not used for time series.)  Folds are
-    fitted as concurrent Spark jobs, like ``CrossValidator(parallelism)``."""
-    folds = checkpoint(SP.time_series_split(df, [], order, n_splits))
+    fitted as concurrent Spark jobs, like ``CrossValidator(parallelism)``.
+    ``make_estimator`` gets the fold's training rows, so penalties and scales look at
+    nothing else."""
+    folds = ts_folds(df, order, n_splits) if folds is None else folds
 
     def one(k):
         f = folds.where(F.col("fold") == k)
         tr = assemble(f.where(F.col("role") == "train"), features)
         te = assemble(f.where(F.col("role") == "test"), features)
-        model = make_estimator().fit(tr)
+        model = make_estimator(tr).fit(tr)
         return (k, _rmse(model.transform(te), label))
 
     with ThreadPoolExecutor(max(1, parallelism)) as ex:
@@ -53,8 +65,9 @@ def compare_models(df: DataFrame, order, features: Sequence[str], label: str,
     """Per model the time-series CV RMSE per fold; the best model (lowest
     mean RMSE) is flagged.  Output (model, fold, rmse, mean_rmse, best)."""
     rows = []
+    folds = ts_folds(df, order, n_splits)
     with ThreadPoolExecutor(len(models)) as ex:
-        res = ex.map(lambda kv: (kv[0], ts_cross_val(df, order, features, label, kv[1], n_splits)),
+        res = ex.map(lambda kv: (kv[0], ts_cross_val(df, order, features, label, kv[1], n_splits, folds=folds)),
                      models.items())
         for name, scores in res:
             rows += [(name, fold, rmse) for fold, rmse in scores]
@@ -66,22 +79,27 @@ def compare_models(df: DataFrame, order, features: Sequence[str], label: str,
 
 
 def grid_search(df: DataFrame, id_cols: Sequence[str], features: Sequence[str], label: str, estimator,
-                grid: dict, folds: int = 3, seed: int = 42, parallelism: int = 4) -> DataFrame:
+                grid: dict, folds: int = 3, seed: int = 42, parallelism: int = 4, metric: str = "rmse") -> DataFrame:
     """``GridSearchCV(est, grid, cv=folds)``: Spark ``CrossValidator`` over a
-    ``ParamGridBuilder`` grid with deterministic hashed folds.  Output one row
-    per setting: (setting, rmse) sorted by the caller."""
-    d = SP.kfold(df, id_cols, folds, seed, name="_fold")
+    ``ParamGridBuilder`` grid with deterministic hashed folds, stratified by the label
+    for the classifier metrics ``accuracy`` and ``f1``.  ``estimator`` may be a pipeline
+    ending in the model whose parameters the grid names.  Output one row per setting:
+    (setting, <metric>) sorted by the caller."""
+    classify = metric in ("accuracy", "f1")
+    d = SP.kfold(df, id_cols, folds, seed, label=label if classify else None, name="_fold")
+    judge = (MulticlassClassificationEvaluator(labelCol=label, metricName=metric) if classify
+             else RegressionEvaluator(labelCol=label, metricName=metric))
+    tuned = estimator.getStages()[-1] if isinstance(estimator, Pipeline) else estimator
     b = ParamGridBuilder()
     for p, vals in grid.items():
-        b = b.addGrid(estimator.getParam(p), list(vals))
+        b = b.addGrid(tuned.getParam(p), list(vals))
     maps = b.build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold",
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-                        parallelism=parallelism, seed=seed)
+                        evaluator=judge, parallelism=parallelism, seed=seed)
     m = cv.fit(assemble(d, features))
     rows = [(", ".join(f"{k.name}={v}" for k, v in sorted(pm.items(), key=lambda kv: kv[0].name)), float(s))
             for pm, s in zip(maps, m.avgMetrics)]
-    return df.sparkSession.createDataFrame(rows, "setting STRING, rmse DOUBLE")
+    return df.sparkSession.createDataFrame(rows, f"setting STRING, {metric} DOUBLE")
 
 
 def random_search(df: DataFrame, order, features: Sequence[str], label: str, make_estimator: Callable,
@@ -92,9 +110,11 @@ def random_search(df: DataFrame, order, features: Sequence[str], label: str, mak
     settings = list(itertools.product(*[grid[k] for k in keys]))
     rng = np.random.default_rng(seed)
     pick = rng.choice(len(settings), size=min(n_iter, len(settings)), replace=False)
+    folds = ts_folds(df, order, n_splits)
+
     def one(i):
         params = dict(zip(keys, settings[i]))
-        scores = ts_cross_val(df, order, features, label, lambda: make_estimator(**params), n_splits)
+        scores = ts_cross_val(df, order, features, label, lambda tr: make_estimator(**params), n_splits, folds=folds)
         return (", ".join(f"{k}={params[k]}" for k in keys), float(np.mean([s for _, s in scores])))
 
     with ThreadPoolExecutor(4) as ex:
@@ -106,29 +126,23 @@ def permutation_importance(model, df: DataFrame, id_col: str, features: Sequence
                            n_repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop of R^2 when one feature column is permuted, per (feature,
     repeat).  In variant (f, r) the row ranked p by ``xxhash64(id, seed, f, r)``
-    gives its value of f to the row ranked p by id.  All ``len(features) *
-    n_repeats`` variants are built by one keyed row index (keys = variant) and
-    scored in one transform.  Output (feature, repeat, drop)."""
-    d = O.positions(df, [], [id_col], "_p")
+    gives its value of f to the row ranked p by id.  Only (variant, rank, value) is
+    shuffled into order for the ``len(features) * n_repeats`` variants; the rows
+    themselves move once, by rank, and are scored in one transform.  Output
+    (feature, repeat, drop)."""
+    d = checkpoint(O.positions(df.select(id_col, label, *features), [], [id_col], "_p"))
     base_r2 = _r2(model.transform(assemble(d, features)), label)
-    variants = F.array(*[F.struct(F.lit(fi).alias("fi"), F.lit(r).alias("r"))
-                         for fi in range(len(features)) for r in range(n_repeats)])
-    long = d.select("*", F.explode(variants).alias("_v")).withColumns(
-        {"_fi": F.col("_v.fi"), "_r": F.col("_v.r")}).drop("_v")
-    value_of_f = None
-    for fi, f in enumerate(features):
-        c = F.when(F.col("_fi") == fi, F.col(f).cast("double"))
-        value_of_f = c if value_of_f is None else value_of_f.when(F.col("_fi") == fi, F.col(f).cast("double"))
-    donors = long.select("_fi", "_r", "_p", value_of_f.alias("_pv"),
-                         F.xxhash64(F.col(id_col), F.lit(seed), F.col("_fi"), F.col("_r")).alias("_h"))
-    donors = O.positions(donors, ["_fi", "_r"], ["_h", "_p"], "_q")
-    moved = donors.select("_fi", "_r", F.col("_q").alias("_p"), "_pv")
-    v = O.join_on_keys(long, moved, ["_fi", "_r", "_p"])
+    values = F.array(*[F.struct(F.lit(fi).alias("_fi"), F.col(f).cast("double").alias("_pv")) for fi, f in enumerate(features)])
+    donors = (d.select("_p", id_col, F.explode(values).alias("v")).select("_p", id_col, "v.*")
+               .withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1)))))
+    donors = donors.select("_fi", "_r", "_p", "_pv", F.xxhash64(F.col(id_col), F.lit(seed), F.col("_fi"), F.col("_r")).alias("_h"))
+    moved = O.positions(donors, ["_fi", "_r"], ["_h", "_p"], "_q").select("_fi", "_r", F.col("_q").alias("_p"), "_pv")
+    v = moved.join(d.drop(id_col), "_p")
     v = v.withColumns({f: F.when(F.col("_fi") == fi, F.col("_pv")).otherwise(F.col(f).cast("double"))
                        for fi, f in enumerate(features)})
     scored = model.transform(assemble(v, features))
     e = F.col(label) - F.col("prediction")
-    r2 = scored.groupBy("_fi", "_r").agg((1 - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("_r2"))
+    r2 = scored.groupBy("_fi", "_r").agg((1 - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(F.lit(1)))).alias("_r2"))
     names = F.array(*[F.lit(f) for f in features])
     return r2.select(F.element_at(names, F.col("_fi") + 1).alias("feature"), F.col("_r").alias("repeat"),
                      (F.lit(base_r2) - F.col("_r2")).alias("drop"))
@@ -136,4 +150,5 @@ def permutation_importance(model, df: DataFrame, id_col: str, features: Sequence
 
 def _r2(pred: DataFrame, label: str) -> float:
     e = F.col(label) - F.col("prediction")
-    return float(pred.agg(1 - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).first()[0])
+    found = pred.agg(1 - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(F.lit(1)))).first()[0]
+    return float("nan") if found is None else float(found)

@@ -152,15 +152,14 @@ def rolling_rows(df: DataFrame, keys, order, col: str, window: int,
 
 def rolling_time(df: DataFrame, keys, ts: str, col: str, width_days: float = 7,
                  stats: Sequence[str] = ("mean", "std"), prefix: str | None = None,
-                 span_days: float | None = None) -> DataFrame:
+                 blocks: int | None = None) -> DataFrame:
     """``rolling('7D')``: frame ``(t - width, t]`` of the same series, one
     non-NULL value suffices (std needs two).  ``ts`` must be unique per series."""
     keys = as_list(keys)
     prefix = prefix or f"{col}_roll{int(width_days)}d"
     width = int(round(width_days * DAY_US))
-    span = int(round((span_days or 4 * width_days) * DAY_US))
     d = df.withColumn("_tus", O.epoch_micros(ts))
-    h = O.with_time_halo(d, "_tus", width, span)
+    h = O.with_time_halo(d, keys, "_tus", width, blocks)
     w = Window.partitionBy(*keys, "_seg").orderBy("_tus").rangeBetween(-(width - 1), 0)
     n = F.count(col).over(w)
     cols = {f"{prefix}_{s}": F.when(n >= F.lit(2 if s == "std" else 1), _stat(s, col).over(w))

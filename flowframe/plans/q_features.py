@@ -123,7 +123,7 @@ def j09(spark, sf):
     return s.select("feature", rnd("f_score", 4).alias("f_score"), "rank")
 
 
-def _anova_sql(k=5):
+def _anova_sql(k=64):
     parts = []
     for i in range(k):
         x = f"CAST(embedding[{i + 1}] AS DOUBLE)"
@@ -139,8 +139,9 @@ def _anova_sql(k=5):
 @query("j09_f_classif_rank", _anova_sql(), "T")
 def j09c(spark, sf):
     e = T(spark, sf, "embeddings")
-    e = e.select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(5)])
-    s = J.f_classif(e, [f"e{i}" for i in range(5)], "label")
+    dims = [f"e{i}" for i in range(64)]
+    e = e.select("label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)])
+    s = J.f_classif(e, dims, "label")
     return s.select("feature", rnd("f_score", 4).alias("f_score"), "rank")
 
 
@@ -200,17 +201,32 @@ def j20(spark, sf):
     return w.select("doc_id", "quality", rnd("weight", 6).alias("weight"))
 
 
-@query("j17_stratified_holdout")
+def holdout_sql(table: str, id_col: str, label: str) -> str:
+    """J17 in SQL: the same seeded hash order and the same shares."""
+    return f"""(WITH c AS (SELECT {label} AS y, COUNT(*) AS n FROM {table} GROUP BY 1),
+t AS (SELECT COUNT(*) AS m, CEIL(COUNT(*) * 0.2) AS nt FROM {table}),
+s AS (SELECT y, FLOOR(nt * n / m) AS fl, nt * n / m - FLOOR(nt * n / m) AS fr, nt FROM c, t),
+a AS (SELECT y, fl + CASE WHEN ROW_NUMBER() OVER (ORDER BY fr DESC, y) <= nt - SUM(fl) OVER () THEN 1 ELSE 0 END AS k FROM s),
+h AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {label} ORDER BY md5({id_col} || ':42'), {id_col}) - 1 AS hi FROM {table})
+SELECT h.* EXCLUDE (hi), CASE WHEN hi < k THEN 'test' ELSE 'train' END AS role FROM h JOIN a ON h.{label} = a.y)"""
+
+
+@query("j17_stratified_holdout", "SELECT * FROM " + holdout_sql("labels", "doc_id", "quality"))
 def j17(spark, sf):
     return SP.stratified_holdout(T(spark, sf, "labels"), ["doc_id"], "quality", 0.2, seed=42)
 
 
-@query("j18_stratified_kfold")
+@query("j18_stratified_kfold", """SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(doc_id || ':42'), doc_id) - 1) % 5 AS INTEGER) AS fold
+FROM labels""")
 def j18(spark, sf):
     return SP.kfold(T(spark, sf, "labels"), ["doc_id"], 5, seed=42, label="quality")
 
 
-@query("j21_upsample_minority")
+@query("j21_upsample_minority", """
+WITH mi AS (SELECT *, ROW_NUMBER() OVER (ORDER BY doc_id) - 1 AS k FROM labels WHERE quality = 0),
+d AS (SELECT CAST('0x' || substr(md5(i || ':42'), 1, 13) AS BIGINT) % (SELECT COUNT(*) FROM mi) AS k
+  FROM (SELECT unnest(range((SELECT COUNT(*) FROM labels WHERE quality = 1))) AS i))
+SELECT * FROM labels WHERE quality = 1 UNION ALL SELECT mi.* EXCLUDE (k) FROM d JOIN mi USING (k)""")
 def j21(spark, sf):
     return SP.upsample_minority(T(spark, sf, "labels"), ["doc_id"], "quality", minority=0, majority=1, seed=42)
 

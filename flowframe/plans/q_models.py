@@ -24,7 +24,7 @@ from flowframe.operators import neighbors as NB
 from flowframe.operators import split as SP
 from flowframe.operators import tuning as TU
 from flowframe.operators import windows as W
-from flowframe.plans.q_features import daily_revenue
+from flowframe.plans.q_features import DAILY_SQL, SEGMENTS, daily_revenue, holdout_sql
 from flowframe.plans.registry import query, rnd
 from flowframe.sources import io
 from flowframe.sources.io import table as T
@@ -107,7 +107,13 @@ def k07(spark, sf):
     return out.select(F.col("date").cast("timestamp_ntz").alias("date"), "surge", "prob_1")
 
 
-@query("k08_knn_classifier")
+@query("k08_knn_classifier", f"""
+WITH h AS (SELECT * FROM {holdout_sql("embeddings", "vec_id", "label")}),
+d AS (SELECT q.vec_id, q.label, c.label AS v, ROW_NUMBER() OVER (PARTITION BY q.vec_id
+  ORDER BY list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), c.vec_id) AS rk
+  FROM h q JOIN h c ON q.role = 'test' AND c.role = 'train'),
+n AS (SELECT vec_id, label, v, COUNT(*) AS k FROM d WHERE rk <= 5 GROUP BY ALL)
+SELECT vec_id, label, arg_min(v, (-k, v)) AS predicted FROM n GROUP BY ALL""")
 def k08(spark, sf):
     e = SP.stratified_holdout(T(spark, sf, "embeddings"), ["vec_id"], "label", 0.2, seed=42)
     tr, te = e.where("role = 'train'"), e.where("role = 'test'")
@@ -147,11 +153,17 @@ def k13(spark, sf):
     return K.hierarchical(3).fit(e).transform(e).select("vec_id", "label", F.col("prediction").alias("cluster"))
 
 
-@query("k14_column_transformer")
+def _k14_sql() -> str:
+    hot = ", ".join(f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEGMENTS)
+    return f"""SELECT c_custkey, [ROUND((c_acctbal - AVG(c_acctbal) OVER ()) / STDDEV_POP(c_acctbal) OVER (), 6),
+  ROUND((c_nationkey - AVG(c_nationkey) OVER ()) / STDDEV_POP(c_nationkey) OVER (), 6), {hot}]::DOUBLE[] AS features FROM customer"""
+
+
+@query("k14_column_transformer", _k14_sql(), "T")
 def k14(spark, sf):
     c = T(spark, sf, "customer")
     p = Pipeline(stages=K.column_transformer(["c_acctbal", "c_nationkey"], ["c_mktsegment"])).fit(c)
-    return p.transform(c).select("c_custkey", vector_to_array("features").alias("features"))
+    return p.transform(c).select("c_custkey", F.transform(vector_to_array("features"), lambda v: rnd(v, 6)).alias("features"))
 
 
 @query("k15_pipeline_scale_select_model")
@@ -161,48 +173,94 @@ def k15(spark, sf):
     return _pred(pipe.fit(tr).transform(te))
 
 
-def _lr():
+def _lr(train=None):
     return K.linear_estimator("ols", label="revenue")
 
 
+def _penalised(kind, alpha):
+    """A penalty scaled by the training rows it is fitted on, and by nothing else."""
+    def make(train):
+        row = train.agg(F.count(F.lit(1)), F.stddev_pop("revenue")).first()
+        return TU.scaled(K.linear_estimator(kind, alpha, row[0], row[1], "revenue"))
+    return make
+
+
+def _rbf(train):
+    return Pipeline(stages=[K.FourierFeatures(FEATS, "_rff"), K.linear_estimator("ols", label="revenue").copy().setFeaturesCol("_rff")])
+
+
+@query("k02_ridge_1d", """
+WITH s AS (SELECT AVG(l_quantity) AS mx, AVG(l_extendedprice) AS my, COUNT(*) AS n, COVAR_POP(l_extendedprice, l_quantity) AS c,
+  VAR_POP(l_quantity) AS v FROM lineitem)
+SELECT ROUND(n * c / (n * v + 1.0), 4) AS coef, ROUND(my - n * c / (n * v + 1.0) * mx, 2) AS intercept FROM s""", "T")
+def k02r(spark, sf):
+    """Ridge with one feature against its closed form ``Sxy / (Sxx + alpha)``."""
+    m = K.fit_linear(T(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", "ridge", 1.0)
+    return spark.range(1).select(rnd(F.lit(float(m.coefficients[0])), 4).alias("coef"),
+                                 rnd(F.lit(float(m.intercept)), 2).alias("intercept"))
+
+
+@query("k16_time_series_cv_1d", f"""
+WITH d AS (SELECT day, revenue, LAG(revenue) OVER (ORDER BY day) AS x FROM {DAILY_SQL}),
+p AS (SELECT *, ROW_NUMBER() OVER (ORDER BY day) - 1 AS p, COUNT(*) OVER () AS n FROM d WHERE x IS NOT NULL),
+f AS (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS fold),
+m AS (SELECT fold, regr_slope(revenue, x) AS b, regr_intercept(revenue, x) AS a FROM p, f WHERE p < n - (5 - fold) * (n // 6) GROUP BY 1)
+SELECT m.fold, ROUND(SQRT(AVG(POW(revenue - a - b * x, 2))), 2) AS rmse FROM p JOIN m
+  ON p >= n - (5 - m.fold) * (n // 6) AND p < n - (5 - m.fold) * (n // 6) + (n // 6) GROUP BY 1""", "T")
+def k16s(spark, sf):
+    """Scaler and linear model with one lag, cross-validated, against closed forms."""
+    d = W.lags(daily_revenue(spark, sf), [], ["day"], "revenue", [1], ["lag_1"]).dropna(subset=["lag_1"])
+    rows = TU.ts_cross_val(d, ["day"], ["lag_1"], "revenue", lambda tr: TU.scaled(_lr()), 5)
+    return spark.createDataFrame(rows, "fold INT, rmse DOUBLE").select("fold", rnd("rmse", 2).alias("rmse"))
+
+
 @query("k16_time_series_cv_rmse")
 def k16(spark, sf):
     tr, _ = _split(spark, sf)
-    rows = TU.ts_cross_val(tr, ["date"], FEATS, "revenue", _lr, 5)
+    rows = TU.ts_cross_val(tr, ["date"], FEATS, "revenue", lambda t: TU.scaled(_lr()), 5)
     return spark.createDataFrame(rows, "fold INT, rmse DOUBLE")
 
 
 @query("k17_model_comparison")
 def k17(spark, sf):
     tr, _ = _split(spark, sf)
-    n = tr.count()
-    s = tr.agg(F.stddev_pop("revenue")).first()[0]
     models = {
-        "linear": _lr,
-        "ridge": lambda: K.linear_estimator("ridge", 1.0, n, s, "revenue"),
-        "lasso": lambda: K.linear_estimator("lasso", 0.1, n, s, "revenue"),
-        "random_forest": lambda: K.random_forest_regressor(100, None, 42, label="revenue"),
-        "gbt": lambda: K.gbt_regressor(100, 0.1, 3, label="revenue"),
+        "linear": lambda t: TU.scaled(_lr()),
+        "ridge": _penalised("ridge", 1.0),
+        "lasso": _penalised("lasso", 0.1),
+        "rbf": _rbf,
+        "random_forest": lambda t: K.random_forest_regressor(100, None, 42, label="revenue"),
+        "gbt": lambda t: K.gbt_regressor(100, 0.1, 3, label="revenue"),
     }
     return TU.compare_models(tr, ["date"], FEATS, "revenue", models, 5)
 
 
+# min_samples_split = s has no Spark twin; a node of fewer than 2m rows cannot be split when
+# children need m rows, so s = 2, 5, 10 stand as minInstancesPerNode 1, 2, 5
+FOREST_GRID = {"numTrees": [50, 100], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2]}
+
+
 @query("k18_grid_search_cv")
 def k18(spark, sf):
     tr, _ = _split(spark, sf)
     est = K.random_forest_regressor(100, None, 42, label="revenue")
-    # min_samples_split has no Spark twin and is left out of the grid
-    grid = {"numTrees": [50, 100], "maxDepth": [30, 10, 20]}
-    return TU.grid_search(tr, ["date"], FEATS, "revenue", est, grid, folds=3)
+    return TU.grid_search(tr, ["date"], FEATS, "revenue", est, FOREST_GRID, folds=3)
+
+
+@query("k18_grid_search_classifier")
+def k18c(spark, sf):
+    tr, _ = _split(spark, sf)
+    pipe = TU.scaled(K.decision_tree(5, label="surge"))
+    return TU.grid_search(tr, ["date"], FEATS, "surge", pipe, {"maxDepth": [3, 5, 10], "minInstancesPerNode": [1, 2]}, folds=3, metric="accuracy")
 
 
 @query("k19_random_search_ts_cv")
 def k19(spark, sf):
     tr, _ = _split(spark, sf)
-    grid = {"n_estimators": [50, 100, 200], "max_depth": [30, 10, 20], "min_samples_leaf": [1, 2, 4]}
+    grid = {"n_estimators": [50, 100, 200], "max_depth": [30, 10, 20, 25], "min_samples_leaf": [1, 2, 4], "min_samples_split": [2, 5, 10]}
 
-    def make(n_estimators, max_depth, min_samples_leaf):
-        return K.random_forest_regressor(n_estimators, max_depth, 42, min_samples_leaf, label="revenue")
+    def make(n_estimators, max_depth, min_samples_leaf, min_samples_split):
+        return TU.scaled(K.random_forest_regressor(n_estimators, max_depth, 42, max(min_samples_leaf, min_samples_split // 2), label="revenue"))
     return TU.random_search(tr, ["date"], FEATS, "revenue", make, grid, n_iter=10, seed=42)
 
 
@@ -282,11 +340,25 @@ def k23(spark, sf):
     return s.select(*ids, rnd("phi", 6).alias("phi"))
 
 
+@query("k22_recursive_1lag", f"""
+WITH RECURSIVE d AS (SELECT * FROM {PRIORITY_DAILY_SQL}),
+l AS (SELECT revenue AS y, LAG(revenue) OVER (PARTITION BY o_orderpriority ORDER BY day) AS x FROM d),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM l WHERE x IS NOT NULL),
+s AS (SELECT o_orderpriority, arg_max(revenue, day) AS v, MAX(day) AS last_day FROM d GROUP BY 1),
+r AS (SELECT o_orderpriority, last_day, 0 AS step, v FROM s
+  UNION ALL SELECT o_orderpriority, last_day, step + 1, a + b * v FROM r, m WHERE step < 14)
+SELECT o_orderpriority, step, CAST(last_day + step AS TIMESTAMP) AS ts, ROUND(v, 2) AS forecast FROM r WHERE step > 0""", "T")
+def k22l(spark, sf):
+    """One lag: the recursion has a closed step, so SQL can follow it."""
+    f = FC.recursive_forecast(priority_daily(spark, sf), ["o_orderpriority"], "day", "revenue", n_lags=1, horizon=14)
+    return f.select("o_orderpriority", "step", F.col("ts").cast("timestamp_ntz").alias("ts"), rnd("forecast", 2).alias("forecast"))
+
+
 def _rf_shap(spark, sf):
     tr, te = _split(spark, sf)
     m = K.random_forest_regressor(100, 10, 42, label="revenue").fit(K.assemble(tr, FEATS))
     te = te.withColumn("row_id", F.unix_date(F.col("date").cast("date")).cast("long"))
-    return X.sampling_shap(m, te, "row_id", FEATS, n_orders=16)
+    return X.shap_values(m, te, "row_id", FEATS)
 
 
 @query("k23_shap_sampling_forest")
@@ -321,11 +393,29 @@ def j11(spark, sf):
 @query("j12_pca_95_variance")
 def j12(spark, sf):
     e = T(spark, sf, "embeddings")
-    cols = [f"e{i}" for i in range(16)]
+    cols = [f"e{i}" for i in range(64)]
     e = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     return K.pca_variance(e, cols, 0.95).select("vec_id", "pcs")
 
 
+@query("j12_pca_2d", """
+WITH s AS (SELECT AVG(l_quantity) AS mx, AVG(l_discount) AS my, VAR_SAMP(l_quantity) AS a, VAR_SAMP(l_discount) AS d,
+  COVAR_SAMP(l_quantity, l_discount) AS b FROM lineitem),
+e AS (SELECT *, (a + d) / 2 + SQRT(POW((a - d) / 2, 2) + b * b) AS l1, (a + d) / 2 - SQRT(POW((a - d) / 2, 2) + b * b) AS l2 FROM s)
+SELECT ROUND(l1 / (l1 + l2), 6) AS explained, ROUND(ABS(b) / SQRT(b * b + POW(l1 - a, 2)), 6) AS weight FROM e""", "T")
+def j12s(spark, sf):
+    """Two columns: first component's share of the variance and weight, in closed form."""
+    li = T(spark, sf, "lineitem").select(F.col("l_quantity"), F.col("l_discount"))
+    p = K.pca_variance(li, ["l_quantity", "l_discount"], 1.0)
+    v = p.agg(F.var_samp(F.col("pcs")[0]).alias("l1"), F.var_samp(F.col("pcs")[1]).alias("l2"),
+              F.abs(F.regr_slope(F.col("pcs")[0], F.col("l_quantity"))).alias("w"))
+    g = p.agg(F.covar_samp("l_quantity", "l_discount").alias("b"), F.var_samp("l_quantity").alias("a"))
+    # the weight of l_quantity in the unit vector w satisfies cov(pc1, l_quantity) = l1 * w
+    c = p.agg(F.abs(F.covar_samp(F.col("pcs")[0], F.col("l_quantity"))).alias("c"))
+    return v.crossJoin(c).select(rnd(F.col("l1") / (F.col("l1") + F.col("l2")), 6).alias("explained"),
+                                 rnd(F.col("c") / F.col("l1"), 6).alias("weight"))
+
+
 @query("j13_permutation_importance")
 def j13(spark, sf):
     tr, _ = _split(spark, sf)
@@ -335,13 +425,19 @@ def j13(spark, sf):
     return imp.groupBy("feature").agg(F.avg("drop").alias("mean_drop"), F.stddev_samp("drop").alias("std_drop"))
 
 
-@query("d12_knn_impute")
+@query("d12_knn_impute", """
+WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS s, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS DOUBLE) AS b,
+  CASE WHEN p_partkey % 10 <> 0 THEN p_retailprice END AS y FROM part),
+d AS (SELECT q.p_partkey, c.y, ROW_NUMBER() OVER (PARTITION BY q.p_partkey
+  ORDER BY (q.s - c.s) * (q.s - c.s) + (q.b - c.b) * (q.b - c.b), c.p_partkey) AS rk FROM p q JOIN p c ON q.y IS NULL AND c.y IS NOT NULL),
+f AS (SELECT p_partkey, AVG(y) AS f FROM d WHERE rk <= 5 GROUP BY 1)
+SELECT p.p_partkey, s AS p_size, b AS brand_no, ROUND(COALESCE(y, f), 6) AS p_retailprice FROM p LEFT JOIN f ON p.p_partkey = f.p_partkey""", "T")
 def d12(spark, sf):
     p = T(spark, sf, "part").select(
         "p_partkey", F.col("p_size").cast("double").alias("p_size"),
         F.regexp_extract("p_brand", "([0-9]+)", 1).cast("double").alias("brand_no"),
         F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice")).alias("p_retailprice"))
-    return NB.knn_impute(p, "p_partkey", ["p_size", "brand_no"], "p_retailprice", k=5)
+    return NB.knn_impute(p, "p_partkey", ["p_size", "brand_no"], "p_retailprice", k=5).withColumn("p_retailprice", rnd("p_retailprice", 6))
 
 
 @query("d13_iterative_impute_1d", """
@@ -357,7 +453,21 @@ def d13(spark, sf):
     return out.select("p_partkey", rnd("price", 6).alias("price"))
 
 
-@query("k12_dbscan")
+@query("k12_dbscan", """
+WITH RECURSIVE z AS (SELECT p_partkey AS id, (p_size - AVG(p_size) OVER ()) / STDDEV_POP(p_size) OVER () AS x,
+  (p_retailprice - AVG(p_retailprice) OVER ()) / STDDEV_POP(p_retailprice) OVER () AS y FROM part),
+nb AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM z a JOIN z b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.25),
+core AS MATERIALIZED (SELECT a AS id FROM nb GROUP BY a HAVING COUNT(*) >= 5),
+links AS MATERIALIZED (SELECT a, b FROM nb SEMI JOIN core ca ON ca.id = nb.a SEMI JOIN core cb ON cb.id = nb.b),
+cc(id, lab) USING KEY (id) AS (
+  SELECT id, id FROM core
+  UNION
+  (SELECT l.b, MIN(cc.lab) FROM cc JOIN links l ON l.a = cc.id JOIN recurring.cc AS old ON old.id = l.b
+   WHERE cc.lab < old.lab GROUP BY l.b)),
+lab AS (SELECT id, lab FROM cc UNION ALL
+  SELECT nb.a, MIN(cc.lab) FROM nb JOIN cc ON cc.id = nb.b ANTI JOIN core ON core.id = nb.a GROUP BY nb.a)
+SELECT z.id AS p_partkey, CAST(COALESCE(DENSE_RANK() OVER (ORDER BY lab NULLS LAST) - 1 + lab - lab, -1) AS INTEGER) AS cluster
+FROM z LEFT JOIN lab ON lab.id = z.id""")
 def k12(spark, sf):
     """``DBSCAN(eps=0.5, min_samples=5)`` on the standardised part size and price."""
     p = T(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"),

@@ -119,7 +119,7 @@ FROM orders o LEFT JOIN dim d ON o.o_orderstatus = d.o_orderstatus GROUP BY ALL"
 def a08(spark, sf):
     dim = io.small_table(spark, STATUS_DIM, "o_orderstatus STRING, status_name STRING, priority INT")
     o = T(spark, sf, "orders")
-    j = o.join(io.broadcast_if_bounded(dim, 10_000), "o_orderstatus", "left")
+    j = o.join(dim, "o_orderstatus", "left")
     return j.groupBy("o_orderstatus", "status_name", "priority").agg(F.count(F.lit(1)).alias("n_orders"))
 
 

@@ -78,17 +78,15 @@ def i06(spark, sf):
     return m.select("event_id", TX.extract_code(F.col("msg"), r"Code: ([0-9]+)").alias("code"))
 
 
-EMAIL_PHONE = r"(?P<email>[A-Za-z0-9._]+@[A-Za-z0-9.]+)"
-PHONE = r"(?P<phone>\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4})"
+EMAIL_PHONE = r"(?P<email>[A-Za-z0-9._]+@[A-Za-z0-9.]+)|(?P<phone>\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4})"
 
 
 @query("i07_extract_named_groups", """SELECT doc_id,
-  NULLIF(regexp_extract(text, '([A-Za-z0-9._]+@[A-Za-z0-9.]+)', 1), '') AS email,
-  NULLIF(regexp_extract(text, '(\\+1 \\([0-9]{3}\\) [0-9]{3}-[0-9]{4})', 1), '') AS phone FROM documents""")
+  NULLIF(regexp_extract(text, '([A-Za-z0-9._]+@[A-Za-z0-9.]+)|(\\+1 \\([0-9]{3}\\) [0-9]{3}-[0-9]{4})', 1), '') AS email,
+  NULLIF(regexp_extract(text, '([A-Za-z0-9._]+@[A-Za-z0-9.]+)|(\\+1 \\([0-9]{3}\\) [0-9]{3}-[0-9]{4})', 2), '') AS phone FROM documents""")
 def i07(spark, sf):
     d = T(spark, sf, "documents")
-    return d.select("doc_id", *TX.extract_named(F.col("text"), EMAIL_PHONE),
-                    *TX.extract_named(F.col("text"), PHONE))
+    return d.select("doc_id", *TX.extract_named(F.col("text"), EMAIL_PHONE))
 
 
 EXTRACT_ALL = r"(?P<user>[a-z]+)\.(?P<num>[0-9]+)@"
@@ -131,7 +129,7 @@ def i11(spark, sf):
 def i12(spark, sf):
     o = T(spark, sf, "orders")
     d = F.col("o_orderdate")
-    return o.select("o_orderkey", DT.year(d).alias("year"), DT.month(d).alias("month"), DT.day(d).alias("day"),
+    return o.select("o_orderkey", F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
                     DT.dayofweek(d).alias("dayofweek"), DT.day_name(d).alias("day_name"))
 
 

@@ -7,36 +7,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.operators import group as G
+from flowframe.operators import windows as W
 from flowframe.plans.q_table import EVENTS_NULLS, events_with_nulls
 from flowframe.plans.registry import query, rnd
 from flowframe.sources.io import table as T
 
 
-def _zscore(pdf: pd.DataFrame) -> pd.DataFrame:
-    v = pdf["value"]
-    z = (v - v.mean()) / v.std()
-    return pd.DataFrame({"event_id": pdf["event_id"], "user_id": pdf["user_id"], "value_z": z.round(6)})
-
-
 @query("u01_group_transform_pandas", f"""SELECT event_id, user_id,
   ROUND((value - AVG(value) OVER (PARTITION BY user_id)) / STDDEV_SAMP(value) OVER (PARTITION BY user_id), 6) AS value_z
 FROM {EVENTS_NULLS}""", "T")
 def u01(spark, sf):
-    """``groupby('user_id')['value'].transform(lambda x: (x - x.mean()) / x.std())``."""
+    """A z-score within each user: aggregate and join, no group in one task."""
     e = events_with_nulls(spark, sf).select("event_id", "user_id", "value")
-    return G.group_apply(e, ["user_id"], _zscore, "event_id long, user_id long, value_z double")
-
-
-def _keep_busy(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf if len(pdf) >= 15 else pdf.iloc[0:0]
+    return W.group_zscore(e, ["user_id"], "value").select("event_id", "user_id", rnd("value_z", 6).alias("value_z"))
 
 
 @query("u02_group_filter_pandas", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN
   (SELECT o_custkey FROM orders GROUP BY 1 HAVING COUNT(*) >= 15)""")
 def u02(spark, sf):
-    """``groupby('o_custkey').filter(lambda g: len(g) >= 15)``."""
+    """Rows of the customers with many orders: aggregate and semi join."""
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return G.group_apply(o, ["o_custkey"], _keep_busy, "o_orderkey long, o_custkey long, o_totalprice double")
+    return G.filter_groups(o, ["o_custkey"], min_rows=15)
 
 
 def _rule(q: pd.Series, flag: pd.Series, disc: pd.Series) -> pd.Series:
@@ -56,15 +47,22 @@ def u03(spark, sf):
     return li.select("l_orderkey", "l_linenumber", rule("l_quantity", "l_returnflag", "l_discount").alias("rule"))
 
 
-def add_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
-    return df.withColumn(col, F.concat(F.lit(prefix), F.col(col).cast("string")))
+def with_share(df: DataFrame, part: str, whole: str, name: str) -> DataFrame:
+    return df.withColumn(name, rnd(F.try_divide(F.col(part), F.col(whole)), 6))
+
+
+def at_least(df: DataFrame, **bounds: float) -> DataFrame:
+    for c, low in bounds.items():
+        df = df.where(F.col(c) >= F.lit(low))
+    return df
 
 
-@query("u04_pipe_chain", """SELECT 'C_' || CAST(c_custkey AS VARCHAR) AS c_custkey, c_acctbal * 2 AS double_bal
-FROM customer WHERE c_acctbal * 2 > 0""")
+@query("u04_pipe_chain", """SELECT s_suppkey, ROUND(s_acctbal / n, 6) AS balance_share FROM (
+  SELECT *, SUM(GREATEST(s_acctbal, 0)) OVER (PARTITION BY s_nationkey) AS n FROM supplier)
+WHERE n > 0 AND ROUND(s_acctbal / n, 6) >= 0.1""", "T")
 def u04(spark, sf):
-    """``df.pipe(add_prefix, ...).assign(...).query(...)`` with ``DataFrame.transform``."""
-    c = T(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    return (c.transform(add_prefix, "c_custkey", "C_")
-             .withColumn("double_bal", F.col("c_acctbal") * 2)
-             .filter("double_bal > 0").drop("c_acctbal"))
+    """Table functions chained with ``DataFrame.transform``."""
+    s = T(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    totals = s.groupBy("s_nationkey").agg(F.sum(F.greatest("s_acctbal", F.lit(0))).alias("n"))
+    return (s.join(totals, "s_nationkey").where("n > 0").transform(with_share, "s_acctbal", "n", "balance_share")
+             .transform(at_least, balance_share=0.1).select("s_suppkey", "balance_share"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="flowframe-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -70,11 +72,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return conf_int(spark, "spark.sql.shuffle.partitions", 200)
 
 
-def env_int(name: str, default: int) -> int:
-    v = os.environ.get(name)
-    return int(v) if v else default
-
-
 def checkpoint(df):
     """``df.checkpoint()`` into the session's checkpoint folder (reliable storage:
     survives executor loss and cuts the lineage).  Never ``localCheckpoint``."""

@@ -81,9 +81,11 @@ def load_csv_dir(spark: SparkSession, data_dir: str, pattern: str = "*.csv",
     groups: dict[str, list[str]] = {}
     with ThreadPoolExecutor(16) as ex:
         for f, h in zip(files, ex.map(header, files)):
+            if not h.strip():
+                raise ValueError(f"{f} has no header line")
             groups.setdefault(h, []).append(f)
     parts = [read_csv(spark, fs, schema=schema, parse_dates=parse_dates)
-             for h, fs in sorted(groups.items()) if h]
+             for h, fs in sorted(groups.items())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -168,11 +170,3 @@ def spine_of(df: DataFrame, ts: str, freq: str = "D", name: str = "date") -> Dat
 def small_table(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
     """An in-line dimension table (``pd.DataFrame({...})`` master)."""
     return spark.createDataFrame(rows, schema)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows (a
-    ``limit(max_rows+1).count()`` that stops early on large inputs).  Otherwise
-    return it unchanged and let AQE pick the join strategy at run time."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

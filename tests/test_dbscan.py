@@ -33,10 +33,32 @@ def test_dbscan_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     X = np.vstack([rng.normal(0, 0.3, (60, 2)), rng.normal(3, 0.3, (50, 2)), rng.uniform(-2, 5, (30, 2))])
     pdf = pd.DataFrame({"id": np.arange(len(X), dtype="int64"), "a": X[:, 0], "b": X[:, 1]})
-    got = dbscan(spark.createDataFrame(pdf), "id", ["a", "b"], eps=0.4, min_samples=5, block_rows=37)
+    got = dbscan(spark.createDataFrame(pdf), "id", ["a", "b"], eps=0.4, min_samples=5)
     got = got.toPandas().sort_values("id")["cluster"].to_numpy()
     exp, core = brute_dbscan(X, 0.4, 5)
     # core and noise points agree exactly; a border point reachable from two
     # clusters may legitimately differ with expansion order, so compare on the rest
     assert (got[core] == exp[core]).all()
     assert ((got == -1) == (exp == -1)).all()
+
+
+def test_dbscan_follows_a_long_chain(spark):
+    """One chain of 400 points is one cluster, whatever its diameter."""
+    pdf = pd.DataFrame({"id": np.arange(400, dtype="int64"), "a": np.arange(400) * 0.4, "b": 0.0})
+    got = dbscan(spark.createDataFrame(pdf), "id", ["a", "b"], eps=0.5, min_samples=2).toPandas()
+    assert set(got["cluster"]) == {0}
+
+
+def test_dbscan_dense_cells_missing_values_and_higher_dimensions(spark):
+    rng = np.random.default_rng(8)
+    for d, eps in ((1, 0.2), (3, 0.5), (5, 0.9)):
+        X = np.vstack([rng.normal(0, 0.05, (120, d)), rng.normal(1, 0.2, (60, d)), rng.uniform(-2, 4, (40, d))])
+        cols = [f"c{i}" for i in range(d)]
+        pdf = pd.DataFrame(X, columns=cols).assign(id=np.arange(len(X), dtype="int64"))
+        missing = pd.DataFrame([{**{c: None for c in cols}, "id": 900}])
+        got = dbscan(spark.createDataFrame(pdf).unionByName(spark.createDataFrame(missing, ", ".join(f"{c} double" for c in cols) + ", id long")),
+                     "id", cols, eps=eps, min_samples=6).toPandas().set_index("id")["cluster"]
+        exp, core = brute_dbscan(X, eps, 6)
+        assert got[900] == -1
+        got = got.drop(900).sort_index().to_numpy()
+        assert (got[core] == exp[core]).all() and ((got == -1) == (exp == -1)).all()

@@ -84,7 +84,28 @@ def test_rolling_time_matches_pandas(spark):
     ts = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.sort(rng.choice(60 * 24, n, replace=False)), unit="h")
     pdf = pd.DataFrame({"ts": ts, "x": rng.normal(size=n)})
     df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = W.rolling_time(df, [], "ts", "x", 7, ["mean", "std"], prefix="r", span_days=2).toPandas().sort_values("ts")
+    got = W.rolling_time(df, [], "ts", "x", 7, ["mean", "std"], prefix="r", blocks=9).toPandas().sort_values("ts")
     exp = pdf.set_index("ts")["x"].rolling("7D")
     np.testing.assert_allclose(got["r_mean"].to_numpy(), exp.mean().to_numpy(), rtol=1e-9)
     np.testing.assert_allclose(got["r_std"].to_numpy(), exp.std().to_numpy(), rtol=1e-9, equal_nan=True)
+
+
+def test_rolling_time_without_key_in_one_crowded_span(spark):
+    """All rows within less than one window: blocks cut by rows, not by spans of time."""
+    rng = np.random.default_rng(9)
+    seconds = np.sort(rng.choice(3 * 86_400, 600, replace=False))
+    pdf = pd.DataFrame({"ts": pd.Timestamp("2024-03-01") + pd.to_timedelta(seconds, unit="s"), "x": rng.normal(size=600)})
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = W.rolling_time(df, [], "ts", "x", 7, ["mean"], prefix="r", blocks=8).toPandas().sort_values("ts")
+    assert len(got) == 600
+    assert np.allclose(got["r_mean"], pdf.set_index("ts")["x"].rolling("7D").mean())
+
+
+def test_descending_text_and_large_integers(spark):
+    from flowframe.operators import sort as S
+    rows = [("b", 5), ("a", 2 ** 53 + 1), ("ab", 2 ** 53), ("", 1), ("é", -2 ** 63), (None, 2 ** 53 + 2), ("abc", None), ("b", 4)]
+    df = spark.createDataFrame(rows, "s string, n bigint")
+    got = S.sort_values(df, ["s", "n"], ascending=False, rank_col="r").orderBy("r").collect()
+    assert [(r["s"], r["n"]) for r in got] == [("é", -2 ** 63), ("b", 5), ("b", 4), ("abc", None), ("ab", 2 ** 53), ("a", 2 ** 53 + 1), ("", 1), (None, 2 ** 53 + 2)]
+    got = S.sort_values(df, ["n"], ascending=False, rank_col="r").orderBy("r").collect()
+    assert [r["n"] for r in got] == [2 ** 53 + 2, 2 ** 53 + 1, 2 ** 53, 5, 4, 1, -2 ** 63, None]

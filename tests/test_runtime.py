@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.session import ensure_checkpoint_dir
-from flowframe.sources.io import broadcast_if_bounded
 
 
 def test_lazy_and_materialized_positions_agree(spark):
@@ -24,14 +23,18 @@ def test_lazy_and_materialized_positions_agree(spark):
     assert (a == b).all()
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(5000).withColumnRenamed("id", "x")
-    hinted = probe.join(broadcast_if_bounded(small, 100), probe.x == F.col("id"))
-    plain = probe.join(broadcast_if_bounded(big, 100), probe.x == F.col("id"))
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+def test_position_join_reuses_the_window_partitioning(spark):
+    """Block offsets join on the window's own keys: the rows are not exchanged again."""
+    df = spark.range(500).selectExpr("id % 3 AS k", "id AS t", "uuid() AS wide")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = O.positions(df, ["k"], ["t"], "p")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert not any("coalesce" in x for x in moved)
+    # the rows once, the table of block counts three times (counts, prefix sums, join)
+    assert len(moved) == plan.count("Exchange hashpartitioning(_series") == 4
 
 
 def test_checkpoint_dir_from_session(spark):
@@ -40,3 +43,26 @@ def test_checkpoint_dir_from_session(spark):
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         assert conf.rstrip("/").split("/")[-1] in spark.sparkContext.getCheckpointDir()
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from flowframe import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -1,5 +1,4 @@
-"""Text functions against pandas ``.str`` on the small hand-made frames of
-FIXTURES.md (strings, contacts, multi_match, lists)."""
+"""Text functions against pandas ``.str`` on small frames of our own."""
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -7,71 +6,74 @@ from pyspark.sql import functions as F
 from flowframe.functions import text as TX
 from flowframe.operators import group as G
 
-STRINGS = [" A_foo ", "B_bar", "C_baz123"]
-CONTACTS = ["Contact: alice@example.com, Phone: 090-1234-5678",
-            "Contact: bob@test.jp, Phone: 080-9876-5432", "No contact info"]
-MULTI = ["A1, B2, C3", "D4, E5"]
+LABELS = ["\u00a0 Red-Kite\t", "owl", " heron-7-east ", "", "\u00c9mile-42", None]
+NOTES = ["write to ann.lee@mail.test before noon", "ring +1 (555) 010-2030 today", "nothing here", "b@c.test or +1 (555) 010-9999", None]
+READINGS = ["t=4 p=17 t=5", "none", "p=9", "t=12p=3", None]
 
 
-def _col(spark, values, name="s"):
-    return spark.createDataFrame(pd.DataFrame({"i": range(len(values)), name: values}))
+def _col(spark, values):
+    return spark.createDataFrame(pd.DataFrame({"i": range(len(values)), "s": values}), "i int, s string")
 
 
-def test_strip_lower_len_split(spark):
-    s = pd.Series(STRINGS)
-    df = _col(spark, STRINGS).select(
+def _list(values):
+    return [None if pd.isna(v) else v for v in values]
+
+
+def test_strip_lower_length_split(spark):
+    s = pd.Series(LABELS)
+    got = _col(spark, LABELS).select(
         "i", TX.lower(TX.strip(F.col("s"))).alias("low"), TX.length(F.col("s")).alias("n"),
-        *TX.split_columns(TX.strip(F.col("s")), "_", 2, ["p0", "p1"])).orderBy("i").toPandas()
-    assert df["low"].tolist() == s.str.strip().str.lower().tolist()
-    assert df["n"].tolist() == s.str.len().tolist()
-    parts = s.str.strip().str.split("_", expand=True)
-    assert df["p0"].tolist() == parts[0].tolist() and df["p1"].tolist() == parts[1].tolist()
-
-
-def test_contains_startswith_extract_replace(spark):
-    s = pd.Series(STRINGS)
-    df = _col(spark, STRINGS).select(
-        "i", TX.contains(F.col("s"), "a", regex=False).alias("c"), TX.startswith(F.col("s"), " ").alias("sw"),
-        TX.extract(F.col("s"), r"(\d+)").alias("d"), TX.replace_regex(F.col("s"), r"\d", "#").alias("r")
-    ).orderBy("i").toPandas()
-    assert df["c"].tolist() == s.str.contains("a", regex=False).tolist()
-    assert df["sw"].tolist() == s.str.startswith(" ").tolist()
-    exp = s.str.extract(r"(\d+)")[0]
-    assert [None if pd.isna(v) else v for v in df["d"]] == [None if pd.isna(v) else v for v in exp]
-    assert df["r"].tolist() == s.str.replace(r"\d", "#", regex=True).tolist()
-
-
-def test_named_groups_and_masking(spark):
-    pat = r"(?P<email>[\w\.-]+@[\w\.-]+)|(?P<phone>\d{3}-\d{4}-\d{4})"
-    s = pd.Series(CONTACTS)
-    email = r"(?P<email>[\w\.-]+@[\w\.-]+)"
-    phone = r"(?P<phone>\d{3}-\d{4}-\d{4})"
-    df = _col(spark, CONTACTS).select(
-        "i", *TX.extract_named(F.col("s"), email), *TX.extract_named(F.col("s"), phone),
-        TX.replace_regex(F.col("s"), r"(\d{3})-(\d{4})-(\d{4})", r"\1-****-\3").alias("masked")
+        *TX.split_columns(TX.strip(F.col("s")), "-", 3, ["a", "b", "c"])).orderBy("i").toPandas()
+    assert _list(got["low"]) == _list(s.str.strip().str.lower())
+    assert _list(got["n"]) == _list(s.str.len())
+    parts = s.str.strip().str.split("-", expand=True)
+    assert [_list(got[c]) for c in "abc"] == [_list(parts[k]) for k in range(3)]
+
+
+def test_contains_prefix_digits_and_masking(spark):
+    s = pd.Series(LABELS)
+    got = _col(spark, LABELS).select(
+        "i", TX.contains(F.col("s"), "-", regex=False).alias("dash"), TX.startswith(F.col("s"), " ").alias("blank"),
+        TX.extract(F.col("s"), r"([0-9]+)").alias("digits"), TX.replace_regex(F.col("s"), r"(\w)-(\w)", r"\2+\1").alias("swap")
     ).orderBy("i").toPandas()
-    e = s.str.extract(email)["email"]
-    p = s.str.extract(phone)["phone"]
-    norm = lambda xs: [None if pd.isna(v) else v for v in xs]
-    assert norm(df["email"]) == norm(e) and norm(df["phone"]) == norm(p)
-    assert df["masked"].tolist() == s.str.replace(r"(\d{3})-(\d{4})-(\d{4})", r"\1-****-\3", regex=True).tolist()
-    assert pat  # the combined pattern of the notebook is covered by the two parts
+    assert _list(got["dash"]) == _list(s.str.contains("-", regex=False))
+    assert _list(got["blank"]) == _list(s.str.startswith(" "))
+    assert _list(got["digits"]) == _list(s.str.extract(r"([0-9]+)")[0])
+    assert _list(got["swap"]) == _list(s.str.replace(r"(\w)-(\w)", r"\2+\1", regex=True))
+
 
+def test_groups_that_take_no_part_are_missing(spark):
+    """One pattern with alternatives: the branch that did not match is NULL, not ''."""
+    for pattern in (r"(?P<mail>[a-z.]+@[a-z.]+)|(?P<phone>\+1 \([0-9]{3}\) [0-9-]+)",
+                    r"(?P<word>[a-z]+) (?P<opt>z)?(?P<rest>.*)", r"(?P<maybe>x*)?@(?P<tail>[a-z]*)"):
+        exp = pd.Series(NOTES).str.extract(pattern)
+        got = _col(spark, NOTES).select("i", *TX.extract_named(F.col("s"), pattern)).orderBy("i").toPandas()
+        for c in exp.columns:
+            assert _list(got[c]) == _list(exp[c]), (pattern, c)
 
-def test_extractall(spark):
-    pat = r"(?P<letter>[A-Z])(?P<digit>\d)"
-    s = pd.Series(MULTI)
-    exp = s.str.extractall(pat).reset_index()
-    got = (_col(spark, MULTI).select("i", F.posexplode(TX.extract_all(F.col("s"), pat)).alias("match", "m"))
-           .select("i", "match", "m.letter", "m.digit").orderBy("i", "match").toPandas())
-    assert got["letter"].tolist() == exp["letter"].tolist()
-    assert got["digit"].tolist() == exp["digit"].tolist()
-    assert got["match"].tolist() == exp["match"].tolist()
+
+def test_code_needs_a_pattern_and_defaults(spark):
+    got = _col(spark, READINGS).select("i", TX.extract_code(F.col("s"), r"p=(\d+)", -1).alias("p")).orderBy("i").toPandas()
+    assert got["p"].tolist() == [17, -1, 9, 3, -1]
+
+
+def test_every_match(spark):
+    pattern = r"(?P<name>[tp])=(?P<value>\d+)"
+    exp = pd.Series(READINGS).str.extractall(pattern).reset_index()
+    got = (_col(spark, READINGS).select("i", F.posexplode(TX.extract_all(F.col("s"), pattern)).alias("match", "m"))
+           .select("i", "match", "m.name", "m.value").orderBy("i", "match").toPandas())
+    for mine, theirs in (("i", "level_0"), ("match", "match"), ("name", "name"), ("value", "value")):
+        assert got[mine].tolist() == exp[theirs].tolist()
 
 
 def test_explode_keeps_empty_list(spark):
-    pdf = pd.DataFrame({"id": [1, 2, 3], "vals": [[1, 2], [], [3]]})
-    got = G.explode_list(spark.createDataFrame(pdf, "id long, vals array<int>"), "vals").orderBy("id").toPandas()
-    exp = pdf.explode("vals")
-    assert len(got) == len(exp) == 4
-    assert got["vals"].isna().sum() == 1
+    pdf = pd.DataFrame({"row": [7, 8, 9, 10], "xs": [[4], [], [1, 1], None]})
+    got = G.explode_list(spark.createDataFrame(pdf, "row long, xs array<int>"), "xs").toPandas()
+    assert len(got) == len(pdf.explode("xs")) == 5 and got["xs"].isna().sum() == 2
+
+
+def test_opaque_group_function(spark):
+    """A function without a native form still goes group by group."""
+    pdf = pd.DataFrame({"g": ["a", "a", "b"], "v": [3.0, 1.0, 5.0]})
+    got = G.group_apply(spark.createDataFrame(pdf), ["g"], lambda d: d.assign(v=d["v"].cumprod()), "g string, v double").toPandas()
+    assert sorted(map(tuple, got.to_numpy())) == [("a", 3.0), ("a", 3.0), ("b", 5.0)]
