@@ -313,7 +313,7 @@ SELECT o_orderpriority, CAST(h AS INTEGER) AS step, CAST(last_day + CAST(h AS IN
 
 def _forecast_query(method):
     def build(spark, sf):
-        f = FC.forecast(priority_daily(spark, sf), ["o_orderpriority"], "day", "revenue", 30, method)
+        f = FC.forecast(priority_daily(spark, sf), ["o_orderpriority"], "day", "revenue", 30, method, context=1024)
         return f.select("o_orderpriority", "step", F.col("ts").cast("timestamp_ntz").alias("ts"),
                         rnd("point", 4).alias("point"), *[rnd(q, 4).alias(q) for q in FC.DECILES])
     return build
