@@ -5,8 +5,8 @@ each weighted by its length (short words are common words).  Every term's 64-bit
 votes for its one bits and against its zero bits; a fingerprint bit is one if its ones
 outweigh its zeros.  Two counters of 32 bits share one sum, so 32 sums hold 64 votes.
 
-Fingerprints are grouped by the text's SHA-256: equal texts share one group, whose
-copies scale all votes alike and leave the fingerprint as it is.
+Votes are grouped by the text's SHA-256: equal texts share one group, whose copies
+scale all votes alike and leave the fingerprint as it is.
 
 Search: the bits are cut into ``radius + 3`` blocks.  Fingerprints within the radius
 agree in three blocks at least, so for every choice of three blocks a table holds the
@@ -41,14 +41,17 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
 
 
-def simhash(texts: DataFrame) -> DataFrame:
-    """(key, fp) for the distinct keys of ``texts`` (key, text)."""
-    words = F.array_distinct(F.split(F.lower(F.trim("text")), r"\s+"))
-    terms = texts.select("key", F.explode(words).alias("word"))
-    hashed = terms.select("key", F.xxhash64("word").alias("h"), F.char_length("word").cast("bigint").alias("w"))
+def simhash(texts: DataFrame, by: list[str], out: str = "fp") -> DataFrame:
+    """Fingerprints ``out`` of ``texts``, grouped by the columns ``by``, with ``copies``,
+    the number of rows that shared them.  Rows that agree in ``by`` have one text.
+    """
+    # the empty word is in every list once: it weighs nothing and counts the rows
+    words = F.array_union(F.array(F.lit("")), F.split(F.lower(F.trim("text")), r"\s+"))
+    terms = texts.select(*by, F.explode(words).alias("word"))
+    hashed = terms.select(*by, F.xxhash64("word").alias("h"), F.char_length("word").cast("bigint").alias("w"))
     both = F.lit((1 << 32) + 1)
     lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(both) * F.col("w")).alias(f"lane{i}") for i in range(LANES)]
-    sums = hashed.groupBy("key").agg(F.sum("w").alias("all"), *lanes)
+    sums = hashed.groupBy(*by).agg(F.sum("w").alias("all"), F.sum((F.col("w") == 0).cast("bigint")).alias("copies"), *lanes)
 
     def bit(counter: Column, place: int) -> Column:
         one = 1 << place if place < BITS - 1 else -(1 << (BITS - 1))
@@ -58,7 +61,7 @@ def simhash(texts: DataFrame) -> DataFrame:
     for i in range(LANES):
         lane = F.col(f"lane{i}")
         fp = fp.bitwiseOR(bit(lane.bitwiseAND(F.lit((1 << 32) - 1)), i)).bitwiseOR(bit(F.shiftrightunsigned(lane, 32), i + 32))
-    return sums.select("key", fp.alias("fp"))
+    return sums.select(*by, "copies", fp.alias(out))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -145,31 +148,31 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - floor(char_length(text) / 3))"),
                       F.coalesce(F.expr("substring(head, 1, cast(floor(char_length(text) / 3) as int))"), F.lit("")))
     joined = joined.withColumn("edited", edited)
-    facts = stored(joined.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
-                                 text_key(F.col("text")).alias("key"), text_key(F.col("edited")).alias("edited_key"),
-                                 F.coalesce("next_key", text_key(F.col("text"))).alias("next_key")))
-    own = rows.select(text_key(F.col("text")).alias("key"), "text")
-    changed = joined.select(text_key(F.col("edited")).alias("key"), F.col("edited").alias("text"))
-    prints = stored(simhash(own.unionByName(changed)))
-    return _compare(facts, prints, radius)
+    facts = ["doc_id", "n_chars", "key", "edited_key", "next_key"]
+    changed = joined.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), text_key(F.col("text")).alias("key"),
+                            text_key(F.col("edited")).alias("edited_key"), F.coalesce("next_key", text_key(F.col("text"))).alias("next_key"),
+                            F.col("edited").alias("text"))
+    edits = stored(simhash(changed, facts, "edited_fp"))  # the one pass over joined texts
+    own = stored(simhash(rows.select(text_key(F.col("text")).alias("key"), "text"), ["key"]).drop("copies"))
+    return _compare(edits, own, radius)
 
 
-def _compare(facts: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+def _compare(edits: DataFrame, own: DataFrame, radius: int) -> DataFrame:
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     zero = F.lit(0).cast("bigint")
-    out = facts.withColumn("salt", spread)
-    for key, fp in (("key", "fp"), ("edited_key", "edited_fp"), ("next_key", "next_fp")):
-        each = prints.select(F.col("key").alias(key), F.col("fp").alias(fp), salt)
-        out = out.join(each, [key, "salt"], "left").withColumn(fp, F.coalesce(fp, zero))
+    out = edits.withColumn("salt", spread)
+    for key, fp in (("key", "fp"), ("next_key", "next_fp")):
+        each = own.select(F.col("key").alias(key), F.col("fp").alias(fp), salt)
+        out = out.join(each, [key, "salt"])
     out = stored(out.drop("salt", "key", "next_key"))
-    counts = stored(out.groupBy("fp").agg(F.count(F.lit(1)).alias("n")))
+    counts = stored(out.groupBy("fp").agg(F.sum("copies").alias("n")))
     pairs = within_radius(counts.select("fp"), radius)
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("other")),
                                           F.struct(F.col("b").alias("fp"), F.col("a").alias("other")))).alias("e")).select("e.*")
     others = ends.join(counts.withColumnRenamed("fp", "other"), "other").groupBy("fp").agg(F.sum("n").alias("others"))
     near = counts.join(others, "fp", "left").select("fp", (F.col("n") - 1 + F.coalesce("others", zero)).alias("near_docs"), salt)
-    final = out.withColumn("salt", spread).join(near, ["fp", "salt"])
+    final = out.withColumn("salt", spread).join(near, ["fp", "salt"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     shown = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return final.select("doc_id", "n_chars", F.lower(F.hex("edited_key")).alias("edited_sha256"), shown("fp").alias("fingerprint"),
                         shown("edited_fp").alias("edited_fingerprint"), likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
