@@ -36,6 +36,7 @@ SLICE_ROWS = 1024
 QUERY_ROWS = 1024
 #: Above this share of surviving (query, candidate) pairs one dense product is cheaper.
 DENSE_SHARE = 0.05
+LAST_ID = np.iinfo(np.int64).max
 BLOCK_DDL = "block bigint, n int, dims int, longest double, ids binary, data binary"
 
 
@@ -125,8 +126,8 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, basis: np.ndarray,
-           k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best of ``c`` for each row of ``q`` with a score of at least ``floor``.
+           k: int, floor: np.ndarray, floor_id: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of ``c`` for each row of ``q`` that rank before (``floor``, ``floor_id``).
 
     Returns scores and ids (rows x k) and a mask of the cells in use.  ``c`` is sorted
     by descending length.
@@ -142,7 +143,7 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, b
     best = np.full((len(q), k), np.iinfo(np.int64).min)
     best_ids = np.full((len(q), k), np.iinfo(np.int64).max)
     used = np.zeros((len(q), k), bool)
-    bar = floor.astype(float).copy()
+    bar, bar_id = floor.astype(float).copy(), floor_id.copy()
     slack = 1e-6 * (1 + q_len * c_len.max(initial=0))
     for at in range(0, len(c), SLICE_ROWS):
         s = slice(at, at + SLICE_ROWS)
@@ -161,7 +162,8 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, b
             i, j = np.nonzero(open_)
             scores = np.zeros(open_.shape, np.int64)
             scores[i, j] = np.einsum("ij,ij->i", q[rows][i], c[s][j])
-        open_ &= scores >= bar[rows, None]
+        level = bar[rows, None]
+        open_ &= (scores > level) | ((scores == level) & (c_ids[None, s] < bar_id[rows, None]))
         hit = open_.any(axis=1)
         rows, open_, scores = rows[hit], open_[hit], scores[hit]
         if not len(rows):
@@ -172,15 +174,15 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, b
         live = np.concatenate([used[rows], open_], axis=1)
         order = np.lexsort((ids, -every, ~live), axis=-1)[:, :k]
         best[rows], best_ids[rows], used[rows] = (np.take_along_axis(x, order, 1) for x in (every, ids, live))
-        full = used[rows].all(axis=1)
-        bar[rows[full]] = np.maximum(bar[rows[full]], best[rows[full], -1])
+        full = rows[used[rows].all(axis=1)]
+        bar[full], bar_id[full] = best[full, -1], best_ids[full, -1]
     return best, best_ids, used
 
 
-def _pair(row: dict, basis: np.ndarray, k: int, floor: np.ndarray):
+def _pair(row: dict, basis: np.ndarray, k: int, floor: np.ndarray, floor_id: np.ndarray):
     q_ids, q = unpack(row["q_n"], row["q_dims"], row["q_ids"], row["q_data"])
     c_ids, c = unpack(row["n"], row["dims"], row["ids"], row["data"])
-    return q_ids, q, search(q_ids, q, c_ids, c, basis, k, floor)
+    return q_ids, q, search(q_ids, q, c_ids, c, basis, k, floor, floor_id)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id",
@@ -203,7 +205,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "ve
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, q, (best, ids, used) = _pair(row, basis, k, np.full(row["q_n"], -np.inf))
+                q_ids, q, (best, ids, used) = _pair(row, basis, k, np.full(row["q_n"], -np.inf), np.full(row["q_n"], LAST_ID))
                 full = used.all(axis=1)
                 bar = np.where(full, best[:, -1].astype(float), -np.inf)
                 length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
@@ -211,13 +213,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "ve
                 need = np.where(length > 0, bar / np.where(length > 0, length, 1), np.where(bar > 0, np.inf, -np.inf))
                 yield pa.RecordBatch.from_pylist([{
                     "q_block": row["q_block"], "q_n": row["q_n"], "q_dims": row["q_dims"], "q_ids": row["q_ids"],
-                    "q_data": row["q_data"], "need": float(need.min(initial=np.inf)) * (1 - 1e-9) - 1e-6, "bar": bar.tobytes(),
+                    "q_data": row["q_data"], "need": float(need.min(initial=np.inf)) * (1 - 1e-9) - 1e-6, "bar": bar.tobytes(), "bar_id": np.where(full, ids[:, -1], LAST_ID).tobytes(),
                     "best": best.tobytes(), "best_ids": ids.tobytes(), "used": used.tobytes()}], schema=seeds)
 
     seeds = pa.schema([("q_block", pa.int64()), ("q_n", pa.int32()), ("q_dims", pa.int32()), ("q_ids", pa.binary()),
-                       ("q_data", pa.binary()), ("need", pa.float64()), ("bar", pa.binary()), ("best", pa.binary()),
+                       ("q_data", pa.binary()), ("need", pa.float64()), ("bar", pa.binary()), ("bar_id", pa.binary()), ("best", pa.binary()),
                        ("best_ids", pa.binary()), ("used", pa.binary())])
-    ddl = ("q_block bigint, q_n int, q_dims int, q_ids binary, q_data binary, need double, bar binary, "
+    ddl = ("q_block bigint, q_n int, q_dims int, q_ids binary, q_data binary, need double, bar binary, bar_id binary, "
            "best binary, best_ids binary, used binary")
     # one block of BLOCK_ROWS vectors, the same for every query block
     longest = F.broadcast(candidates.where(F.col("block") == first))
@@ -234,7 +236,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "ve
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                q_ids, _, best = _pair(row, basis, k, np.frombuffer(row["bar"], np.float64))
+                q_ids, _, best = _pair(row, basis, k, np.frombuffer(row["bar"], np.float64), np.frombuffer(row["bar_id"], np.int64))
                 yield found(q_ids, *best)
 
     # which pairs of blocks can hold a result: numbers only, joined by bucket, not crossed in one task
