@@ -55,12 +55,12 @@ def steps(batch: pa.RecordBatch, column: int = 0, most: int = STEP_BYTES) -> Ite
 
 
 def map_text(df: DataFrame, text: str, added: str, step: Callable[[pa.Array], list[pa.Array]],
-             setup: Callable[[], object] | None = None) -> DataFrame:
+             setup: Callable[[], object] | None = None, most: int = STEP_BYTES) -> DataFrame:
     """``df`` with the columns ``added`` (a DDL string) that ``step`` computes from ``text``.
 
     ``step`` gets the texts of a bounded slice as one string array and returns one
     array per added column.  With ``setup``, ``step`` gets its result first; it runs
-    once a task.  Nulls stay null in the array: the step gives them their meaning.
+    once a task.  A slice has about ``most`` bytes of text.  Nulls stay null in the array: the step gives them their meaning.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != text]
     fields = df.select(F.col(f"`{text}`").cast("string").alias(text), *kept)
@@ -71,7 +71,7 @@ def map_text(df: DataFrame, text: str, added: str, step: Callable[[pa.Array], li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, most=most):
                 texts = part.column(0)
                 new = step(state, texts) if setup else step(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
@@ -81,6 +81,25 @@ def map_text(df: DataFrame, text: str, added: str, step: Callable[[pa.Array], li
     return out.select(*[F.col(f"`{c}`") for c in order])
 
 
+#: A key is hot if it has more than this share (1 / HOT_SHARE) of all rows.
+HOT_SHARE = 500
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``left`` joined with ``right``, one row a ``key`` with the ``count`` of its rows.
+
+    The counts add up to ``total``, so fewer than HOT_SHARE keys can be hot; exactly
+    those are broadcast, and no hot key gathers its rows in one task.
+    """
+    hot = F.col(count) * HOT_SHARE > F.lit(total)
+    added = [c for c in right.columns if c not in (key, count)]
+    few = right.where(hot).select(key, F.lit(True).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in added])
+    marked = left.join(F.broadcast(few), key, "left")
+    warm = marked.where("__hot").select(*left.columns, *[F.col(f"__hot_{c}").alias(c) for c in added])
+    cold = marked.where("__hot is null").select(*left.columns).join(right.where(~hot).select(key, *added), key)
+    return warm.unionByName(cold.select(*left.columns, *added))
+
+
 _SHIPPED: set[str] = set()
 
 

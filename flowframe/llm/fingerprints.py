@@ -26,15 +26,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import stored
+from flowframe.llm.common import join_spread, stored
 from flowframe.session import shuffle_partitions
 
 BITS = 64
 LANES = 32
 #: Blocks that must agree; with ``radius + AGREE`` blocks, that many always do.
 AGREE = 3
-#: Spread of a text's key where rows meet their fingerprint again.
-SALTS = 8
 
 
 def text_key(text: Column) -> Column:
@@ -153,26 +151,24 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                             text_key(F.col("edited")).alias("edited_key"), F.coalesce("next_key", text_key(F.col("text"))).alias("next_key"),
                             F.col("edited").alias("text"))
     edits = stored(simhash(changed, facts, "edited_fp"))  # the one pass over joined texts
-    own = stored(simhash(rows.select(text_key(F.col("text")).alias("key"), "text"), ["key"]).drop("copies"))
+    own = stored(simhash(rows.select(text_key(F.col("text")).alias("key"), "text"), ["key"]))
     return _compare(edits, own, radius)
 
 
 def _compare(edits: DataFrame, own: DataFrame, radius: int) -> DataFrame:
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     zero = F.lit(0).cast("bigint")
-    out = edits.withColumn("salt", spread)
-    for key, fp in (("key", "fp"), ("next_key", "next_fp")):
-        each = own.select(F.col("key").alias(key), F.col("fp").alias(fp), salt)
-        out = out.join(each, [key, "salt"])
-    out = stored(out.drop("salt", "key", "next_key"))
+    total = own.agg(F.coalesce(F.sum("copies"), zero)).first()[0]
+    texts = own.withColumnRenamed("copies", "n")
+    out = join_spread(edits, texts, "key", "n", total)
+    out = join_spread(out, texts.select(F.col("key").alias("next_key"), "n", F.col("fp").alias("next_fp")), "next_key", "n", total)
+    out = stored(out.drop("key", "next_key"))
     counts = stored(out.groupBy("fp").agg(F.sum("copies").alias("n")))
     pairs = within_radius(counts.select("fp"), radius)
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("other")),
                                           F.struct(F.col("b").alias("fp"), F.col("a").alias("other")))).alias("e")).select("e.*")
     others = ends.join(counts.withColumnRenamed("fp", "other"), "other").groupBy("fp").agg(F.sum("n").alias("others"))
-    near = counts.join(others, "fp", "left").select("fp", (F.col("n") - 1 + F.coalesce("others", zero)).alias("near_docs"), salt)
-    final = out.withColumn("salt", spread).join(near, ["fp", "salt"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    near = counts.join(others, "fp", "left").select("fp", "n", (F.col("n") - 1 + F.coalesce("others", zero)).alias("near_docs"))
+    final = join_spread(out, near, "fp", "n", total).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     shown = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return final.select("doc_id", "n_chars", F.lower(F.hex("edited_key")).alias("edited_sha256"), shown("fp").alias("fingerprint"),
                         shown("edited_fp").alias("edited_fingerprint"), likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
