@@ -11,7 +11,8 @@ from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, MapType, NumericType, StringType, StructType,
+                               TimestampNTZType, TimestampType)
 
 from flowframe.operators import order as O
 
@@ -32,13 +33,29 @@ def filter_columns(df: DataFrame, regex: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if rx.search(c)])
 
 
-def select_dtypes(df: DataFrame, include: str = "number") -> DataFrame:
-    """``select_dtypes(include=[np.number])`` (booleans are not numbers)."""
-    if include != "number":
-        raise ValueError("only 'number' is supported")
-    keep = [f.name for f in df.schema.fields
-            if isinstance(f.dataType, NumericType) and not isinstance(f.dataType, BooleanType)]
-    return df.select(*[F.col(f"`{c}`") for c in keep])
+#: Kinds of columns by the type names of pandas.
+DTYPES = {
+    "number": lambda t: isinstance(t, NumericType),
+    "bool": lambda t: isinstance(t, BooleanType),
+    "object": lambda t: isinstance(t, (StringType, ArrayType, MapType, StructType)),
+    "datetime": lambda t: isinstance(t, (DateType, TimestampType, TimestampNTZType)),
+}
+
+
+def select_dtypes(df: DataFrame, include: str | Sequence[str] | None = None, exclude: str | Sequence[str] = ()) -> DataFrame:
+    """``select_dtypes(include=, exclude=)`` by ``number`` (the default, without
+    booleans), ``bool``, ``object`` (text and nested values) and ``datetime``."""
+    names = lambda x: [x] if isinstance(x, str) else list(x)
+    inside = names(include) if include is not None else ([] if exclude else ["number"])
+    outside = names(exclude)
+    unknown = set(inside + outside) - set(DTYPES)
+    if unknown:
+        raise ValueError(f"unknown kinds of columns: {sorted(unknown)}")
+
+    def kept(t) -> bool:
+        return (not inside or any(DTYPES[k](t) for k in inside)) and not any(DTYPES[k](t) for k in outside)
+
+    return df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if kept(f.dataType)])
 
 
 def _narrow(df: DataFrame, order, keys, cols: Sequence[str] | None) -> DataFrame:

@@ -106,3 +106,14 @@ def test_grid_search_for_a_classifier_pipeline(spark):
     got = TU.grid_search(df, ["id"], ["x"], "y", TU.scaled(K.decision_tree(3, label="y")), {"maxDepth": [1, 3]}, metric="accuracy")
     assert got.columns == ["setting", "accuracy"] and got.count() == 2
     assert all(r["accuracy"] == 1.0 for r in got.collect())
+
+
+def test_columns_by_type(spark):
+    from flowframe.operators import select as S
+    df = spark.sql("SELECT 1 AS i, 2.5D AS d, true AS b, 'x' AS s, array(1) AS a, DATE'2024-01-01' AS t")
+    assert S.select_dtypes(df).columns == ["i", "d"]
+    assert S.select_dtypes(df, ["bool", "datetime"]).columns == ["b", "t"]
+    assert S.select_dtypes(df, exclude="number").columns == ["b", "s", "a", "t"]
+    assert S.select_dtypes(df, "object", "object").columns == []
+    with pytest.raises(ValueError):
+        S.select_dtypes(df, "category")
