@@ -24,9 +24,11 @@ result; words and texts of any length are encoded whole.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections import deque
 
 import numpy as np
@@ -44,6 +46,10 @@ LAST = 0x10000
 COMMON = "\u0250"
 #: Words remembered by a worker; older ones are computed again.
 CACHED_WORDS = 250_000
+#: Text bytes whose new words share a trie.
+STEP = 4 << 20
+#: Rows decoded at a time.
+DECODED_ROWS = 512
 #: Pairs of tokens whose compatibility a worker remembers.
 CACHED_PAIRS = 1_000_000
 
@@ -58,15 +64,20 @@ def byte_symbols() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+def token_names(spec: dict) -> list[str]:
+    """The text of every id, special tokens included."""
+    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec.get("added_tokens", [])}
+    return [names.get(i, "") for i in range(max(names) + 1)]
+
+
 class Vocabulary:
     """Tokens as symbol strings, merge ranks, and the automaton that lists word endings."""
 
     def __init__(self, spec: dict) -> None:
         model = spec["model"]
         suffix = model["end_of_word_suffix"]
-        self.names = {i: t for t, i in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.names.update({i: t for t, i in self.special.items()})
+        self.listed = pa.array(token_names(spec), pa.string())
 
         def symbols(token: str) -> str:
             if token.endswith(suffix) and len(token) > len(suffix):
@@ -88,18 +99,21 @@ class Vocabulary:
         self.table = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
         self._automaton()
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, symbols: str) -> list[str]:
         """Plain BPE of a short symbol string: the lowest-ranked pair first, leftmost first."""
-        parts = list(symbols)
-        while len(parts) > 1:
-            found = [(self.ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in self.ranks]
-            if not found:
-                break
-            _, i = min(found)
+        parts, rank, none = list(symbols), self.ranks.get, len(self.ranks)
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (lowest := min(ranks)) < none:
+            i = ranks.index(lowest)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
         return parts
 
     def _automaton(self) -> None:
@@ -117,10 +131,12 @@ class Vocabulary:
                 node = self.goto[node][c]
             ends[node] = i
         self.fail = [0] * len(ends)
-        self.endings: list[tuple[int, ...]] = [()] * len(ends)
+        # entries that end at a node, longest first, with their lengths
+        self.endings: list[tuple[tuple[int, int], ...]] = [()] * len(ends)
+        own = [((i, self.length[i]),) if i >= 0 else () for i in ends]
         queue = deque(self.goto[0].values())
         for node in queue:
-            self.endings[node] = (ends[node],) if ends[node] >= 0 else ()
+            self.endings[node] = own[node]
         while queue:
             node = queue.popleft()
             for c, child in self.goto[node].items():
@@ -128,67 +144,92 @@ class Vocabulary:
                 while back and c not in self.goto[back]:
                     back = self.fail[back]
                 self.fail[child] = self.goto[back].get(c, 0)
-                own = (ends[child],) if ends[child] >= 0 else ()
-                self.endings[child] = own + self.endings[self.fail[child]]
+                self.endings[child] = own[child] + self.endings[self.fail[child]]
                 queue.append(child)
+        self.step = [dict(arcs) for arcs in self.goto]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            a, b = self.text[left], self.text[right]
-            known = self.pairs[key] = self.merge(a + b) == [a, b]
+        """Whether BPE of the two tokens' texts gives just these two (remembered)."""
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        a, b = self.text.get(left, ""), self.text[right]
+        known = self.pairs[left << 32 | right] = self.merge(a + b) == [a, b]
         return known
 
-    def encode_all(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of symbol strings, by one depth-first walk over the trie of all of them."""
+    def follow(self, state: int, symbol: str) -> int:
+        """The automaton's next state; resolved failure links are kept."""
+        at = state
+        while at and symbol not in self.goto[at]:
+            at = self.fail[at]
+        found = self.step[state][symbol] = self.goto[at].get(symbol, 0)
+        return found
+
+    def trie(self, words: list[str]) -> dict:
+        """Nested dicts by symbol.  A word stands as a leaf at the first symbol that it
+        shares with no other; its last symbol is of a kind of its own, so no word is the
+        beginning of another."""
         root: dict = {}
         for word in words:
-            node = root
-            for c in word[:-1]:
-                node = node.setdefault(c, {})
-            node[word[-1]] = word  # a last symbol ends its word, so it is a leaf
-        goto, fail, endings, length, pairs = self.goto, self.fail, self.endings, self.length, self.pairs
-        state, last, out = [0], [-1], {}
-        stack = [(1, c, child) for c, child in root.items()]
-        while stack:
-            depth, c, child = stack.pop()
-            at = state[depth - 1]
-            while at and c not in goto[at]:
-                at = fail[at]
-            at = goto[at].get(c, 0)
-            del state[depth:], last[depth:]
-            for token in endings[at]:
-                before = depth - length[token]
-                if before == 0:
+            node, depth = root, 0
+            while True:
+                c = word[depth]
+                child = node.get(c)
+                if child is None:
+                    node[c] = word
                     break
-                left = last[before]
-                if left >= 0:
-                    known = pairs.get(left << 32 | token)
-                    if known or known is None and self.compatible(left, token):
+                depth += 1
+                if child.__class__ is str:  # the leaf moves one symbol down
+                    child = node[c] = {child[depth]: child}
+                node = child
+        return root
+
+    def encode_all(self, words: list[str]) -> dict[str, bytes]:
+        """Ids (int32) of distinct symbol strings, by one depth-first walk over their trie."""
+        steps, endings, pairs, length = self.step, self.endings, self.pairs, self.length
+        deepest = max(map(len, words), default=0) + 1
+        state, last = [0] * deepest, [-1] * deepest  # of the prefixes on the path
+        out: dict[str, bytes] = {}
+        stack = [(0, c if child.__class__ is dict else child, child) for c, child in self.trie(words).items()]
+        while stack:
+            depth, run, child = stack.pop()
+            at = state[depth]
+            for c in run:  # one symbol, or the rest of a leaf
+                found = steps[at].get(c)
+                at = self.follow(at, c) if found is None else found
+                depth += 1
+                state[depth] = at
+                for token, size in endings[at]:
+                    if size == depth:
                         break
-            else:
-                token = -1  # a symbol that the vocabulary lacks
-            state.append(at)
-            last.append(token)
-            if isinstance(child, dict):
-                stack.extend((depth + 1, c, grown) for c, grown in child.items())
-            else:
-                ids = []
-                while depth > 0:
-                    token = last[depth]
-                    if token < 0:  # the lacking symbol is left out, what precedes it stands
-                        ids = None
+                    left = last[depth - size]
+                    known = pairs.get(left << 32 | token)
+                    if known is None:
+                        known = self.compatible(left, token)
+                    if known:
                         break
-                    ids.append(token)
-                    depth -= length[token]
-                out[child] = ids[::-1] if ids is not None else [self.tokens[p] for p in self.merge(child) if p in self.tokens]
+                else:
+                    token = -1  # a symbol that the vocabulary lacks
+                last[depth] = token
+            if child.__class__ is dict:
+                stack.extend([(depth, c if grown.__class__ is dict else grown[depth:], grown) for c, grown in child.items()])
+                continue
+            ids = []
+            while depth:
+                token = last[depth]
+                if token < 0:  # left out, as plain merging does
+                    ids = [self.tokens[p] for p in reversed(self.merge(child)) if p in self.tokens]
+                    break
+                ids.append(token)
+                depth -= length[token]
+            ids.reverse()
+            out[child] = array("i", ids).tobytes()
         return out
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk without ASCII white space, as symbol strings."""
+        if chunk.isascii() and chunk.isalpha():
+            lower = chunk.lower()
+            return [lower[:-1] + chr(ord(lower[-1]) + LAST)]
         if not chunk.isascii() and max(chunk) >= COMMON:
             plain = self.rare.normalizer.normalize_str(chunk)
             shown = [w for w, _ in self.rare.pre_tokenizer.pre_tokenize_str(plain)]
@@ -200,24 +241,35 @@ class Vocabulary:
                 shown = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.table) for w in shown]
         return [w[:-1] + chr(ord(w[-1]) + LAST) for w in shown]
 
-    def encode_chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each chunk; the words not yet known are encoded together."""
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids (int32) of each chunk; the words not yet known are encoded together."""
+        # tries and caches hold no cycles; the collector would only walk them again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_chunks(chunks)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
             self.older, self.words = self.words, {}
-        found, fresh = [None] * len(chunks), {}
-        for i, chunk in enumerate(chunks):
-            ids = self.words.get(chunk)
+        found, fresh = list(map(self.words.get, chunks)), {}
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            chunk = chunks[i]
+            ids = self.older.get(chunk)
             if ids is None:
-                ids = self.older.get(chunk)
-                if ids is None:
-                    fresh[i] = [chunk] if chunk in self.special else self.pieces(chunk)
-                    continue
-                self.words[chunk] = ids
-            found[i] = ids
+                fresh[i] = [chunk] if chunk in self.special else self.pieces(chunk)
+            else:
+                found[i] = self.words[chunk] = ids
         coded = self.encode_all(list({w for i, ws in fresh.items() if chunks[i] not in self.special for w in ws}))
         for i, words in fresh.items():
             special = self.special.get(chunks[i])
-            ids = (special,) if special is not None else tuple(t for w in words for t in coded[w])
+            if special is not None:
+                ids = array("i", [special]).tobytes()
+            else:
+                ids = coded[words[0]] if len(words) == 1 else b"".join([coded[w] for w in words])
             found[i] = self.words[chunks[i]] = ids
         return found
 
@@ -244,12 +296,13 @@ def _shared(docs: DataFrame, path: str):
 def encode_texts(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
     texts = texts.fill_null("")
     for special in vocabulary.special:  # cut out before anything else is looked at
-        texts = pc.replace_substring(texts, special, f" {special} ")
+        if pc.any(pc.match_substring(texts, special)).as_py():
+            texts = pc.replace_substring(texts, special, f" {special} ")
     split = pc.ascii_split_whitespace(texts)
     coded = split.flatten().dictionary_encode()
-    ids = vocabulary.encode_chunks(coded.dictionary.to_pylist())
-    sizes = np.array([len(x) for x in ids] + [0], np.int64)
-    flat = np.fromiter((t for x in ids for t in x), np.int32, int(sizes.sum()))
+    ids = vocabulary.encode_chunks(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    sizes = np.array([*map(len, ids), 0], np.int64) // 4
+    flat = np.frombuffer(b"".join(ids), np.int32)
     first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     codes = coded.indices.to_numpy(zero_copy_only=False)
     n = sizes[codes]
@@ -261,10 +314,20 @@ def encode_texts(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat[take]))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids (array of int) of each whole text."""
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the token ids (array of int) of each whole text.
+
+    With ``decoded``, the text that :func:`decode` makes of those ids comes with them,
+    in the same Python worker.
+    """
     vocabulary = _shared(docs, path)
-    return map_text(docs, text, f"`{ids}` array<int>", lambda v, texts: [encode_texts(v, texts)], vocabulary)
+    added = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
+
+    def step(v: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+        found = encode_texts(v, texts)
+        return [found, decode_ids(v.listed, found)] if decoded else [found]
+
+    return map_text(docs, text, added, step, vocabulary, STEP)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -275,18 +338,23 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded
     from pyspark.sql.types import StringType, StructField, StructType
 
     with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
-    shared = docs.sparkSession.sparkContext.broadcast([names.get(i, "") for i in range(max(names) + 1)])
+        shared = docs.sparkSession.sparkContext.broadcast(token_names(json.load(file)))
     schema = StructType([*docs.schema.fields, StructField(decoded, StringType())])
     where = docs.columns.index(ids)
 
     def run(batches):
-        tokens = shared.value
+        tokens = pa.array(shared.value, pa.string())
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [" ".join([tokens[i] for i in x]) for x in part.column(where).fill_null([]).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+            for at in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(at, DECODED_ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns, decode_ids(tokens, part.column(where))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def decode_ids(tokens: pa.Array, ids: pa.Array) -> pa.Array:
+    """Token names of each list joined by single spaces; a null list is an empty text."""
+    flat = tokens.take(ids.flatten())
+    sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, flat), " ")

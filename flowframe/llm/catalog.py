@@ -45,9 +45,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole text, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
-    decoded = bpe.decode(encoded, WORD_BPE)
-    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+    coded = bpe.encode(docs, WORD_BPE, decoded="decoded")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

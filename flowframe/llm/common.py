@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from flowframe.session import ensure_checkpoint_dir
 
 #: Text bytes that one step of a Python task holds at a time.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -71,6 +71,9 @@ def test_bpe_on_odd_rows(odd, none, odd_rows):
     expected = [tokenizer.encode(r[1] or "", add_special_tokens=False).ids for r in odd_rows]
     assert sorted((str(r["doc_id"]), r["tokens"], r["plain"]) for r in got.collect()) == sorted(
         (str(r[0]), ids, tokenizer.decode(ids, skip_special_tokens=False)) for r, ids in zip(odd_rows, expected))
+    once = bpe.encode(odd, catalog.WORD_BPE, ids="tokens", decoded="plain")
+    assert once.columns == got.columns
+    assert sorted(map(str, once.select("doc_id", "tokens", "plain").collect())) == sorted(map(str, got.select("doc_id", "tokens", "plain").collect()))
     assert bpe.decode(bpe.encode(none, catalog.WORD_BPE, ids="tokens"), catalog.WORD_BPE, ids="tokens", decoded="plain").count() == 0
 
 
