@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and the text decoded from them."""
     ids, decoded = free_name(docs, "ids"), free_name(docs, "decoded")
-    return bpe.decode(bpe.encode(docs, catalog.WORD_BPE, ids=ids), catalog.WORD_BPE, ids=ids, decoded=decoded)
+    return bpe.encode(docs, catalog.WORD_BPE, ids=ids, decoded=decoded)
 
 
 STAGES = [
