@@ -126,7 +126,9 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, near_docs (other rows within ``radius`` bits).
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    # renamed first: an alias of its own name would make the two uses of the text's exchange differ
+    named = docs.select(f"`{doc_id}`", f"`{text}`").toDF("doc_id", "text") if (doc_id, text) != ("doc_id", "text") else docs
+    rows = named.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     third = F.floor(F.char_length("text") / 3).cast("int")
     cuts = stored(rows.groupBy("doc_id").agg(F.max(third).alias("cut")))
     follow = ring(cuts)
