@@ -3,7 +3,8 @@
 The terms of a text are its distinct words, split at white space and lower-cased,
 each weighted by its length (short words are common words).  Every term's 64-bit hash
 votes for its one bits and against its zero bits; a fingerprint bit is one if its ones
-outweigh its zeros.  Two counters of 32 bits share one sum, so 32 sums hold 64 votes.
+outweigh its zeros.  Every bit has a sum of its own: votes grow with the copies of a
+text, and only a whole bigint holds them at any number of copies.
 
 Votes are grouped by the text's SHA-256: equal texts share one group, whose copies
 scale all votes alike and leave the fingerprint as it is.
@@ -30,7 +31,6 @@ from flowframe.llm.common import join_spread, stored
 from flowframe.session import shuffle_partitions
 
 BITS = 64
-LANES = 32
 #: Blocks that must agree; with ``radius + AGREE`` blocks, that many always do.
 AGREE = 3
 
@@ -47,18 +47,17 @@ def simhash(texts: DataFrame, by: list[str], out: str = "fp") -> DataFrame:
     words = F.array_union(F.array(F.lit("")), F.split(F.lower(F.trim("text")), r"\s+"))
     terms = texts.select(*by, F.explode(words).alias("word"))
     hashed = terms.select(*by, F.xxhash64("word").alias("h"), F.char_length("word").cast("bigint").alias("w"))
-    both = F.lit((1 << 32) + 1)
-    lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(both) * F.col("w")).alias(f"lane{i}") for i in range(LANES)]
-    sums = hashed.groupBy(*by).agg(F.sum("w").alias("all"), F.sum((F.col("w") == 0).cast("bigint")).alias("copies"), *lanes)
+    one = F.lit(1).cast("bigint")
+    votes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(one) * F.col("w")).alias(f"vote{i}") for i in range(BITS)]
+    sums = hashed.groupBy(*by).agg(F.sum("w").alias("all"), F.sum((F.col("w") == 0).cast("bigint")).alias("copies"), *votes)
 
     def bit(counter: Column, place: int) -> Column:
         one = 1 << place if place < BITS - 1 else -(1 << (BITS - 1))
-        return F.when(counter * 2 > F.col("all"), F.lit(one).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        return F.when(counter > F.col("all") - counter, F.lit(one).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
     fp = F.lit(0).cast("bigint")
-    for i in range(LANES):
-        lane = F.col(f"lane{i}")
-        fp = fp.bitwiseOR(bit(lane.bitwiseAND(F.lit((1 << 32) - 1)), i)).bitwiseOR(bit(F.shiftrightunsigned(lane, 32), i + 32))
+    for i in range(BITS):
+        fp = fp.bitwiseOR(bit(F.col(f"vote{i}"), i))
     return sums.select(*by, "copies", fp.alias(out))
 
 

@@ -128,3 +128,11 @@ def test_fingerprints_of_edited_texts(odd, none, odd_rows):
 @pytest.mark.parametrize("text,expected", [(None, 0), (b"", 0), (b" \t\n", 0)])
 def test_empty_texts_have_fingerprint_zero(text, expected):
     assert simhash_dedup.fingerprint(text) == expected
+
+
+def test_votes_of_many_copies_stay_whole(llm):
+    """A word of 2^20 characters in 2,100 copies: more than 2^31 votes for a bit."""
+    word, copies = "a" * (1 << 20), 2_100
+    rows = llm.range(copies).selectExpr("1 as key", f"repeat('a', {len(word)}) as text")
+    got = fingerprints.simhash(rows, ["key"]).collect()
+    assert [(r["copies"], r["fp"] % (1 << 64)) for r in got] == [(copies, word_print(word))]
