@@ -88,33 +88,49 @@ def _block_top(row, dims: int, k: int, nan_euclidean: bool) -> pd.DataFrame:
     q_all = np.frombuffer(row.q_xs).reshape(len(q_ids), dims)
     x = np.frombuffer(row.xs).reshape(len(ids), dims)
     x0, x_here = np.nan_to_num(x), ~np.isnan(x)
+    middle = np.array([np.median(v[h]) if h.any() else 0.0 for v, h in zip(x0.T, x_here.T)])
+    some = min(k + 16, len(ids))
     out = []
-    step = max(1, SLICE_CELLS // max(1, len(ids)))
-    for at in range(0, len(q_ids), step):
-        q = q_all[at:at + step]
-        q0, q_here = np.nan_to_num(q), ~np.isnan(q)
-        both = q_here.astype(float) @ x_here.T.astype(float)
-        rough = np.maximum((q0 ** 2) @ x_here.T + q_here @ (x0 ** 2).T - 2 * q0 @ x0.T, 0)
-        if nan_euclidean:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                rough = np.where(both > 0, rough * dims / both, np.inf)
-        else:
-            rough = np.where(both == dims, rough, np.inf)
-        # a few more than k by the fast formula, then exact sums decide
-        some = min(k + 16, len(ids))
-        near = np.lexsort((np.broadcast_to(ids, rough.shape), rough), axis=1)[:, :some]
-        gap = q0[:, None, :] - x0[near]
-        here = q_here[:, None, :] & x_here[near]
-        exact = np.where(here, gap * gap, 0.0).sum(axis=2)
+
+    def top(queries: np.ndarray, near: np.ndarray, wanted: np.ndarray) -> None:
+        """Exact sums decide among the rows ``near`` that are ``wanted``."""
+        q = q_all[queries]
+        here = ~np.isnan(q)[:, None, :] & x_here[near]
+        gap = np.where(here, np.nan_to_num(q)[:, None, :] - x0[near], 0.0)
+        exact = (gap * gap).sum(axis=2)
         if nan_euclidean:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                exact = exact * dims / here.sum(axis=2)
-        exact = np.where(np.isfinite(np.take_along_axis(rough, near, 1)), exact, np.inf)
+            exact = exact * dims / here.sum(axis=2)
+        exact = np.where(wanted, exact, np.inf)
         order = np.lexsort((ids[near], exact), axis=1)[:, :k]
         d, c = np.take_along_axis(exact, order, 1), np.take_along_axis(near, order, 1)
         keep = np.isfinite(d)
-        out.append(pd.DataFrame({"_q": np.broadcast_to(q_ids[at:at + step, None], d.shape)[keep], "_d": np.sqrt(d[keep]),
+        out.append(pd.DataFrame({"_q": np.broadcast_to(q_ids[queries][:, None], d.shape)[keep], "_d": np.sqrt(d[keep]),
                                  "_c": ids[c][keep], "_pl": ys[c][keep]}))
+
+    # the fast formula cancels far from the origin: both sides are moved to the middle of
+    # the block, and every row that its rounding error could put among the k stays
+    step = max(1, SLICE_CELLS // max(1, len(ids)))
+    with np.errstate(all="ignore"):
+        xc = np.where(x_here, x0 - middle, 0.0)
+        x_size = (xc ** 2).sum(axis=1)
+        for at in range(0, len(q_ids), step):
+            q = q_all[at:at + step]
+            q_here = ~np.isnan(q)
+            qc = np.where(q_here, np.nan_to_num(q) - middle, 0.0)
+            both = q_here.astype(float) @ x_here.T.astype(float)
+            rough = (qc ** 2) @ x_here.T + q_here @ (xc ** 2).T - 2 * qc @ xc.T
+            error = 8 * (dims + 8) * np.finfo(float).eps * ((qc ** 2).sum(axis=1)[:, None] + x_size)
+            if nan_euclidean:
+                rough, error = rough * dims / both, error * dims / both
+            known = both > 0 if nan_euclidean else both == dims
+            limit = np.partition(np.where(known, rough + error, np.inf), min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            open_ = known & ~(rough - error > limit[:, None])
+            few = open_.sum(axis=1) <= some
+            near = np.argpartition(~open_[few], some - 1, axis=1)[:, :some]
+            top(at + np.flatnonzero(few), near, np.take_along_axis(open_[few], near, 1))
+            for i in np.flatnonzero(~few):
+                near = np.flatnonzero(open_[i])[None, :]
+                top(np.array([at + i]), near, np.ones(near.shape, bool))
     return pd.concat(out)
 
 
