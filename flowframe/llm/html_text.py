@@ -3,8 +3,9 @@
 A page is read as a stream of tags.  Containers are named by their path of generalised
 tag classes (``body>div.content``; digits in classes become ``#``).  Every page scores
 its containers: text outside links, weighed by how paragraph-like it is.  The votes are
-summed per host in Spark, the path with the most votes wins the host, and every page is
-extracted again with the winning path.  Pages whose host has no winner, or that do not
+summed per host in Spark, the path with the most votes wins the host and climbs to its
+article, or to outer containers that add mostly unlinked prose (to the body only for
+prose directly in it), and every page is extracted again with that path.  Pages whose host has no winner, or that do not
 have the winning path, use their own best container.
 
 Boilerplate inside a container - menus, headers, footers, sidebars, notices, adverts,
@@ -49,6 +50,8 @@ DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer gdpr header menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted "
     "related reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Blocks of running text, for the climb.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li".split())
 #: End tags that a start tag implies.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -176,6 +179,34 @@ def best_path(scored: dict[str, float]) -> str | None:
     return min(scored, key=lambda k: (-scored[k], k)) if scored else None
 
 
+def spans(found: list[Block]) -> dict[str, tuple[int, int, int]]:
+    """Characters inside every container path: unlinked prose, all, and unlinked prose directly in it."""
+    out: dict[str, tuple[int, int, int]] = {}
+    for block in found:
+        prose = max(0, block.size - block.linked) if block.tag in PROSE else 0
+        for up in range(len(block.path), 0, -1):
+            key = ">".join(block.path[:up])
+            had = out.get(key, (0, 0, 0))
+            out[key] = (had[0] + prose, had[1] + block.size, had[2] + (prose if up == len(block.path) else 0))
+    return out
+
+
+def climb(path: str | None, inside: dict[str, tuple[int, int, int]]) -> str | None:
+    """The container of the whole article around the winner ``path``."""
+    if path is None:
+        return None
+    steps, at = path.split(">"), path
+    for up in range(len(steps) - 1, 0, -1):
+        outer, tag = ">".join(steps[:up]), steps[up - 1].split(".")[0]
+        if outer not in inside or at not in inside:
+            continue
+        extra = inside[outer][1] - inside[at][1]
+        prose = inside[outer][2] if tag in ("body", "html") else inside[outer][0] - inside[at][0]
+        if tag == "article" or (extra > 0 and prose * 2 >= extra):
+            at = outer
+    return at
+
+
 def render(found: list[Block], path: str | None) -> str | None:
     """Text of the blocks inside ``path``; null if the page has none there."""
     if path is None:
@@ -193,32 +224,49 @@ def extract(page: str, path: str | None = None) -> str:
     found = blocks(page)
     text = render(found, path)
     if text is None:
-        text = render(found, best_path(votes(found)))
+        text = render(found, climb(best_path(votes(found)), spans(found)))
     if text is None:
         text = "\n".join(t for t in (SPACE.sub(" ", "".join(b.parts)).strip() for b in found) if t)
     return text
 
 
 def host_votes(pages: DataFrame, host: str = "host", html_column: str = "html") -> DataFrame:
-    """(host, path, votes) summed over all pages."""
+    """(host, path, votes, prose, size, own) summed over all pages; the last three are :func:`spans`."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[tuple[str, str], float] = {}
+            total: dict[tuple[str, str], tuple[float, int, int, int]] = {}
             for own, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
-                    for path, worth in votes(blocks(page)).items():
-                        total[own, path] = total.get((own, path), 0.0) + worth
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()),
-                                              pa.array(list(total.values()), pa.float64())], names=["host", "path", "votes"])
+                    found = blocks(page)
+                    worth = votes(found)
+                    for path, sizes in spans(found).items():
+                        had = total.get((own, path), (0.0, 0, 0, 0))
+                        total[own, path] = (had[0] + worth.get(path, 0.0), *(a + b for a, b in zip(had[1:], sizes)))
+            sums = [pa.array([v[i] for v in total.values()], pa.float64() if i == 0 else pa.int64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), *sums],
+                                             names=["host", "path", "votes", "prose", "size", "own"])
 
-    found = pages.select(host, html_column).mapInArrow(tally, "host string, path string, votes double")
-    return found.groupBy("host", "path").agg(F.sum(F.round("votes", 3)).alias("votes"))
+    found = pages.select(host, html_column).mapInArrow(tally, "host string, path string, votes double, prose long, size long, own long")
+    return found.groupBy("host", "path").agg(F.sum(F.round("votes", 3)).alias("votes"), *[F.sum(c).alias(c) for c in ("prose", "size", "own")])
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with the most votes; ties go to the path that sorts first."""
+    """(host, path): the path with the most votes, ties to the path that sorts first, and its climb."""
+    tallies = stored(host_votes(pages))
     best = F.min(F.struct((-F.col("votes")).alias("v"), "path")).alias("best")
-    return host_votes(pages).groupBy("host").agg(best).select("host", F.col("best.path").alias("path"))
+    winners = tallies.where("votes > 0").groupBy("host").agg(best).select("host", F.col("best.path").alias("won"))
+    steps = F.split("won", ">")
+    outer = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), ">"))
+    around = winners.withColumn("path", F.explode(outer)).join(tallies, ["host", "path"])
+    each = around.groupBy("host", "won").agg(F.collect_list(F.struct("path", "prose", "size", "own")).alias("inside"))
+
+    def rise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = [climb(won, {r["path"]: (r["prose"], r["size"], r["own"]) for r in inside})
+                     for won, inside in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
+
+    return each.mapInArrow(rise, "host string, path string")
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html_column: str = "html",

@@ -69,6 +69,19 @@ def test_hosts_vote_for_a_path(llm):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_nested_and_sibling_sections_stay_whole(llm):
+    long, lead, extra = "long section text " * 40, "the lead " * 5, "other wrapper " * 20
+    want = "\n".join(x.strip() for x in ("Title", lead, long, extra))
+    inner = f"<h1>Title</h1><p>{lead}</p><div class=section><p>{long}</p></div><div class=more><p>{extra}</p></div>"
+    links = "<div class=teasers><p><a href=/1>" + "teaser " * 30 + "</a></p></div>"
+    kinds = {"article.net": f"<article>{inner}</article>{links}", "div.net": f"<div class=story>{inner}</div>{links}",
+             "deep.net": f"<main><div class=a><div class=story>{inner}</div></div>{links}</main>", "body.net": inner.replace("more", "section")}
+    rows = [(f"{host}{i}", f"https://{host}/{i}", PAGE.format(page)) for host, page in kinds.items() for i in range(3)]
+    got = html_text.extract_pages(llm.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {r[0]: want for r in rows}
+    assert all(html_text.extract(r[2]) == want for r in rows)
+
+
 def test_query_extracts_the_article_of_every_page(llm):
     import html
     import re
