@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.llm import bpe, fingerprints, html_text, mixing, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
+from flowframe.llm import bpe, fingerprints, html_text, mixing, periodic, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
 from flowframe.llm.common import fold, ship, table
 from flowframe.session import ensure_checkpoint_dir
 
@@ -122,6 +122,22 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def run_digests(docs: DataFrame) -> DataFrame:
+    """Runs of the edited texts, the longest one, and digests of the runs and of what is left."""
+    edited = docs.select("doc_id", periodic.repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(edited).withColumn("best", periodic.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+                        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 24 words and three periods in every whole text."""
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
