@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.llm import bpe, fingerprints, html_text, mixing, periodic, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
+from flowframe.llm import bpe, decontaminate, fingerprints, html_text, mixing, periodic, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
 from flowframe.llm.common import fold, ship, table
 from flowframe.session import ensure_checkpoint_dir
 
@@ -122,6 +122,23 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def contamination_digests(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows of ten words; ``n_near`` items have a window with at most one other word in it."""
+    found = decontaminate.contamination(docs, items, window=10, slop=1)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                        F.size("near_items").cast("bigint").alias("n_near"))
+
+
+@query
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_benchmark_decontamination"] = decontaminate.ORACLE
+
+
 def run_digests(docs: DataFrame) -> DataFrame:
     """Runs of the edited texts, the longest one, and digests of the runs and of what is left."""
     edited = docs.select("doc_id", periodic.repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
