@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.llm import bpe, decontaminate, fingerprints, html_text, mixing, periodic, quality, simhash_dedup, token_counts, topk, toxicity, url_filter
+from flowframe.llm import bpe, decontaminate, fingerprints, html_text, mixing, periodic, quality, simhash_dedup, spelling, token_counts, topk, toxicity, url_filter
 from flowframe.llm.common import fold, ship, table
 from flowframe.session import ensure_checkpoint_dir
 
@@ -155,6 +155,15 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of six letters and five occurrences in all whole texts."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_spelling_variants"] = spelling.ORACLE
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
