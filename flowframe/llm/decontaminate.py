@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from flowframe.llm.common import steps, stored
 from flowframe.session import checkpoint
 
-#: Words are made of these bytes of UTF-8; A-Z in lower case, all others part words.
+#: Words are made of these bytes of UTF-8; A-Z in lower case; all others separate them.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: The same as a regular expression over lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -366,19 +366,19 @@ item_words as (
   select distinct coalesce(cast(item_id as varchar), '') as item_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
 windows as (
-  select distinct item_id, least(len(w), 10) as size, array_to_string(w[at:at + 9], ' ') as words
-  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as at from item_words where len(w) > 0)),
+  select distinct item_id, least(len(w), 10) as size, array_to_string(w[p:p + 9], ' ') as words
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from item_words where len(w) > 0)),
 sizes as (select distinct size from windows),
 grams as (
-  select row, at, size, array_to_string(w[at:at + size - 1], ' ') as words
-  from (select row, w, size, unnest(range(1, len(w) - size + 2)) as at from doc_words, sizes)),
-hits as (select distinct row, at, size, item_id from grams join windows using (size, words)),
+  select row, p, size, array_to_string(w[p:p + size - 1], ' ') as words
+  from (select row, w, size, unnest(range(1, len(w) - size + 2)) as p from doc_words, sizes)),
+hits as (select distinct row, p, size, item_id from grams join windows using (size, words)),
 inside as (select row, count(distinct place) as n_hit
-  from (select row, unnest(range(at, at + size)) as place from (select distinct row, at, size from hits)) group by row),
+  from (select row, unnest(range(p, p + size)) as place from (select distinct row, p, size from hits)) group by row),
 wider as (
-  select row, size, array_to_string(list_concat(w[at:at + k - 1], w[at + k + 1:at + size]), ' ') as words
-  from (select row, w, size, at, unnest(range(1, size)) as k
-    from (select row, w, size, unnest(range(1, len(w) - size + 1)) as at from doc_words, sizes))),
+  select row, size, array_to_string(list_concat(w[p:p + k - 1], w[p + k + 1:p + size]), ' ') as words
+  from (select row, w, size, p, unnest(range(1, size)) as k
+    from (select row, w, size, unnest(range(1, len(w) - size + 1)) as p from doc_words, sizes))),
 near as (select row, count(distinct item_id) as n_near
   from (select row, item_id from hits union all select row, item_id from wider join windows using (size, words)) group by row),
 items as (select row, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
