@@ -189,14 +189,16 @@ def with_block(df: DataFrame, sk: str, bounds: Column, n_blocks: int, name: str
     ceil(log2 n)+1 projection steps (higher-order functions cannot reference the
     bounds subquery)."""
     steps = max(1, int(math.ceil(math.log2(max(n_blocks, 2)))) + 1)
-    d = df.withColumns({"_lo": F.lit(0), "_hi": F.size(bounds)})
+    # both ends are never NULL, by their types too: a filter that a later operator puts on the
+    # number then infers no IS NOT NULL, which would be pushed below and repeat every step
+    d = df.withColumns({"_lo": F.lit(0), "_hi": F.coalesce(F.size(bounds), F.lit(0))})
     for _ in range(steps):
         lo, hi = F.col("_lo"), F.col("_hi")
-        mid = F.floor((lo + hi) / 2).cast("int")
-        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) <= F.col(sk))
-        left = (lo < hi) & ~(F.try_element_at(bounds, mid + 1) <= F.col(sk))
+        mid = F.shiftright(lo + hi, 1)
+        open_ = lo < hi
+        right = open_ & F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False))
         d = d.withColumns({"_lo": F.when(right, mid + 1).otherwise(lo),
-                           "_hi": F.when(left, mid).otherwise(hi)})
+                           "_hi": F.when(open_ & ~right, mid).otherwise(hi)})
     return d.withColumnRenamed("_lo", name).drop("_hi")
 
 

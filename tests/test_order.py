@@ -1,14 +1,20 @@
 """Ordering core: positions, halo windows and prefixes against pandas, including
 a series that holds most of the rows (hot key) and an unkeyed series."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.operators import windows as W
 
 
+T0 = dt.datetime(2024, 1, 1)
+
+
 def _skewed(spark, n=3000):
     rng = np.random.default_rng(7)
     key = np.where(rng.random(n) < 0.7, 0, rng.integers(1, 20, n))   # key 0 holds ~70 %
@@ -109,3 +115,47 @@ def test_descending_text_and_large_integers(spark):
     assert [(r["s"], r["n"]) for r in got] == [("é", -2 ** 63), ("b", 5), ("b", 4), ("abc", None), ("ab", 2 ** 53), ("a", 2 ** 53 + 1), ("", 1), (None, 2 ** 53 + 2)]
     got = S.sort_values(df, ["n"], ascending=False, rank_col="r").orderBy("r").collect()
     assert [r["n"] for r in got] == [2 ** 53 + 2, 2 ** 53 + 1, 2 ** 53, 5, 4, 1, -2 ** 63, None]
+
+
+@pytest.fixture
+def many_blocks(spark):
+    """The default number of shuffle partitions as the number of blocks."""
+    held = spark.conf.get(O.BLOCKS_CONF)
+    spark.conf.set(O.BLOCKS_CONF, "200")
+    yield spark
+    spark.conf.set(O.BLOCKS_CONF, held)
+
+
+def test_plan_size_does_not_grow_with_the_blocks(many_blocks):
+    """A later branch that prunes the rolled column must not repeat the block search."""
+    spark = many_blocks
+    rows = [(i % 3, T0 + dt.timedelta(hours=7 * i), float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, x double")
+    sizes = {}
+    for blocks in (8, 200):
+        spark.conf.set(O.BLOCKS_CONF, str(blocks))
+        rolled = W.rolling_time(df, ["k"], "t", "x", 7)
+        got = W.group_demean(rolled, ["k"], "x")
+        sizes[blocks] = len(got._jdf.queryExecution().optimizedPlan().toString())
+    assert sizes[200] < 4 * sizes[8] < 1_000_000
+    exp = pd.DataFrame(rows, columns=["k", "t", "x"])
+    exp["m"] = exp["x"] - exp.groupby("k")["x"].transform("mean")
+    exp["r"] = exp.set_index("t").groupby("k")["x"].rolling("7D").mean().reset_index().sort_values(["t"]).set_index(exp.sort_values("t").index)["x"]
+    out = {(r["k"], r["t"]): (r["x_roll7d_mean"], r["x_demeaned"]) for r in got.collect()}
+    for _, r in exp.iterrows():
+        a, b = out[r["k"], r["t"].to_pydatetime()]
+        assert a == pytest.approx(r["r"]) and b == pytest.approx(r["m"])
+
+
+def test_flagship_at_the_default_number_of_blocks(many_blocks):
+    import duckdb
+
+    from flowframe.plans.q_flagship import FLAGSHIP_SQL, daily_revenue_features
+    path = "/root/testdata/sf0.001/orders.parquet"
+    got = sorted(tuple(r) for r in daily_revenue_features(many_blocks.read.parquet(path)).collect())
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from '{path}'")
+    exp = sorted(con.execute(FLAGSHIP_SQL).fetchall())
+    assert len(got) == len(exp)
+    for a, b in zip(got, exp):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=0.011)
