@@ -305,7 +305,8 @@ def matches(index: DataFrame, windows: DataFrame, slop: int = 0, block: int = BL
     for k in range(blocks):
         # whole numbers of a hash: a block exceeds its mean by little
         part = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k)
-        terms = part.select(F.explode(F.split("words", " ")).alias("word")).distinct().select(F.encode("word", "UTF-8").alias("term"))
+        # a written table, so that its real size decides whether the index moves for this join
+        terms = stored(part.select(F.explode(F.split("words", " ")).alias("word")).distinct().select(F.encode("word", "UTF-8").alias("term")))
         used = index.where("term is not null").join(terms, "term", "left_semi")
         counts = {bytes(r["term"]): r["n"] for r in used.groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
         rows = part.orderBy("number").toArrow()
