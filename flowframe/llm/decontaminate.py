@@ -45,7 +45,7 @@ SEGMENT_BYTES = 8 << 20
 #: Distinct windows that one search broadcasts (their words have at most some megabytes).
 BLOCK_WINDOWS = 1 << 17
 #: Candidate places that a search step holds at a time.
-CANDIDATES = 1 << 21
+CANDIDATES = 1 << 18
 
 
 class Terms(dict):
