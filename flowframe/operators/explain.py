@@ -1,9 +1,11 @@
 """Shapley attribution and its summaries (inventory K23, K24).
 
-Re-aim of the tree-SHAP library: exact attributions for linear models, and
-permutation-sampling Shapley values (Strumbelj & Kononenko 2014) for any fitted
-Spark ML model: every (row, sampled order, step) point on the path from the
-background (feature means) to the row is scored in one distributed transform.
+Exact attributions for linear models, for tree models of any number of features
+(:mod:`flowframe.operators.trees`), and by all subsets for any fitted Spark ML model of
+few features; permutation-sampling Shapley values (Strumbelj & Kononenko 2014) for any
+model: every (row, sampled order, step) point on the path from the background (feature
+means) to the row is scored in one distributed transform.  All return
+(ids..., feature, value, phi, base).
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.operators.models import FEATURES, assemble
+from flowframe.operators.models import assemble
+from flowframe.operators.trees import tree_shap
 
 
 def linear_shap(df: DataFrame, id_cols, features: Sequence[str], coefs: Sequence[float],
@@ -33,12 +36,8 @@ def linear_shap(df: DataFrame, id_cols, features: Sequence[str], coefs: Sequence
              .select(*ids, "e.feature", "e.value", "e.phi", "base")
 
 
-#: Up to this many features all subsets cost less than sampled orders of like accuracy.
-EXACT_FEATURES = 10
-
-
 def exact_shap(model, df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
-    """K23 (any model, few features): Shapley values over all ``2^d`` subsets: a subset
+    """K23 (any model, few features: each row is scored ``2^d`` times): Shapley values over all subsets: a subset
     takes its features from the row and the others from the background means.  One
     transform scores the subsets, one aggregate weighs them.  Output as
     :func:`sampling_shap`."""
@@ -58,13 +57,21 @@ def exact_shap(model, df: DataFrame, id_col: str, features: Sequence[str]) -> Da
     base = F.max(F.when(F.col("_mask") == 0, F.col("prediction"))).alias("base")
     wide = scored.groupBy(id_col).agg(*phi, base)
     entries = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_phi{j}").alias("phi")) for j, f in enumerate(features)])
-    return wide.select(id_col, F.explode(entries).alias("e"), "base").select(id_col, "e.feature", "e.phi", "base")
+    long = wide.select(id_col, F.explode(entries).alias("e"), "base").select(id_col, "e.feature", "e.phi", "base")
+    return _with_values(long, df, id_col, features)
+
+
+def _with_values(long: DataFrame, df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
+    """The row's own value of each attributed feature."""
+    own = df.select(id_col, *[F.col(f).cast("double").alias(f"_v{j}") for j, f in enumerate(features)])
+    value = F.coalesce(*[F.when(F.col("feature") == f, F.col(f"_v{j}")) for j, f in enumerate(features)], F.lit(None).cast("double"))
+    return long.join(own, id_col).select(id_col, "feature", value.alias("value"), "phi", "base")
 
 
 def shap_values(model, df: DataFrame, id_col: str, features: Sequence[str], n_orders: int = 16, seed: int = 42) -> DataFrame:
-    """Exact for up to ``EXACT_FEATURES`` features, sampled orders beyond."""
-    if len(features) <= EXACT_FEATURES:
-        return exact_shap(model, df, id_col, features)
+    """Exact for tree models, whatever the number of features; sampled orders for others."""
+    if "Tree" in type(model).__name__ or "Forest" in type(model).__name__ or "GBT" in type(model).__name__:
+        return tree_shap(model, df, id_col, features)
     return sampling_shap(model, df, id_col, features, n_orders, seed)
 
 
@@ -103,7 +110,7 @@ def sampling_shap(model, df: DataFrame, id_col: str, features: Sequence[str], n_
     steps = scored.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(w))
     base = steps.where(F.col("_k") == 0).agg(F.avg("prediction")).scalar()
     phi = steps.where(F.col("_k") > 0).groupBy(id_col, "_feature").agg(F.avg("_delta").alias("phi"))
-    return phi.select(id_col, F.col("_feature").alias("feature"), "phi", base.alias("base"))
+    return _with_values(phi.select(id_col, F.col("_feature").alias("feature"), "phi", base.alias("base")), df, id_col, features)
 
 
 def mean_abs_importance(shap: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, PCA, Standard
                                 UnivariateFeatureSelector, VectorAssembler, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,7 +124,8 @@ def random_forest_regressor(n_estimators: int = 100, max_depth: int | None = Non
 
 def gbt_regressor(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3,
                   seed: int = 42, label: str = "label") -> GBTRegressor:
-    """K5: gradient boosting; Spark bins features (``maxBins``) like the histogram form."""
+    """K5: gradient boosting, plain form (level by level); the histogram form is
+    :func:`flowframe.operators.boosting.fit_histogram`."""
     return GBTRegressor(labelCol=label, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth,
                         seed=seed, **TREE_TUNING)
 
@@ -160,6 +161,11 @@ def decision_tree(max_depth: int = 5, label: str = "label") -> DecisionTreeClass
     return DecisionTreeClassifier(labelCol=label, maxDepth=max_depth, seed=42)
 
 
+def decision_tree_regressor(max_depth: int = 5, label: str = "label") -> DecisionTreeRegressor:
+    """``DecisionTreeRegressor(max_depth=5)``."""
+    return DecisionTreeRegressor(labelCol=label, maxDepth=max_depth, seed=42)
+
+
 def random_forest_classifier(n_estimators: int = 100, max_depth: int | None = None, weight_col: str | None = None,
                              seed: int = 42, label: str = "label") -> RandomForestClassifier:
     """``RandomForestClassifier(class_weight=)``; balanced weights come from

@@ -16,6 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from flowframe.operators import boosting as B
 from flowframe.operators import explain as X
 from flowframe.operators import features as J
 from flowframe.operators import forecast as FC
@@ -30,6 +31,7 @@ from flowframe.sources import io
 from flowframe.sources.io import table as T
 from flowframe.session import checkpoint
 
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 FEATS = ["month", "day", "dayofweek", "lag_1", "lag_7", "lag_30"]
 
 
@@ -87,6 +89,29 @@ def k05(spark, sf):
     return _pred(m.transform(K.assemble(te, FEATS)))
 
 
+@query("k05_hist_boosting_regression")
+def k05h(spark, sf):
+    tr, te = _split(spark, sf)
+    m = B.fit_histogram(tr, FEATS, "revenue", n_iter=20, max_leaves=8)
+    return _pred(m.transform(te))
+
+
+@query("k05_hist_boosting_stump", """
+WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS a, l_discount AS b, l_extendedprice AS y FROM lineitem),
+c AS (SELECT DISTINCT 0 AS f, a AS t FROM d UNION ALL SELECT DISTINCT 1, b FROM d),
+g AS (SELECT f, t, COUNT(*) AS n, AVG(y) AS m, COUNT(*) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS nl,
+  SUM(y) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS sl, SUM(y) AS s FROM d, c GROUP BY f, t),
+b AS (SELECT f, t, m, sl / nl AS l, (s - sl) / (n - nl) AS r FROM g WHERE nl >= 20 AND n - nl >= 20
+  ORDER BY POW(sl - nl * m, 2) / nl + POW(s - sl - (n - nl) * m, 2) / (n - nl) DESC, f, t LIMIT 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  ROUND(m + 0.1 * ((CASE WHEN CASE f WHEN 0 THEN a ELSE d.b END <= t THEN l ELSE r END) - m), 4) AS predicted FROM d, b""", "T")
+def k05hs(spark, sf):
+    """One iteration of two leaves: the best of all splits, found by SQL as well."""
+    li = T(spark, sf, "lineitem")
+    m = B.fit_histogram(li, ["l_quantity", "l_discount"], "l_extendedprice", n_iter=1, max_leaves=2)
+    return m.transform(li).select(*LINE, rnd("prediction", 4).alias("predicted"))
+
+
 def _proba(df):
     return df.select(F.col("date").cast("timestamp_ntz").alias("date"), "surge",
                      vector_to_array("probability")[1].alias("prob_1"), F.col("prediction").cast("int").alias("pred"))
@@ -354,16 +379,88 @@ def k22l(spark, sf):
     return f.select("o_orderpriority", "step", F.col("ts").cast("timestamp_ntz").alias("ts"), rnd("forecast", 2).alias("forecast"))
 
 
-def _rf_shap(spark, sf):
+def _forest(spark, sf):
     tr, te = _split(spark, sf)
     m = K.random_forest_regressor(100, 10, 42, label="revenue").fit(K.assemble(tr, FEATS))
-    te = te.withColumn("row_id", F.unix_date(F.col("date").cast("date")).cast("long"))
+    return m, te.withColumn("row_id", F.unix_date(F.col("date").cast("date")).cast("long"))
+
+
+def _rf_shap(spark, sf):
+    m, te = _forest(spark, sf)
     return X.shap_values(m, te, "row_id", FEATS)
 
 
+@query("k23_shap_forest")
+def k23f(spark, sf):
+    return _rf_shap(spark, sf)
+
+
 @query("k23_shap_sampling_forest")
 def k23s(spark, sf):
-    return _rf_shap(spark, sf)
+    m, te = _forest(spark, sf)
+    return X.sampling_shap(m, te, "row_id", FEATS)
+
+
+# A regression tree of depth two over two features, by search over all splits, and the value
+# v(S) of every coalition S: at a split on a feature outside S both sides count by their rows.
+ONE_TREE_SQL = """
+WITH d AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount AS a, l_tax AS b, l_discount * l_tax AS y FROM lineitem),
+c AS (SELECT DISTINCT 0 AS f, a AS t FROM d UNION ALL SELECT DISTINCT 1, b FROM d),
+root AS MATERIALIZED (SELECT f, t, nl, n - nl AS nr FROM (
+    SELECT f, t, COUNT(*) AS n, SUM(y) AS s, COUNT(*) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS nl,
+      SUM(y) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS sl FROM d, c GROUP BY f, t)
+  WHERE nl > 0 AND nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1),
+d2 AS (SELECT d.*, CASE f WHEN 0 THEN a ELSE b END > t AS side FROM d, root),
+kids AS MATERIALIZED (SELECT side, f, t, sl / nl AS l, (s - sl) / (n - nl) AS r, s / n AS m FROM (
+    SELECT side, c.f, c.t, COUNT(*) AS n, SUM(y) AS s, COUNT(*) FILTER (CASE c.f WHEN 0 THEN a ELSE b END <= c.t) AS nl,
+      SUM(y) FILTER (CASE c.f WHEN 0 THEN a ELSE b END <= c.t) AS sl FROM d2, c GROUP BY ALL)
+  WHERE nl > 0 AND nl < n QUALIFY ROW_NUMBER() OVER (PARTITION BY side ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC) = 1),
+s AS (SELECT unnest([0, 1, 2, 3]) AS held),
+v AS (SELECT d2.l_orderkey, d2.l_linenumber, d2.l_partkey, d2.l_suppkey, d2.a, d2.b, held,
+    CASE WHEN held >> root.f & 1 = 1 THEN CASE WHEN d2.side THEN cr ELSE cl END ELSE (d2.nl * cl + d2.nr * cr) / (d2.nl + d2.nr) END AS v
+  FROM (SELECT d2.*, held, root.nl, root.nr,
+      CASE WHEN held >> kl.f & 1 = 1 THEN CASE WHEN CASE kl.f WHEN 0 THEN a ELSE b END <= kl.t THEN kl.l ELSE kl.r END ELSE kl.m END AS cl,
+      CASE WHEN held >> kr.f & 1 = 1 THEN CASE WHEN CASE kr.f WHEN 0 THEN a ELSE b END <= kr.t THEN kr.l ELSE kr.r END ELSE kr.m END AS cr
+    FROM d2, s, kids kl, kids kr, root WHERE NOT kl.side AND kr.side) d2, root),
+w AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a, b, MAX(v) FILTER (held = 0) AS v0, MAX(v) FILTER (held = 1) AS v1,
+  MAX(v) FILTER (held = 2) AS v2, MAX(v) FILTER (held = 3) AS v3 FROM v GROUP BY ALL),
+phi AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a, b, v0 AS base,
+  (v1 - v0 + v3 - v2) / 2 AS phi_a, (v2 - v0 + v3 - v1) / 2 AS phi_b FROM w)
+"""
+
+
+def _one_tree_shap(spark, sf):
+    """Attribution of one fitted tree of depth two."""
+    li = T(spark, sf, "lineitem").select(*LINE, "l_discount", "l_tax", (F.col("l_discount") * F.col("l_tax")).alias("y"))
+    feats = ["l_discount", "l_tax"]
+    m = K.decision_tree_regressor(2, label="y").fit(K.assemble(li, feats))
+    return X.shap_values(m, li, LINE, feats)
+
+
+@query("k23_shap_one_tree", ONE_TREE_SQL + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_discount' AS feature, ROUND(phi_a, 9) AS phi, ROUND(base, 9) AS base FROM phi
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_tax', ROUND(phi_b, 9), ROUND(base, 9) FROM phi""", "T")
+def k23t(spark, sf):
+    return _one_tree_shap(spark, sf).select(*LINE, "feature", rnd("phi", 9).alias("phi"), rnd("base", 9).alias("base"))
+
+
+@query("k24_shap_summary_one_tree", ONE_TREE_SQL + """
+SELECT feature, ROUND(m, 9) AS mean_abs_phi, ROW_NUMBER() OVER (ORDER BY m DESC, feature) AS rank FROM (
+  SELECT 'l_discount' AS feature, AVG(ABS(phi_a)) AS m FROM phi UNION ALL SELECT 'l_tax', AVG(ABS(phi_b)) FROM phi)""", "T")
+def k24t(spark, sf):
+    g = X.mean_abs_importance(_one_tree_shap(spark, sf))
+    return g.select("feature", rnd("mean_abs_phi", 9).alias("mean_abs_phi"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("k24_shap_dependence_one_tree", ONE_TREE_SQL + "SELECT a AS value, ROUND(phi_a, 9) AS phi FROM phi", "T")
+def k24d(spark, sf):
+    """Value and attribution of the discount, a row each."""
+    return X.dependence(_one_tree_shap(spark, sf), "l_discount").select("value", rnd("phi", 9).alias("phi"))
+
+
+@query("k24_shap_dependence")
+def k24df(spark, sf):
+    return X.dependence(_rf_shap(spark, sf), "lag_7")
 
 
 @query("k24_shap_summary")
