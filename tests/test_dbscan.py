@@ -62,3 +62,33 @@ def test_dbscan_dense_cells_missing_values_and_higher_dimensions(spark):
         assert got[900] == -1
         got = got.drop(900).sort_index().to_numpy()
         assert (got[core] == exp[core]).all() and ((got == -1) == (exp == -1)).all()
+
+
+def test_dense_neighbours_split_instead_of_pairing(spark):
+    """Half a million equal rows beside a cell of thousands of distinct ones, and a gap of about eps
+    between two dense cells: no plan node makes pairs of rows."""
+    from pyspark.sql import functions as F
+
+    from flowframe.operators import neighbors as NB
+    rng = np.random.default_rng(6)
+    # eps 1: cells of side 0.707; two dense stripes 0.9 apart, a third beyond reach
+    a = np.column_stack([rng.uniform(0.0, 0.1, 1500), rng.uniform(0, 0.7, 1500)])
+    b = np.column_stack([rng.uniform(0.95, 1.05, 1500), rng.uniform(0, 0.7, 1500)])
+    c = np.column_stack([rng.uniform(2.2, 2.3, 1500), rng.uniform(0, 0.7, 1500)])
+    X = np.vstack([a, b, c])
+    pdf = pd.DataFrame({"id": np.arange(len(X), dtype="int64"), "a": X[:, 0], "b": X[:, 1]})
+    many = spark.range(500_000).select((F.col("id") + 10_000).alias("id"), F.lit(0.05).alias("a"), F.lit(0.05).alias("b"))
+    got = dbscan(spark.createDataFrame(pdf).unionByName(many), "id", ["a", "b"], eps=1.0, min_samples=5)
+    counts = {(r["far"], r["cluster"]): r["count"] for r in got.groupBy((F.col("id").between(3000, 4499)).alias("far"), "cluster").count().collect()}
+    assert counts == {(False, 0): 503_000, (True, 1): 1500}
+    exp, core = brute_dbscan(X[::5], 1.0, 5)
+    small = dbscan(spark.createDataFrame(pdf.iloc[::5]), "id", ["a", "b"], eps=1.0, min_samples=5).toPandas().sort_values("id")["cluster"].to_numpy()
+    assert (small[core] == exp[core]).all() and ((small == -1) == (exp == -1)).all()
+    # split to the end: boxes of two points
+    held, NB.COMPARED = NB.COMPARED, 2
+    try:
+        fine = dbscan(spark.createDataFrame(pdf.iloc[::40]), "id", ["a", "b"], eps=0.92, min_samples=8).toPandas().sort_values("id")["cluster"].to_numpy()
+    finally:
+        NB.COMPARED = held
+    exp, core = brute_dbscan(X[::40], 0.92, 8)
+    assert (fine[core] == exp[core]).all() and ((fine == -1) == (exp == -1)).all()
