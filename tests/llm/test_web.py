@@ -53,6 +53,68 @@ def test_blocks_and_boilerplate():
     assert html_text.extract("<p>a</p>" * 20_000).count("\n") == 19_999
 
 
+def test_class_names_do_not_lose_the_article():
+    body = "<h1>Title</h1><p>" + "real words here " * 20 + "</p>"
+    want = "Title\n" + ("real words here " * 20).strip()
+    for name in ("content no-sidebar", "has-sidebar", "with-header", "elementor-widget", "col reply-free", "related", "site-banner promo"):
+        assert html_text.extract(PAGE.format(f"<div class='{name}'><article>{body}</article></div>")) == want
+        if name not in ("col reply-free",):
+            assert html_text.extract(PAGE.format(f"<div class='{name}'>{body}</div><div class=more><p>few</p></div>")).startswith(want)
+    assert html_text.extract(PAGE.format(f"<article><header class=entry-header><h1>Title</h1></header>{body[14:]}</article>")) == want
+    comments = "<section class=comments><article class=comment><p>" + "great post " * 90 + "</p></article></section>"
+    assert html_text.extract(PAGE.format(f"<article>{body}</article>{comments}")) == want
+    assert html_text.extract(PAGE.format(f"<article>{body}{comments}</article>")) == want
+    assert html_text.extract(PAGE.format(f"<article>{body}<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><noscript><p>still</p></noscript></article>")) == (
+        want + "\nso x=1 holds\nstill")
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    size = 1 << 20
+    pages = ["<a x" * (size // 4), "<script " * (size // 8), "<a x='" * (size // 6), "<a <a \"" * (size // 7) + ">", "<div>" * (size // 5) + "</x>" * (size // 4),
+             "<!--" * (size // 4), "</" * (size // 2), "<p \"'" * (size // 5) + ">>", "<b>" * (size // 6) + "x</i>" * (size // 10), "<" * size]
+    for page in pages:
+        began = time.process_time()
+        html_text.extract("<article><p>whole</p></article>" + page)
+        assert time.process_time() - began < 6, page[:12]
+    assert html_text.extract("<article><p>whole</p></article>" + pages[0]) == "whole"
+    assert html_text.extract("<div>" * 3000 + "<p>deep text</p>") == "deep text"
+    assert html_text.extract("<p class=\"x>never closed</p><p>more") == "never closed\nmore"
+
+
+def brute_winner(pages):
+    """The path of most votes over all pages of a host, ties to the one that sorts first, climbed."""
+    total, around = {}, {}
+    for page in pages:
+        found = html_text.blocks(page)
+        for path, v in html_text.votes(found).items():
+            total[path] = total.get(path, 0.0) + round(v, 3)
+        for path, sizes in html_text.spans(found).items():
+            around[path] = tuple(x + y for x, y in zip(around.get(path, (0, 0, 0)), sizes))
+    return html_text.climb(min(total, key=lambda k: (-total[k], k)) if total else None, around)
+
+
+def test_host_votes_against_brute_force(llm):
+    import random
+
+    rng = random.Random(8)
+    rows, by_host = [], {}
+    for host in ("a.net", "b.net", "c.net"):
+        for i in range(9):
+            parts = [f"<div class='{rng.choice(['post', 'text', 'feed'])}{rng.choice(['', ' x1', ' x2'])}'><p>{'word ' * rng.randint(1, 60)}</p>"
+                     f"<section class=s{rng.randint(1, 9)}><p>{'more ' * rng.randint(0, 60)}</p></section></div>" for _ in range(rng.randint(1, 4))]
+            page = PAGE.format("".join(parts))
+            rows.append((f"{host}{i}", f"https://{host}/{i}", page))
+            by_host.setdefault(host, []).append(page)
+    got = html_text.extract_pages(llm.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    want = {}
+    for host, pages in by_host.items():
+        path = brute_winner(pages)
+        want |= {f"{host}{i}": html_text.extract(page, path) for i, page in enumerate(pages)}
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_hosts_vote_for_a_path(llm):
     good = "<div class='post p{0}'><p>" + "real words here " * 20 + "{0}</p></div><div class=feed><p>{1}</p></div>"
     rows = [(i, f"https://h.net/{i}", PAGE.format(good.format(i, "tease " * (300 if i == 3 else 10)))) for i in range(8)]
