@@ -7,8 +7,8 @@ quality is their mean weighted by line length.
 
 Training: the labels mark documents, so every line of a document carries its label.
 The model is fitted by Adam on the exact likelihood, on a bounded sample of labelled
-documents (``SAMPLE``, of at most ``SAMPLE_LINES`` lines each).  Only features leave the
-executors.  The threshold that separates the training documents best is mapped to 0.7
+documents (``SAMPLE``); in training, a document of more than ``PIECE`` lines is a row of chains
+of that length, which share its weight.  Only features leave the executors.  The threshold that separates the training documents best is mapped to 0.7
 by a piecewise linear, increasing function.
 
 Defined results: null and empty texts score 0 (no line is good); repeated rows each get
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from flowframe.llm.common import map_text
 
-#: Labelled documents of each class to learn from, and their most lines.
+#: Labelled documents of each class to learn from, and most lines of a chain in training.
 SAMPLE = 2500
-SAMPLE_LINES = 400
+PIECE = 400
 KEEP = 0.7
 #: Classes of ASCII bytes that are counted in a line.
 CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!?", b"|", b".,;:'\"()-", b"#$%&*@^~=+<>{}[]\\/_`", b" \t\r\x0b\x0c"]
@@ -141,6 +141,12 @@ def line_marginals(good: np.ndarray, offsets: np.ndarray, moves: np.ndarray, sta
     return np.exp(ahead[:, 1] + back[:, 1] - np.repeat(z, np.diff(offsets)))
 
 
+def pieces(offsets: np.ndarray, most: int = PIECE) -> np.ndarray:
+    """``offsets`` with further cuts after every ``most`` lines of a document."""
+    cuts = [np.arange(a, b, most) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) if b - a > most]
+    return np.unique(np.concatenate([offsets, *cuts])) if cuts else offsets
+
+
 def fit(x: np.ndarray, offsets: np.ndarray, labels: np.ndarray, sizes: np.ndarray, rounds: int = 200, rate: float = 0.05,
         ridge: float = 1e-3) -> Chain:
     """Maximum likelihood with every line of a document under the document's label.
@@ -158,15 +164,18 @@ def fit(x: np.ndarray, offsets: np.ndarray, labels: np.ndarray, sizes: np.ndarra
     share = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
     weight = share / np.maximum(lens, 1)
     line_weight, line_label = np.repeat(weight, lens), np.repeat(labels, lens)
+    chains = pieces(offsets)
+    chain_lens = np.diff(chains)
+    heads = chains[:-1][chain_lens > 0]
     later = np.ones(len(full), bool)
-    later[offsets[:-1][lens > 0]] = False
+    later[heads] = False
     theta = np.zeros(len(model.weights) + 6)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         w, moves, start = theta[:-6], theta[-6:-2].reshape(2, 2), theta[-2:]
         good = full @ w
-        unary, ahead, back, z = forward_backward(good, offsets, moves, start)
-        each = np.repeat(z, lens)
+        unary, ahead, back, z = forward_backward(good, chains, moves, start)
+        each = np.repeat(z, chain_lens)
         p = np.exp(ahead[:, 1] + back[:, 1] - each)
         slope = full.T @ (line_weight * (p - line_label))
         at = np.flatnonzero(later)
@@ -175,7 +184,6 @@ def fit(x: np.ndarray, offsets: np.ndarray, labels: np.ndarray, sizes: np.ndarra
             for j in (0, 1):
                 both = np.exp(ahead[at - 1, i] + moves[i, j] + unary[at, j] + back[at, j] - each[at])
                 move_slope[i, j] = (line_weight[at] * (both - ((line_label[at] == i) & (i == j)))).sum()
-        heads = offsets[:-1][lens > 0]
         head_p, head_w, head_y = p[heads], line_weight[heads], line_label[heads]
         start_slope = np.array([(head_w * ((1 - head_p) - (head_y == 0))).sum(), (head_w * (head_p - head_y)).sum()])
         g = np.concatenate([slope, move_slope.ravel(), start_slope]) + ridge * theta
@@ -224,17 +232,23 @@ def scores(model: Chain, texts: pa.Array) -> np.ndarray:
     return np.where(raw < model.cut, raw / model.cut * KEEP, KEEP + (raw - model.cut) / (1 - model.cut) * (1 - KEEP))
 
 
-def sample(documents: DataFrame, labels: DataFrame, column: str, doc_id: str, text: str, most: int) -> DataFrame:
-    """(label, text) of at most ``most`` labelled documents of each class, chosen by a
-    hash of the id.  ``labels`` holds (doc_id, label) rows to learn from."""
+def sampled_ids(labels: DataFrame, column: str, doc_id: str, most: int) -> DataFrame:
+    """(__id, __label) of at most ``most`` labelled documents of each class, chosen by a hash of
+    the id.  ``labels`` holds (doc_id, label) rows to learn from."""
     known = labels.select(F.col(doc_id).alias("__id"), F.col(column).cast("int").alias("__label")).where(
         "__id is not null and __label in (0, 1)")
     chosen = None
     for value in (0, 1):
         part = known.where(F.col("__label") == value).orderBy(F.xxhash64(F.lit(5), "__id"), "__id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
+    return chosen
+
+
+def sample(documents: DataFrame, labels: DataFrame, column: str, doc_id: str, text: str, most: int) -> DataFrame:
+    """(label, text) of the documents of :func:`sampled_ids`."""
     # at most 2 * most rows of two numbers
-    return documents.join(F.broadcast(chosen), documents[doc_id] == F.col("__id")).select(
+    chosen = F.broadcast(sampled_ids(labels, column, doc_id, most))
+    return documents.join(chosen, documents[doc_id] == F.col("__id")).select(
         F.col("__label").alias("label"), F.col(text).cast("string").alias("text"))
 
 
@@ -242,8 +256,6 @@ def train(documents: DataFrame, labels: DataFrame, column: str = "quality", doc_
           text: str = "text", most: int = SAMPLE) -> Chain:
     """Fit the chain on ``documents`` that have a row in ``labels``."""
     rows = sample(documents, labels, column, doc_id, text, most).where(F.col("text").isNotNull())
-    lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    rows = rows.where(lines <= SAMPLE_LINES)
 
     def step(texts: pa.Array) -> list[pa.Array]:
         parts, offsets = _line_starts(texts)

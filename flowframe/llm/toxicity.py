@@ -9,23 +9,28 @@ not look like many).  A logistic layer makes the score.
 At scoring time a filter's response to a word depends on the word alone, so every
 distinct word is projected once and positions only gather and add.
 
-Thresholds are calibrated by language on labelled documents that training left aside.
-The language is read off the text (function words), never from a column, and each
-language's threshold is mapped to 0.7 by a piecewise linear, increasing function; a
-language with few examples takes the common threshold.
+Thresholds are calibrated by language on all labelled documents: those outside the training
+sample are scored by the net in Spark and counted by language, label and rounded score;
+those of the sample are scored by nets trained without them (``FOLDS`` folds of equal texts).
+The language is read off the text (function words; a text without any is a language of its
+own), never from a column.  Every language has its own threshold: its counts are smoothed
+with ``PRIOR`` documents of each class that are spread like those of all languages.  It is mapped
+to 0.7 by a piecewise linear, increasing function.
 
-Training takes a bounded sample of labelled documents (``SAMPLE`` of each class, of at
-most ``SAMPLE_CHARS`` code points each); scoring takes whole texts of any length.
+Training takes a bounded sample of labelled documents (``SAMPLE`` of each class), whole
+texts; scoring takes whole texts of any length.
 
 Defined results: null and empty texts have no word and score 0; repeated rows each get
 their score; rows without a label, or with a null one, are not learned from; without
-labels, or with only one class, every text scores 0; an empty table gives an empty
+labels, or with only one class, every text scores 0 and ``Net.trained`` is false; if a fold
+lacks a class, the sample is calibrated by the net it trained; an empty table gives an empty
 result; further columns are kept.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,10 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import map_text
-from flowframe.llm.quality import best_cut, sample
+from flowframe.llm.quality import sample, sampled_ids
 
 SAMPLE = 2500
-SAMPLE_CHARS = 20_000
 TOXIC = 0.7
 BUCKETS = 1 << 15
 DIMS = 16
@@ -49,9 +53,11 @@ PREFIXES = (3, 4, 5, 6, 7)
 STRETCH = 32
 #: Stretches whose positions are in memory together.
 BLOCK = 1024
-#: Part of the labelled documents that calibration uses, and the fewest of a class there.
-ASIDE = 4
-FEWEST = 12
+#: Folds of the sample for calibration, documents of each class that smooth a language's
+#: counts, and the steps of rounded scores.
+FOLDS = 2
+PRIOR = 20.0
+GRADES = 1000
 #: Calibration weighs clean documents kept this many times as much as toxic ones caught.
 SPARE = 3.0
 #: Words whose projections a worker remembers.
@@ -64,7 +70,8 @@ FUNCTION_WORDS = {
     "fr": "le la les et des est un une dans pour que qui sur au par du avec".split(),
     "es": "el los y del que las por con para es en se lo una como su al".split(),
 }
-LANGUAGES = list(FUNCTION_WORDS)
+#: The last one is the language of texts without function words.
+LANGUAGES = [*FUNCTION_WORDS, "none"]
 TAPS = [(w, j) for w in WIDTHS for j in range(w)]
 
 
@@ -219,14 +226,15 @@ def train_net(words: np.ndarray, offsets: np.ndarray, names: list[str], labels:
 
 def language_counts(words: np.ndarray, offsets: np.ndarray, names: list[str]) -> np.ndarray:
     """The language of each document: a number in LANGUAGES."""
-    marks = np.zeros((len(names) + 1, len(LANGUAGES)), np.int64)
+    known = len(LANGUAGES) - 1
+    marks = np.zeros((len(names) + 1, known), np.int64)
     where = {w: i for i, w in enumerate(names)}
-    for k, lang in enumerate(LANGUAGES):
+    for k, lang in enumerate(LANGUAGES[:known]):
         for w in FUNCTION_WORDS[lang]:
             if w in where:
                 marks[where[w], k] = 1
-    counts = [np.diff(np.concatenate(([0], np.cumsum(marks[words, k])))[offsets]) for k in range(len(LANGUAGES))]
-    return np.stack(counts, axis=1).argmax(axis=1)
+    counts = np.stack([np.diff(np.concatenate(([0], np.cumsum(marks[words, k])))[offsets]) for k in range(known)], axis=1)
+    return np.where(counts.any(axis=1), counts.argmax(axis=1), known)
 
 
 class Scorer:
@@ -258,32 +266,76 @@ class Scorer:
         return np.where(raw < cut, raw / cut * TOXIC, TOXIC + (raw - cut) / (1 - cut) * (1 - TOXIC))
 
 
-def fit(texts: list[str], labels: np.ndarray) -> Net:
-    """Train on most documents, calibrate on every ``ASIDE``-th."""
+def graded(scorer: Scorer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Language number and rounded uncalibrated score of each text."""
+    words, offsets, names = texts_to_words(texts)
+    return language_counts(words, offsets, names), np.rint(scorer.raw(words, offsets, names) * GRADES).astype(np.int64)
+
+
+def cut_of(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The threshold between two grades that best parts the two distributions over grades, clean
+    documents weighing ``SPARE`` times as much; of equal ones, the middle of the widest gap."""
+    both = np.flatnonzero(clean + toxic)
+    kept = SPARE * np.concatenate(([0], np.cumsum(clean[both]))) / max(clean.sum(), 1e-9)
+    caught = 1 - np.concatenate(([0], np.cumsum(toxic[both]))) / max(toxic.sum(), 1e-9)
+    edges = np.concatenate(([0], both, [GRADES]))
+    right, gap = kept + caught, edges[1:] - edges[:-1]
+    best = np.flatnonzero(right >= right.max() - 1e-9)
+    k = best[np.argmax(gap[best])]
+    return float(np.clip((edges[k] + edges[k + 1]) / 2 / GRADES, 1e-6, 1 - 1e-6))
+
+
+def calibrate(net: Net, counts: np.ndarray) -> None:
+    """Set a threshold for every language from ``counts`` (language, label, grade)."""
+    every = counts.sum(axis=0).astype(float)
+    spread = every / np.maximum(every.sum(axis=1, keepdims=True), 1)
+    for k, lang in enumerate(LANGUAGES):
+        smooth = counts[k] + PRIOR * spread
+        net.cuts[lang] = cut_of(smooth[0], smooth[1])
+
+
+def fit(texts: list[str], labels: np.ndarray, others: Callable[[Net], np.ndarray] | None = None) -> Net:
+    """Train on all texts; calibrate on their scores by nets of the other folds and on the counts
+    that ``others`` gives of further labelled documents scored by the net."""
     if len(set(labels.tolist())) < 2:
         return Net(np.zeros((1, DIMS)), np.zeros((DIMS, 1)), np.zeros(1), np.zeros(1), trained=False)
-    aside = np.array([zlib.crc32(t.encode()[:4096]) % ASIDE == 0 for t in texts])  # equal texts fall on one side
-    if len(set(labels[~aside].tolist())) < 2 or len(set(labels[aside].tolist())) < 2:
-        aside[:] = False
-    learn, check = [t for t, a in zip(texts, aside) if not a], [t for t, a in zip(texts, aside) if a]
-    net = train_net(*texts_to_words(pa.array(learn, pa.string())), labels[~aside])
-    check, known = (check, labels[aside]) if check else (learn, labels[~aside])
-    words, offsets, names = texts_to_words(pa.array(check, pa.string()))
-    raw, langs = Scorer(net).raw(words, offsets, names), language_counts(words, offsets, names)
-    common = best_cut(raw, known, SPARE)
-    for k, lang in enumerate(LANGUAGES):
-        own = langs == k
-        enough = min((known[own] == 1).sum(), (known[own] == 0).sum()) >= FEWEST
-        net.cuts[lang] = best_cut(raw[own], known[own], SPARE) if enough else common
+    net = train_net(*texts_to_words(pa.array(texts, pa.string())), labels)
+    fold = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts])  # equal texts fall in one fold
+    counts = others(net) if others else np.zeros((len(LANGUAGES), 2, GRADES + 1), np.int64)
+    whole = all(len(set(labels[fold != k].tolist())) == 2 for k in range(FOLDS))
+    for k in range(FOLDS) if whole else [None]:
+        learn, check = (fold != k, fold == k) if whole else (None, np.ones(len(texts), bool))
+        own = train_net(*texts_to_words(pa.array([t for t, x in zip(texts, learn) if x], pa.string())), labels[learn]) if whole else net
+        langs, grades = graded(Scorer(own), pa.array([t for t, x in zip(texts, check) if x], pa.string()))
+        np.add.at(counts, (langs, labels[check], grades), 1)
+    calibrate(net, counts)
     return net
 
 
 def train(documents: DataFrame, labels: DataFrame, column: str = "toxic", doc_id: str = "doc_id",
           text: str = "text", most: int = SAMPLE) -> Net:
     """Fit the classifier on ``documents`` that have a row in ``labels``."""
-    rows = sample(documents, labels, column, doc_id, text, most)
-    rows = rows.where(F.char_length("text") <= SAMPLE_CHARS).toPandas().sort_values(["text", "label"])
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(np.int64))
+    rows = sample(documents, labels, column, doc_id, text, most).toPandas()
+    rows = rows.assign(text=rows["text"].fillna("")).sort_values(["text", "label"])
+
+    def others(net: Net) -> np.ndarray:
+        """Counts of the labelled documents outside the sample."""
+        shared = documents.sparkSession.sparkContext.broadcast(net)
+        known = labels.select(F.col(doc_id).alias("__id"), F.col(column).cast("int").alias("label")).where("__id is not null and label in (0, 1)")
+        left = known.join(F.broadcast(sampled_ids(labels, column, doc_id, most)), "__id", "left_anti")  # 2 * most ids
+        texts = documents.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text")).join(left, "__id").select("text", "label")
+
+        def step(scorer: Scorer, part: pa.Array) -> list[pa.Array]:
+            langs, grades = graded(scorer, part)
+            return [pa.array(langs), pa.array(grades)]
+
+        scored = map_text(texts, "text", "lang bigint, grade bigint", step, lambda: Scorer(shared.value))
+        out = np.zeros((len(LANGUAGES), 2, GRADES + 1), np.int64)
+        for r in scored.groupBy("lang", "label", "grade").count().toLocalIterator():  # at most languages x 2 x grades rows
+            out[r["lang"], r["label"], r["grade"]] = r["count"]
+        return out
+
+    return fit(rows["text"].tolist(), rows["label"].to_numpy(np.int64), others)
 
 
 def score(documents: DataFrame, net: Net, text: str = "text", out: str = "score") -> DataFrame:

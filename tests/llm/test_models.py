@@ -82,3 +82,83 @@ def test_scores_do_not_depend_on_the_batch():
     apart = np.concatenate([toxicity.Scorer(net).scores(pa.array([t], pa.string())) for t in [*texts, "", None, "trash " * 9000]])
     assert np.allclose(together, apart, atol=1e-6)
     assert auc(together[:80], np.array([0] * 40 + [1] * 40)) > 0.95
+
+
+def plain_features(net, words):
+    """Filter by filter and place by place: convolution, largest response of a stretch, then of the text."""
+    def vector(w):
+        return net.table[toxicity.word_features(w)].sum(axis=0)
+
+    vectors = [vector(w) for w in words]
+    stretches = []
+    for a in range(0, len(words), toxicity.STRETCH):
+        best = np.zeros(len(net.bias))
+        for f in range(len(net.bias)):
+            k, own = divmod(f, toxicity.FILTERS)
+            for i in range(a, min(a + toxicity.STRETCH, len(words))):
+                r = net.bias[f]
+                for t, (width, j) in enumerate(toxicity.TAPS):
+                    if width == toxicity.WIDTHS[k] and i + j < len(words):
+                        r += vectors[i + j] @ net.taps[:, t * toxicity.FILTERS + own]
+                best[f] = max(best[f], r)
+        stretches.append(best)
+    return np.concatenate([np.max(stretches, axis=0), np.mean(stretches, axis=0)])
+
+
+def test_convolution_and_pooling_equal_a_plain_version():
+    rng = np.random.default_rng(2)
+    filters = len(toxicity.WIDTHS) * toxicity.FILTERS
+    net = toxicity.Net(rng.normal(size=(toxicity.BUCKETS, toxicity.DIMS)).astype(np.float32),
+                       rng.normal(size=(toxicity.DIMS, len(toxicity.TAPS) * toxicity.FILTERS)).astype(np.float32),
+                       rng.normal(size=filters).astype(np.float32), rng.normal(size=2 * filters).astype(np.float32), shift=0.3)
+    texts = ["one", "two words", " ".join(f"w{i % 23}" for i in range(70)), " ".join(f"x{i}" for i in range(32))]
+    words, offsets, names = toxicity.texts_to_words(pa.array(texts))
+    scorer = toxicity.Scorer(net)
+    got = toxicity.pooled(net, scorer.projected(names), words, offsets)
+    for i, text in enumerate(texts):
+        want = plain_features(net, text.split())
+        assert np.allclose(got[i], want, atol=1e-3)
+        logit = want @ net.out + 0.3
+        assert scorer.raw(words, offsets, names)[i] == pytest.approx(1 / (1 + np.exp(-np.clip(logit, -30, 30))), abs=1e-3)
+
+
+def test_every_language_gets_a_threshold_of_its_own():
+    counts = np.zeros((len(toxicity.LANGUAGES), 2, toxicity.GRADES + 1))
+    counts[0, 0, 100], counts[0, 1, 800] = 500, 50      # many documents: between 100 and 800
+    counts[1, 0, 700], counts[1, 1, 900] = 300, 40      # higher scores
+    counts[2, 1, 300] = 1                               # one toxic document
+    net = toxicity.Net(*[np.zeros(1)] * 4)
+    toxicity.calibrate(net, counts)
+    assert set(net.cuts) == set(toxicity.LANGUAGES)
+    assert 0.1 < net.cuts["en"] < 0.8 and 0.7 < net.cuts["de"] < 0.9 and all(0 < c < 1 for c in net.cuts.values())
+    # a language without documents has the common one: SPARE clean documents weigh like one toxic one
+    assert net.cuts["none"] == net.cuts["es"]
+    best = max(range(1, 1000), key=lambda c: (3 * counts[:, 0, :c].sum() / counts[:, 0].sum() + counts[:, 1, c:].sum() / counts[:, 1].sum()))
+    value = lambda c: 3 * counts[:, 0, :c].sum() / counts[:, 0].sum() + counts[:, 1, c:].sum() / counts[:, 1].sum()
+    assert value(int(np.ceil(net.cuts["none"] * toxicity.GRADES))) == pytest.approx(value(best))
+
+
+def test_texts_without_function_words_are_no_language():
+    words, offsets, names = toxicity.texts_to_words(pa.array(["zz qq", "the zz", "", "der und", None]))
+    assert [toxicity.LANGUAGES[k] for k in toxicity.language_counts(words, offsets, names)] == ["none", "en", "none", "de", "none"]
+
+
+def test_documents_outside_the_sample_calibrate_too(llm):
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(rng.choice(["the", "and", "word", "other", "more"], 30)) + (f" awful{i % 5}" if i % 4 == 0 else "")) for i in range(240)]
+    docs = llm.createDataFrame(texts, "doc_id bigint, text string")
+    labels = llm.createDataFrame([(i, int(i % 4 == 0)) for i, _ in texts], "doc_id bigint, toxic int")
+    net = toxicity.train(docs, labels, most=40)
+    got = toxicity.score(docs, net).toPandas()
+    assert auc(got["score"].to_numpy(), (got["doc_id"] % 4 == 0).astype(int).to_numpy()) > 0.95
+
+
+def test_long_documents_are_chains_that_share_a_weight():
+    assert quality.pieces(np.array([0, 3, 3, 1000, 1400])).tolist() == [0, 3, 403, 803, 1000, 1400]
+    rng = np.random.default_rng(4)
+    lens, labels = np.array([900, 5, 7, 3, 450, 6]), np.array([1, 0, 1, 0, 0, 1])
+    offsets = np.concatenate(([0], np.cumsum(lens)))
+    x = (rng.normal(size=(offsets[-1], quality.FEATURES)) + np.repeat(labels, lens)[:, None]).astype(np.float32)
+    model = quality.fit(x, offsets, labels, np.ones(offsets[-1], np.int64))
+    raw = quality.raw_scores(model, x, offsets, np.ones(offsets[-1], np.int64))
+    assert raw[labels == 1].min() > model.cut > raw[labels == 0].max()

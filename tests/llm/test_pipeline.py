@@ -95,3 +95,25 @@ def test_pipeline_stages_on_odd_rows(llm, odd, none):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(llm, odd, SF_SMALL).columns[:len(odd.columns)] == odd.columns
         assert stage(llm, none, SF_SMALL).count() == 0
+
+
+def test_toxicity_learns_from_documents_that_quality_rejected(llm, tmp_path):
+    """Quality removes every labelled toxic text; toxic ones without a label are still found."""
+    import pytest
+
+    import corpus_pipeline
+
+    clean = [(i, f"the plain words of text {i} and more of them for number {i % 7}") for i in range(60)]
+    toxic = [(100 + i, f"the plain words of awful{i % 3} text {i} and more") for i in range(60)]
+    docs = llm.createDataFrame(clean + toxic, "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, 1, 0) for i, _ in clean] + [(100 + i, 0, 1) for i in range(50)]
+    llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = docs.where("doc_id < 100 or doc_id >= 150")  # as if quality had rejected what is labelled toxic
+    ids = {r["doc_id"] for r in corpus_pipeline.toxicity_filter(llm, kept, str(tmp_path)).collect()}
+    assert not any(i >= 150 for i in ids) and len(ids) > 50
+    llm.createDataFrame(labels[:60], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "one" / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "one" / "documents.parquet"))
+    with pytest.raises(ValueError):
+        corpus_pipeline.toxicity_filter(llm, kept, str(tmp_path / "one"))
+    assert corpus_pipeline.toxicity_filter(llm, kept.where("false"), str(tmp_path / "one")).count() == 0
