@@ -26,10 +26,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    It learns from all labelled documents, those that an earlier stage rejected included;
+    documents to judge without labels of both classes are an error.
+    """
     labels = catalog.learnable(table(spark, sf_dir, "labels"), catalog.TOXIC_FOLD)
     out = free_name(docs, "toxic_score")
-    scored = toxicity.score(docs, toxicity.train(docs, labels), out=out)
+    net = toxicity.train(table(spark, sf_dir, "documents"), labels)
+    if not net.trained and not docs.isEmpty():
+        raise ValueError("the toxicity stage needs labelled documents of both classes")
+    scored = toxicity.score(docs, net, out=out)
     return scored.where(F.col(out) < THRESHOLD).drop(out)
 
 
