@@ -13,18 +13,23 @@ as path, so it may be a url that was not crawled; such nodes are judged by rules
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no
 rule, links to nothing and is allowed; null or empty html has no links; repeated rows
-each get their verdict; a link without a target, or to another scheme (``mailto:``), is
-ignored; of a host and path with two rules, allow wins; an empty table gives an empty
+each get their verdict; links are relative to the page's ``base`` element, if any, with dot
+segments removed; a link without a target, or to another scheme (``mailto:``), is ignored; of a host and path with two rules, allow wins; an empty table gives an empty
 result; further columns are not looked at.
 """
 
 from __future__ import annotations
 
+import html as html_module
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from flowframe.llm.common import stored
-from flowframe.operators.components import connected_components
+from flowframe.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Spread of a rule's host over join keys: one host may hold a third of all urls.
@@ -85,9 +90,16 @@ def judge(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return fits.groupBy("host", "path").agg(F.max(rank).alias("best")).select("host", "path", "best.rule", "best.verdict")
 
 
+@F.pandas_udf(StringType())
+def unescaped(text: pd.Series) -> pd.Series:
+    """Texts with their character references decoded."""
+    return text.map(lambda t: html_module.unescape(t) if t and "&" in t else t).astype(object)
+
+
 def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute as written, without quotes."""
     value = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
-    return F.trim(F.replace(F.regexp_replace(value, r"^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
+    return F.trim(F.regexp_replace(value, r"^[\"']|[\"']$", ""))
 
 
 def _computed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -97,21 +109,20 @@ def _computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", row).select(*df.columns, "computed.*")
 
 
-def resolve(links: DataFrame) -> DataFrame:
-    """``links`` (url, href) with ``target``: the href as an absolute url, null if it
-    names no http url.  Dot segments stay as written, but for a leading ``./``."""
-    url, href = F.col("url"), F.col("href")
-    parts = _computed(links, scheme=F.regexp_extract(url, r"^([^:/?#]*)://", 1), host=host_of(url), path=path_of(url))
-    site = F.concat("scheme", F.lit("://"), "host")
-    folder = F.regexp_extract("path", r"^(.*/)", 1)
-    target = (F.when(href.rlike(r"(?i)^https?://"), href)
-              .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
-              .when(href.startswith("//"), F.concat("scheme", F.lit(":"), "href"))
-              .when(href.startswith("/"), F.concat(site, "href"))
-              .when(href.startswith("?"), F.concat(site, "path", "href"))
-              .when((href == "") | href.startswith("#"), url)
-              .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), F.regexp_replace("href", r"^(\./)+", ""))))
-    return _computed(parts, target=target)
+@F.pandas_udf(StringType())
+def resolve(url: pd.Series, base: pd.Series, href: pd.Series) -> pd.Series:
+    """Each href as an absolute http url, null if it names none: relative to the page's ``base``
+    element, if any, itself relative to the page's url; dot segments are removed (RFC 3986)."""
+    def one(page: str | None, around: str | None, link: str | None) -> str | None:
+        if not page or link is None or "://" not in page:
+            return None
+        try:
+            found = urljoin(urljoin(page, around) if around else page, link)
+        except ValueError:  # brackets that hold no address
+            return None
+        return found if found[:7].lower() == "http://" or found[:8].lower() == "https://" else None
+
+    return pd.Series([one(*x) for x in zip(url, base, href)], dtype=object)
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -119,14 +130,15 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     page = pages.select(F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
     tags = F.regexp_extract_all("html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0)
     tag = F.col("tag")
-    found = page.where(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", F.explode(tags).alias("tag"))
+    base = _attribute(F.regexp_extract("html", r"(?is)<base\b[^>]*\shref\b[^>]*>", 0), "href")
+    found = page.where(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", base.alias("base"), F.explode(tags).alias("tag"))
     found = _computed(found, is_link=tag.rlike(r"(?is)^<link\b"), rel=F.lower(_attribute(tag, "rel")), to=_attribute(tag, "href"),
                       equiv=F.lower(_attribute(tag, "http-equiv")), content=_attribute(tag, "content"))
     canonical = F.when(F.col("is_link") & F.array_contains(F.split("rel", r"\s+"), "canonical"), F.col("to"))
-    later = F.regexp_extract("content", r"(?is)^\s*[0-9.]*\s*[;,]\s*(?:url\s*=\s*)?[\"']?([^\"']*)", 1)
+    later = F.regexp_extract(unescaped("content"), r"(?is)^\s*[0-9.]*\s*[;,]\s*(?:url\s*=\s*)?[\"']?([^\"']*)", 1)
     redirect = F.when(~F.col("is_link") & (F.col("equiv") == "refresh"), F.trim(later))
-    found = _computed(found, href=F.nullif(F.coalesce(canonical, redirect), F.lit(""))).where("href is not null")
-    target = resolve(found.select("url", "href"))
+    found = found.select("url", "base", F.nullif(F.coalesce(unescaped(canonical), redirect), F.lit("")).alias("href")).where("href is not null")
+    target = found.select("url", resolve("url", unescaped("base"), "href").alias("target"))
     edges = _computed(target, a=node_of(F.col("url")), b=node_of(F.col("target"))).select("a", "b")
     return edges.where("a is not null and b is not null and a <> b").distinct()
 

@@ -40,6 +40,59 @@ def test_urls_rules_and_aliases(llm):
     assert {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages, rules, more_edges=more).collect()}[8] == "block"
 
 
+def test_relative_links_against_brute_force(llm):
+    import random
+    from urllib.parse import urljoin
+
+    rng = random.Random(6)
+    hosts = ["a.com", "b.net", "c.org"]
+    paths = ["/de/1", "/de/x/2", "/fr/1", "/a/b/c", "/a/", "/", "/n/1", "/n/2", "/n/m/3", "/n/m/4"]
+    relative = ["../de/1", "../../de/x/2", "./1", "2", "../n/2", "/de/1", "//b.net/n/1", "?q=1", "x/../../n/1", "../../../../de/1", "&#46;&#46;/de/1", "/n/1&amp;2"]
+    base_of = ["", "", "", "<base href='/n/m/'>", "<base href='http://a.com/de/'>", "<base target=x>"]
+    for _ in range(3):
+        rows = []
+        for i in range(40):
+            url = "https://" + rng.choice(hosts) + rng.choice(paths)
+            link = rng.choice(relative)
+            tag = rng.choice([f"<link rel=canonical href='{link}'>", f'<meta http-equiv=refresh content="0;url={link}">', ""])
+            rows.append((i, url, rng.choice(base_of) + tag, link if tag else None))
+        import html as h
+        import re
+
+        node = lambda u: u.split("://", 1)[1].split("#")[0]
+        judged = {}
+        links, nodes = [], set()
+        for i, url, page, link in rows:
+            nodes.add(node(url))
+            if link is not None:
+                base = re.search(r"<base href='([^']*)'>", page)
+                target = urljoin(urljoin(url, base[1]) if base else url, h.unescape(link))
+                links.append((node(url), node(target)))
+                nodes.add(node(target))
+        from tests.llm.test_dedup import groups
+
+        group = groups(links, nodes)
+
+        def rule(n):
+            host, path = n.split("/", 1)
+            path = "/" + path.split("?")[0]
+            fits = [(r, v) for r, v in url_filter.RULES if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0]))
+                    and path.startswith("/" + r.split("/", 1)[1])]
+            return max(fits, key=lambda x: len(x[0]))[1] if fits else None
+
+        for n in nodes:
+            v = rule(n)
+            if v:
+                judged.setdefault(group[n], set()).add(v)
+        want = {}
+        for i, url, *_ in rows:
+            passed = judged.get(group[node(url)], set())
+            want[i] = rule(node(url)) or ("allow" if "allow" in passed or not passed else "block")
+        pages = llm.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+        got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages, url_filter.rules_table(llm, url_filter.RULES)).collect()}
+        assert got == want and "block" in want.values()
+
+
 def test_blocks_and_boilerplate():
     article = ("<article><h1>Title &amp; more</h1><p><b>First\n  par<i>a</i>graph.<br>same block<p>Second &lt;one&gt;<div class='share-bar'>tweet</div>"
                "<script>var t='</p>'</script><!-- gone --><ul><li>point one<li>point <a href=#>two</a></ul><form>mail<input></form>"
