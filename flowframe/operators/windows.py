@@ -196,9 +196,52 @@ def expanding(df: DataFrame, keys, order, col: str, stats: Sequence[str] = ("max
 
 # ---------------------------------------------------------------- G10 EWM
 
-def ewm_horizon(alpha: float, eps: float = 1e-17) -> int:
-    """Rows after which a weight ``(1-alpha)^k`` falls below ``eps``."""
-    return int(math.ceil(math.log(eps) / math.log(1.0 - alpha)))
+#: Segments whose states one fold combines.
+FOLD = 128
+
+
+def _compose(first: Column, then: Column) -> Column:
+    """The state after ``first`` and ``then``: (decay, weight, mean), decay and weight as logarithms,
+    so that nothing underflows however long ago the values were; a state without values has none."""
+    kept = first["weight"] + then["decay"]
+    top = F.greatest(kept, then["weight"])
+    a, b = F.exp(kept - top), F.exp(then["weight"] - top)
+    both = F.struct((first["decay"] + then["decay"]).alias("decay"), (top + F.log(a + b)).alias("weight"),
+                    ((a * first["mean"] + b * then["mean"]) / (a + b)).alias("mean"))
+    only = lambda weight, mean: F.struct((first["decay"] + then["decay"]).alias("decay"), weight.alias("weight"), mean.alias("mean"))
+    return (F.when(then["mean"].isNull(), only(kept, first["mean"]))
+            .when(first["mean"].isNull(), only(then["weight"], then["mean"])).otherwise(both))
+
+
+def _no_state() -> Column:
+    none = F.lit(None).cast("double")
+    return F.struct(F.lit(0.0).alias("decay"), none.alias("weight"), none.alias("mean"))
+
+
+def _states_before(states: DataFrame, series: list[str]) -> DataFrame:
+    """(series, seg, before) for ``states`` (series, seg, state): the state of all earlier segments.
+
+    An exclusive scan by levels: ``FOLD`` neighbouring segments fold into one state, those fold
+    again until one fold holds a series, and the states come back down; no task holds
+    more than ``FOLD`` states of a group.
+    """
+    groups = (states.withColumn("group", F.floor(F.col("seg") / F.lit(FOLD)))
+              .groupBy(*series, "group").agg(F.array_sort(F.collect_list(F.struct("seg", "state"))).alias("list")))
+    last = states.agg(F.max("seg")).first()[0]
+    if last is None or last < FOLD:
+        groups = groups.withColumn("start", _no_state())
+    else:
+        groups = O.materialize(groups)
+        folded = groups.select(*series, F.col("group").alias("seg"),
+                               F.reduce("list", _no_state(), lambda acc, x: _compose(acc, x["state"])).alias("state"))
+        above = _states_before(folded, series).select(*series, F.col("seg").alias("group"), F.col("before").alias("start"))
+        groups = groups.join(above, [*series, "group"])
+    # one running state and the list of those before each segment
+    begin = F.struct(F.col("start").alias("now"), F.filter(F.array(F.struct(F.lit(0).cast("bigint").alias("seg"), F.col("start").alias("before"))),
+                                                         lambda x: F.lit(False)).alias("out"))
+    step = lambda acc, x: F.struct(_compose(acc["now"], x["state"]).alias("now"),
+                                   F.array_append(acc["out"], F.struct(x["seg"].alias("seg"), acc["now"].alias("before"))).alias("out"))
+    return groups.select(*series, F.explode(F.reduce("list", begin, step)["out"]).alias("e")).select(*series, "e.seg", "e.before")
 
 
 def ewm_mean(df: DataFrame, keys, order, col: str, span: float | None = None,
@@ -206,37 +249,44 @@ def ewm_mean(df: DataFrame, keys, order, col: str, span: float | None = None,
              pos: str | None = None) -> DataFrame:
     """``ewm(span).mean()`` with ``adjust=True, ignore_na=False``.
 
-    ``y_t = sum_j r^(t-j) x_j / sum_j r^(t-j)`` over non-NULL ``x_j``, ``r = 1-alpha``,
-    row positions ``j <= t``.  Weights older than ``K = ewm_horizon(alpha)`` rows
-    fall below 1e-17, so each segment only needs a halo of K earlier rows.  Inside
-    a segment (halo included, first position e0) both sums are running sums of
-    ``r^-(j-e0) x_j`` and ``r^-(j-e0)``: the common factor ``r^(t-e0)`` cancels in
-    the ratio, so the work is O(1) per row and stays in generated code.  The
-    segment length keeps ``r^-(j-e0)`` below 1e150.  At a NULL ``x_t`` the value
-    equals the value at the last non-NULL position; a gap longer than the
-    segment context is closed by carrying that value forward.
+    ``y_t = sum_j r^(t-j) x_j / sum_j r^(t-j)`` over all non-NULL ``x_j``, ``r = 1-alpha``,
+    row positions ``j <= t``: no horizon.  Inside a segment (first position e0) both sums are
+    running sums of ``r^-(j-e0) x_j`` and ``r^-(j-e0)``; the segment length keeps the
+    weights below 1e150.  What came before a segment is one state (how much later rows decay it,
+    its weight, its mean); states compose, so an exclusive scan over the small table of
+    segments gives every segment its start.  At a NULL ``x_t`` the value is that of the
+    last non-NULL position.
     """
     if alpha is None:
         alpha = 2.0 / (float(span) + 1.0)
     name = name or f"{col}_ewm"
     r = 1.0 - alpha
+    keys = as_list(keys)
     d, p, drop = _with_pos(df, keys, order, pos)
     if r <= 0.0:
         out = d.withColumn("_ewm_raw", F.col(col).cast("double"))
-    else:
-        K = ewm_horizon(alpha)
-        reach = int(150 / math.log10(1.0 / r)) if r < 1.0 else 1 << 30
-        seg = max(min(O.segment_rows(d), reach - K), 4 * K + 1)
-        h = O.with_halo(d, p, K, 0, seg_rows=seg)
-        w = O.segment_window(keys, p)
-        e0 = F.min(p).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        h = h.withColumn("_wt", F.pow(F.lit(1.0 / r), F.col(p) - e0))
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        x = F.col(col).cast("double")
-        num = F.sum(F.when(x.isNotNull(), x * F.col("_wt"))).over(run)
-        den = F.sum(F.when(x.isNotNull(), F.col("_wt"))).over(run)
-        out = O.drop_halo(h.withColumn("_ewm_raw", F.when(x.isNotNull(), num / den))).drop("_wt")
-    out = O.forward_prefix(out, keys, p, [(name, "last", "_ewm_raw")]).drop("_ewm_raw")
+        out = O.forward_prefix(out, keys, p, [(name, "last", "_ewm_raw")]).drop("_ewm_raw")
+        return out.drop(p) if drop else out
+    reach = int(150 / -math.log10(r)) if r < 1.0 else 1 << 30
+    rows = max(1, min(O.segment_rows(d), reach))
+    log_r = math.log(r)
+    d, series = O.with_series(d.withColumn("_seg", F.floor(F.col(p) / F.lit(rows)).cast("long")), keys)
+    first = F.col("_seg") * F.lit(rows)
+    w = Window.partitionBy(*series, "_seg").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
+    x = F.col(col).cast("double")
+    d = d.withColumn("_wt", F.when(x.isNotNull(), F.pow(F.lit(1.0 / r), F.col(p) - first)))
+    d = d.withColumns({"_num": F.sum(x * F.col("_wt")).over(w), "_den": F.sum("_wt").over(w)})
+    # a segment's state is read off its last row; both sides of the join share the windowed plan
+    end = d.groupBy(*series, "_seg").agg(F.max_by(F.struct(F.col(p).alias("p"), "_num", "_den"), p).alias("e"))
+    length = F.lit(log_r) * (F.col("e.p") + 1 - first)
+    state = F.struct(length.alias("decay"), (F.log("e._den") + length).alias("weight"), (F.col("e._num") / F.col("e._den")).alias("mean"))
+    before = _states_before(O.materialize(end.select(*series, F.col("_seg").alias("seg"), state.alias("state"))), series)
+    joined = d.join(before.select(*series, F.col("seg").alias("_seg"), F.col("before").alias("_before")), [*series, "_seg"])
+    # the earlier rows' weight on the scale of the segment's own sums
+    earlier = F.exp("_before.weight")
+    value = (F.when(F.col("_den").isNull(), F.col("_before.mean")).when(F.col("_before.mean").isNull(), F.col("_num") / F.col("_den"))
+             .otherwise((earlier * F.col("_before.mean") + F.col("_num")) / (earlier + F.col("_den"))))
+    out = joined.withColumn(name, value).drop("_seg", "_wt", "_num", "_den", "_before", O.SERIES)
     return out.drop(p) if drop else out
 
 

@@ -159,3 +159,23 @@ def test_flagship_at_the_default_number_of_blocks(many_blocks):
     assert len(got) == len(exp)
     for a, b in zip(got, exp):
         assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=0.011)
+
+
+@pytest.mark.parametrize("alpha", [1e-6, 0.02, 0.999999, 1.0])
+def test_ewm_has_no_horizon(spark, alpha, monkeypatch):
+    """Many segments of 16 rows and several levels of folds, long gaps included."""
+    monkeypatch.setattr(W, "FOLD", 3)
+    n = 700
+    x = np.random.default_rng(5).normal(size=n) + 100
+    x[[*range(0, 20), *range(60, 62), *range(200, 560)]] = np.nan
+    key = np.where(np.arange(n) % 5 == 0, 1, 0)
+    pdf = pd.DataFrame({"k": key, "t": np.arange(n), "x": x, "seg": 1})
+    df = spark.createDataFrame(pdf).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    for keys in ([], ["k"]):
+        out = W.ewm_mean(df, keys, ["t"], "x", alpha=alpha, name="e")
+        assert out.columns == ["k", "t", "x", "seg", "e"]
+        got = out.toPandas().sort_values("t")["e"].to_numpy(float)
+        groups = pdf.groupby("k")["x"] if keys else pdf.assign(k=0).groupby("k")["x"]
+        exp = groups.transform(lambda v: v.ewm(alpha=alpha).mean()).to_numpy()
+        assert (np.isnan(got) == np.isnan(exp)).all()
+        assert got[~np.isnan(exp)] == pytest.approx(exp[~np.isnan(exp)], rel=1e-12)
