@@ -120,12 +120,20 @@ def extract_named(c: Column, pattern: str) -> list[Column]:
 
 
 def extract_all(c: Column, pattern: str) -> Column:
-    """I8: ``str.extractall``: array of structs (match, groups...) for ``inline``/
-    ``posexplode``; group names from ``(?P<name>...)``."""
-    names = re.findall(r"\(\?P<(\w+)>", pattern)
-    p = java_regex(pattern)
-    arrays = [F.regexp_extract_all(c, F.lit(p), F.lit(i + 1)) for i in range(len(names))]
-    return F.arrays_zip(*[a.alias(n) for a, n in zip(arrays, names)])
+    """I8: ``str.extractall``: array of one struct per match for ``inline``/``posexplode``.
+
+    Fields are the pattern's groups: their names, ``_0``, ``_1``, ... for groups without one.  A
+    group that takes no part in a match or matches the empty text is NULL there, as in
+    pandas; a pattern without groups is an error.
+    """
+    compiled = re.compile(pattern)
+    if not compiled.groups:
+        raise ValueError("the pattern has no groups")
+    by_number = {n: name for name, n in compiled.groupindex.items()}
+    p = F.lit(java_regex(pattern))
+    arrays = [F.transform(F.regexp_extract_all(c, p, F.lit(i)), lambda v: F.nullif(v, F.lit(""))).alias(by_number.get(i, f"_{i - 1}"))
+              for i in range(1, compiled.groups + 1)]
+    return F.arrays_zip(*arrays)
 
 
 def replace_regex(c: Column, pattern: str, repl: str) -> Column:

@@ -7,10 +7,14 @@ NULL are dropped first, as pandas ``groupby(dropna=True)`` does (S2).
 
 from __future__ import annotations
 
+import functools
+import pickle
 from typing import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from flowframe.operators.order import as_list, join_on_keys
 
@@ -113,10 +117,56 @@ def group_apply(df: DataFrame, keys, fn, schema: str) -> DataFrame:
     with a lambda) through ``applyInPandas``, for functions that have no native form.
 
     ``applyInPandas`` hands each whole group to one task; window and aggregate forms
-    (G1, G2, F4) have no such limit."""
+    (G1, G2, F4) and functions in parts (:func:`group_fold`) have no such limit."""
     return df.groupBy(*as_list(keys)).applyInPandas(fn, schema)
 
 
+#: Groups whose states a task holds before it hands them on.
+HELD_GROUPS = 1 << 16
+
+
+def group_fold(df: DataFrame, keys, init: Callable, update: Callable, merge: Callable, finish: Callable, schema: str,
+               join: bool = True) -> DataFrame:
+    """An opaque group function in parts, so that a hot group is the work of many tasks.
+
+    ``init()`` makes a state, ``update(state, rows)`` adds a pandas frame of a group's rows (a part of
+    an Arrow batch), ``merge(a, b)`` joins two states and ``finish(state)`` gives the group's
+    values, a dict with the columns of ``schema``.  States (pickled) are folded within a task,
+    merged by key - one state a task, whatever the rows - and the values are joined back
+    to the rows (``join``; else one row per group).  Groups of a NULL key are groups of their own.
+    """
+    keys = as_list(keys)
+    fields = df.select(*keys).schema
+    state_schema = StructType([*fields.fields, StructField("_state", BinaryType())])
+    out_schema = StructType([*fields.fields, *StructType.fromDDL(schema).fields])
+    values = [f.name for f in StructType.fromDDL(schema).fields]
+
+    def rows_of(states: dict) -> pd.DataFrame:
+        frame = pd.DataFrame(list(states), columns=keys, dtype=object)
+        return frame.assign(_state=[pickle.dumps(s) for s in states.values()])
+
+    def partial(batches):
+        states: dict = {}
+        for pdf in batches:
+            for _, part in pdf.groupby(keys, dropna=False, sort=False):
+                key = tuple(None if pd.isna(v) else v for v in part[keys].iloc[0])
+                states[key] = update(states[key] if key in states else init(), part)
+            if len(states) > HELD_GROUPS:
+                yield rows_of(states)
+                states = {}
+        if states:
+            yield rows_of(states)
+
+    def final(pdf: pd.DataFrame) -> pd.DataFrame:
+        state = functools.reduce(merge, map(pickle.loads, pdf["_state"]))
+        found = finish(state)
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, **{v: [found[v]] for v in values}})
+
+    states = df.mapInPandas(partial, state_schema)
+    groups = states.groupBy(*keys).applyInPandas(final, out_schema)
+    return join_on_keys(df, groups, keys, "left") if join else groups
+
+
 def row_apply(fn, return_type: str) -> Callable:
     """An opaque row function as a vectorised pandas UDF (Arrow batches);
     prefer Column expressions (C14)."""

@@ -7,11 +7,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.operators.order import as_list, join_on_keys
+from flowframe.session import checkpoint
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str, keys=None) -> DataFrame:
@@ -106,8 +109,7 @@ def silhouette_sq(df: DataFrame, id_col: str, vec: str, cluster: str) -> DataFra
     ``sum_j |x - y_j|^2 = n_c |x|^2 - 2 x.S_c + Q_c`` with per-cluster count, vector
     sum and sum of squared norms, so each row meets the k cluster summaries
     instead of every other row: O(n k d) work, no pair of rows is ever formed.
-    Exact Euclidean silhouette needs all pairs and is deliberately not offered
-    at scale.  ``a`` excludes the row itself (divide by n_c - 1); a row of a
+    The Euclidean form (:func:`silhouette`) has no such shortcut.  ``a`` excludes the row itself (divide by n_c - 1); a row of a
     singleton cluster scores 0.
     """
     x = F.col(vec).cast("array<double>")
@@ -133,3 +135,65 @@ def silhouette_sq(df: DataFrame, id_col: str, vec: str, cluster: str) -> DataFra
     sil = F.when(F.col("_single"), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest(F.col("a"), F.col("b"))), F.lit(0.0)))
     return r.agg(F.avg(sil).alias("silhouette"))
+
+
+#: Rows in one block of the Euclidean silhouette, and cells of a slice of distances.
+TILE_ROWS = 4096
+SLICE_CELLS = 1 << 21
+
+
+def silhouette(df: DataFrame, id_col: str, vec: str, cluster: str, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """M7: ``silhouette_score(X, labels)``, Euclidean and exact.
+
+    Every distance is needed, so the cost grows with the square of the rows: tiles of
+    ``tile_rows`` rows meet in pairs, and a pair of tiles gives, for each row of the first, its
+    sum of distances to the rows of each cluster in the second - one array a row, never a
+    row per pair - which are summed per row.  ``a`` excludes the row itself; a row of a
+    singleton cluster scores 0, as does one with a = b = 0; rows whose vector or cluster is NULL take no part;
+    of vectors of different lengths only those of the greatest do.  Use
+    :func:`silhouette_sq` where the square is too much.
+    """
+    x = F.col(vec).cast("array<double>")
+    rows = df.select(F.col(id_col).alias("_id"), F.col(cluster).alias("_c"), x.alias("_x")).where("_c is not null and _x is not null")
+    dims, n = rows.agg(F.max(F.size("_x")), F.count(F.lit(1))).first()
+    rows = rows.where(F.size("_x") == (dims or 0))
+    # clusters are numbered; k of them
+    sizes = checkpoint(rows.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")))
+    numbered = checkpoint(sizes.withColumn("_k", F.row_number().over(Window.orderBy("_c")) - 1))
+    k = numbered.count()
+    tiles = max(1, -(-n // tile_rows))
+    placed = join_on_keys(rows, numbered, ["_c"]).withColumn("_row", F.monotonically_increasing_id())
+    placed = checkpoint(placed.withColumn("_tile", F.pmod(F.xxhash64("_row"), F.lit(tiles)).cast("long")))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = np.array(pdf["_x"].tolist(), dtype="float64").reshape(len(pdf), -1)
+        return pd.DataFrame({"tile": [int(pdf["_tile"].iloc[0])], "rows": [pdf["_row"].tolist()], "ks": [pdf["_k"].tolist()], "xs": [v.tobytes()]})
+
+    packed = checkpoint(placed.select("_tile", "_row", "_k", "_x").groupBy("_tile").applyInPandas(
+        pack, "tile long, rows array<long>, ks array<int>, xs binary"))
+    left = packed.select(F.col("rows").alias("l_rows"), F.col("xs").alias("l_xs"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("tile"))
+    pairs = left.join(packed, "tile").select("l_rows", "l_xs", "ks", "xs")
+
+    def sums(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                a, b = (np.frombuffer(v).reshape(-1, dims) for v in (r.l_xs, r.xs))
+                hot = np.zeros((len(b), k))
+                hot[np.arange(len(b)), np.asarray(r.ks)] = 1.0
+                step = max(1, SLICE_CELLS // max(1, len(b) * dims))
+                total = np.empty((len(a), k))
+                for at in range(0, len(a), step):
+                    gap = a[at:at + step, None, :] - b
+                    total[at:at + step] = np.sqrt((gap * gap).sum(axis=2)) @ hot
+                yield pd.DataFrame({"_row": r.l_rows, "_sums": total.tolist()})
+
+    part = pairs.mapInPandas(sums, "_row long, _sums array<double>")
+    total = part.select("_row", F.posexplode("_sums").alias("_k2", "_s")).groupBy("_row", "_k2").agg(F.sum("_s").alias("_s"))
+    other = numbered.select(F.col("_k").alias("_k2"), F.col("_n").alias("_n2"))
+    each = total.join(placed.select("_row", "_k", "_n"), "_row").join(other, "_k2")
+    own = F.col("_k") == F.col("_k2")
+    r = each.groupBy("_row").agg(F.max(F.when(own & (F.col("_n") > 1), F.try_divide(F.col("_s"), F.col("_n") - 1))).alias("a"),
+                                 F.min(F.when(~own, F.col("_s") / F.col("_n2"))).alias("b"))
+    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    return r.agg(F.avg(score).alias("silhouette"))

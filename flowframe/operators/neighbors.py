@@ -1,5 +1,4 @@
-"""Exact nearest neighbours and density clustering (K8, K12, D12), and iterative
-imputation (D13).
+"""Exact nearest neighbours and density clustering.
 
 Neighbours: every row goes to a near one of a bounded sample of pivots; the rows of a pivot
 lie in a ball around it and are packed on the executors into blocks of bounded size.
@@ -19,7 +18,6 @@ decide, so two dense cells never make all pairs of their rows.
 from __future__ import annotations
 
 import math
-import warnings
 from itertools import product
 from typing import Sequence
 
@@ -30,6 +28,7 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
 from flowframe.operators.components import connected_components
+from flowframe.operators.iterative import iterative_impute  # noqa: F401 (D13, offered here too)
 from flowframe.session import checkpoint
 
 #: Bytes of coordinates in a block, and cells of a slice of distances.
@@ -272,45 +271,6 @@ def knn_impute(df: DataFrame, id_col: str, cols: Sequence[str], target: str, k:
     return out.withColumn(target, F.coalesce(F.col(target), F.col("_fill"), mean)).drop("_fill")
 
 
-def iterative_impute(df: DataFrame, id_col: str, cols: Sequence[str], max_iter: int = 10,
-                     tol: float = 1e-3, reg: float = 0.0) -> DataFrame:
-    """``IterativeImputer``: start from column means, then in ascending order
-    of missing count regress each incomplete column on all the others (rows where
-    it is observed) and predict its missing cells; repeat up to ``max_iter``
-    rounds until the largest change is below ``tol`` times the largest absolute
-    value.  Each round is checkpointed to the shared checkpoint folder, which
-    also cuts the lineage of the loop.  Stopping at ``max_iter`` without
-    convergence warns, as the library does."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    cols = list(cols)
-    miss = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]).first()
-    todo = sorted([c for c in cols if miss[c]], key=lambda c: (miss[c], c))
-    if not todo:
-        return df
-    d = df.withColumns({f"_obs_{c}": F.col(c).isNotNull() for c in todo})
-    means = df.agg(*[F.avg(c).alias(c) for c in todo]).first()
-    d = checkpoint(d.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c]))) for c in todo}))
-    scale = max([abs(v) for v in df.agg(*[F.max(F.abs(c)) for c in cols]).first() if v is not None] or [1.0])
-    for _ in range(max_iter):
-        prev = d
-        for c in todo:
-            others = [o for o in cols if o != c]
-            a = VectorAssembler(inputCols=others, outputCol="_f").transform(d)
-            m = LinearRegression(featuresCol="_f", labelCol=c, regParam=reg, solver="normal").fit(
-                a.where(F.col(f"_obs_{c}")))
-            d = m.transform(a).withColumn(c, F.when(F.col(f"_obs_{c}"), F.col(c)).otherwise(F.col("prediction"))) \
-                 .drop("_f", "prediction")
-        d = checkpoint(d)
-        j = prev.select(id_col, *[F.col(c).alias(f"_p_{c}") for c in todo]).join(d.select(id_col, *todo), id_col)
-        change = j.agg(F.greatest(F.lit(0.0), *[F.max(F.abs(F.col(c) - F.col(f"_p_{c}"))) for c in todo])).first()[0]
-        if (change or 0.0) < tol * scale:
-            break
-    else:
-        warnings.warn(f"iterative_impute: no convergence after {max_iter} rounds", RuntimeWarning, stacklevel=2)
-    return d.drop(*[f"_obs_{c}" for c in todo])
-
-
 # ---------------------------------------------------------------- K12 density clustering
 
 def _square(a: str, b: str) -> Column:

@@ -317,3 +317,14 @@ SELECT ROUND(AVG(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / GREATEST(a, b) END),
 def m07(spark, sf):
     s = M.silhouette_sq(T(spark, sf, "embeddings"), "vec_id", "embedding", "label")
     return s.select(rnd("silhouette", 6).alias("silhouette"))
+
+
+@query("m07_silhouette_euclidean", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, list_distance(a.x, b.x) AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+m AS (SELECT vec_id, la, lb, AVG(d) AS md FROM d GROUP BY 1, 2, 3),
+s AS (SELECT vec_id, MAX(CASE WHEN la = lb THEN md END) AS a, MIN(CASE WHEN la <> lb THEN md END) AS b FROM m GROUP BY 1)
+SELECT ROUND(AVG(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / GREATEST(a, b) END), 6) AS silhouette FROM s""", "T")
+def m07e(spark, sf):
+    s = M.silhouette(T(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    return s.select(rnd("silhouette", 6).alias("silhouette"))

@@ -22,6 +22,32 @@ def u01(spark, sf):
     return W.group_zscore(e, ["user_id"], "value").select("event_id", "user_id", rnd("value_z", 6).alias("value_z"))
 
 
+@query("u01_group_transform_fold", f"""SELECT event_id, user_id,
+  ROUND((value - AVG(value) OVER (PARTITION BY user_id)) / STDDEV_SAMP(value) OVER (PARTITION BY user_id), 6) AS value_z
+FROM {EVENTS_NULLS}""", "T")
+def u01f(spark, sf):
+    """The same by an opaque function in parts: count, mean and squared gaps of each batch, merged."""
+    def update(state, rows):
+        v = rows["value"].dropna()
+        return merge(state, (len(v), v.mean(), ((v - v.mean()) ** 2).sum())) if len(v) else state
+
+    def merge(a, b):
+        n = a[0] + b[0]
+        if not a[0] or not b[0]:
+            return a if a[0] else b
+        gap = b[1] - a[1]
+        return n, a[1] + gap * b[0] / n, a[2] + b[2] + gap * gap * a[0] * b[0] / n
+
+    def finish(state):
+        n, mean, gaps = state
+        return {"_m": mean if n else None, "_s": (gaps / (n - 1)) ** 0.5 if n > 1 else None}
+
+    e = events_with_nulls(spark, sf).select("event_id", "user_id", "value")
+    stats = G.group_fold(e, ["user_id"], lambda: (0, 0.0, 0.0), update, merge, finish, "_m double, _s double")
+    z = F.try_divide(F.col("value") - F.col("_m"), F.col("_s"))
+    return stats.select("event_id", "user_id", rnd(z, 6).alias("value_z"))
+
+
 @query("u02_group_filter_pandas", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN
   (SELECT o_custkey FROM orders GROUP BY 1 HAVING COUNT(*) >= 15)""")
 def u02(spark, sf):
