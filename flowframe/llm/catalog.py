@@ -64,8 +64,7 @@ def judged(scored: DataFrame, folds: tuple[int, int]) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    net = toxicity.train(docs, learnable(table(spark, sf_dir, "labels"), TOXIC_FOLD))
-    return judged(toxicity.score(docs, net), TOXIC_FOLD)
+    return judged(toxicity.train_and_score(docs, learnable(table(spark, sf_dir, "labels"), TOXIC_FOLD)), TOXIC_FOLD)
 
 
 @query

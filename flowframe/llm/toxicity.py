@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import map_text
+from flowframe.llm.common import map_text, stored
 from flowframe.llm.quality import sample, sampled_ids
 
 SAMPLE = 2500
@@ -312,34 +312,63 @@ def fit(texts: list[str], labels: np.ndarray, others: Callable[[Net], np.ndarray
     return net
 
 
+def graded_documents(documents: DataFrame, net: Net, doc_id: str, text: str) -> DataFrame:
+    """(__id, lang, raw) of every document: language number and uncalibrated score; texts stay where they are."""
+    shared = documents.sparkSession.sparkContext.broadcast(net)  # a table of BUCKETS x DIMS floats: 2 MB
+
+    def step(scorer: Scorer, part: pa.Array) -> list[pa.Array]:
+        words, offsets, names = texts_to_words(part)
+        return [pa.array(language_counts(words, offsets, names)), pa.array(scorer.raw(words, offsets, names).astype(np.float64))]
+
+    rows = documents.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text"))
+    return map_text(rows, "text", "lang bigint, raw double", step, lambda: Scorer(shared.value)).select("__id", "lang", "raw")
+
+
+def counted(scored: DataFrame, labels: DataFrame, column: str, doc_id: str, most: int) -> np.ndarray:
+    """Counts (language, label, grade) of the labelled documents outside the sample."""
+    known = labels.select(F.col(doc_id).alias("__id"), F.col(column).cast("int").alias("label")).where("__id is not null and label in (0, 1)")
+    left = known.join(F.broadcast(sampled_ids(labels, column, doc_id, most)), "__id", "left_anti")  # 2 * most ids
+    rows = scored.select("__id", "lang", F.rint(F.col("raw") * GRADES).cast("bigint").alias("grade")).join(left, "__id")
+    out = np.zeros((len(LANGUAGES), 2, GRADES + 1), np.int64)
+    for r in rows.groupBy("lang", "label", "grade").count().toLocalIterator():  # at most languages x 2 x grades rows
+        out[r["lang"], r["label"], r["grade"]] = r["count"]
+    return out
+
+
+def _fitted(documents: DataFrame, labels: DataFrame, column: str, doc_id: str, text: str, most: int,
+            others: Callable[[Net], np.ndarray]) -> Net:
+    rows = sample(documents, labels, column, doc_id, text, most).toPandas()
+    rows = rows.assign(text=rows["text"].fillna("")).sort_values(["text", "label"])
+    return fit(rows["text"].tolist(), rows["label"].to_numpy(np.int64), others)
+
+
 def train(documents: DataFrame, labels: DataFrame, column: str = "toxic", doc_id: str = "doc_id",
           text: str = "text", most: int = SAMPLE) -> Net:
     """Fit the classifier on ``documents`` that have a row in ``labels``."""
-    rows = sample(documents, labels, column, doc_id, text, most).toPandas()
-    rows = rows.assign(text=rows["text"].fillna("")).sort_values(["text", "label"])
+    return _fitted(documents, labels, column, doc_id, text, most,
+                   lambda net: counted(graded_documents(documents, net, doc_id, text), labels, column, doc_id, most))
+
+
+def train_and_score(documents: DataFrame, labels: DataFrame, column: str = "toxic", doc_id: str = "doc_id",
+                    text: str = "text", out: str = "score", most: int = SAMPLE) -> DataFrame:
+    """(``doc_id``, ``out``) of every row of ``documents`` by a classifier fitted on those with a label:
+    :func:`train` and :func:`score` with one pass over the texts for calibration and result."""
+    scored: list[DataFrame] = []
 
     def others(net: Net) -> np.ndarray:
-        """Counts of the labelled documents outside the sample."""
-        shared = documents.sparkSession.sparkContext.broadcast(net)
-        known = labels.select(F.col(doc_id).alias("__id"), F.col(column).cast("int").alias("label")).where("__id is not null and label in (0, 1)")
-        left = known.join(F.broadcast(sampled_ids(labels, column, doc_id, most)), "__id", "left_anti")  # 2 * most ids
-        texts = documents.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text")).join(left, "__id").select("text", "label")
-
-        def step(scorer: Scorer, part: pa.Array) -> list[pa.Array]:
-            langs, grades = graded(scorer, part)
-            return [pa.array(langs), pa.array(grades)]
-
-        scored = map_text(texts, "text", "lang bigint, grade bigint", step, lambda: Scorer(shared.value))
-        out = np.zeros((len(LANGUAGES), 2, GRADES + 1), np.int64)
-        for r in scored.groupBy("lang", "label", "grade").count().toLocalIterator():  # at most languages x 2 x grades rows
-            out[r["lang"], r["label"], r["grade"]] = r["count"]
-        return out
+        scored.append(stored(graded_documents(documents, net, doc_id, text)))
+        return counted(scored[0], labels, column, doc_id, most)
 
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(np.int64), others)
+    net = _fitted(documents, labels, column, doc_id, text, most, others)
+    if not net.trained:
+        return documents.select(F.col(f"`{doc_id}`").alias(doc_id), F.lit(0.0).alias(out))
+    raw, cut = F.col("raw"), F.element_at(F.array(*[F.lit(net.cuts[x]) for x in LANGUAGES]), (F.col("lang") + 1).cast("int"))
+    value = F.when(raw < cut, raw / cut * TOXIC).otherwise(TOXIC + (raw - cut) / (1 - cut) * (1 - TOXIC))
+    return scored[0].select(F.col("__id").alias(doc_id), value.alias(out))
 
 
 def score(documents: DataFrame, net: Net, text: str = "text", out: str = "score") -> DataFrame:
     """``documents`` with the toxicity of each whole text, 0 to 1."""
-    shared = documents.sparkSession.sparkContext.broadcast(net)  # a table of BUCKETS x DIMS floats: 2 MB
+    shared = documents.sparkSession.sparkContext.broadcast(net)
     return map_text(documents, text, f"`{out}` double", lambda scorer, texts: [pa.array(scorer.scores(texts))],
                     lambda: Scorer(shared.value))

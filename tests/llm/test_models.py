@@ -151,6 +151,9 @@ def test_documents_outside_the_sample_calibrate_too(llm):
     net = toxicity.train(docs, labels, most=40)
     got = toxicity.score(docs, net).toPandas()
     assert auc(got["score"].to_numpy(), (got["doc_id"] % 4 == 0).astype(int).to_numpy()) > 0.95
+    both = toxicity.train_and_score(docs, labels, most=40).toPandas().set_index("doc_id")["score"]
+    assert np.allclose(both[got["doc_id"]].to_numpy(), got["score"].to_numpy())
+    assert {r["score"] for r in toxicity.train_and_score(docs, labels.where("toxic = 0")).collect()} == {0.0}
 
 
 def test_long_documents_are_chains_that_share_a_weight():
