@@ -13,8 +13,7 @@ from typing import Sequence
 
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 UnivariateFeatureSelector, VectorAssembler, VectorSlicer)
@@ -75,7 +74,7 @@ def coefficients(model, features: Sequence[str], name: str) -> DataFrame:
 
 def random_fourier(df: DataFrame, cols: Sequence[str], n_components: int = 100, gamma: float | None = None,
                    seed: int = 42, prefix: str = "rff", fit_on: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """K3/K7 re-aim of the RBF kernel: random Fourier features
+    """RBF kernel features as columns for pipelines of Spark models (K17): random Fourier features
     ``sqrt(2/D) cos(w.x + b)`` with ``w ~ N(0, 2 gamma)`` (Rahimi & Recht 2007).
     ``gamma`` defaults to 1 / (d * var(X)) (the 'scale' rule); inputs are
     standardised first so the kernel width is comparable across columns, with the
@@ -99,18 +98,6 @@ def random_fourier(df: DataFrame, cols: Sequence[str], n_components: int = 100,
     return df.withColumns(exprs), names
 
 
-def rbf_regression(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                   n_components: int = 100, seed: int = 42) -> DataFrame:
-    """K3: kernel regression on random Fourier features with a robust (Huber)
-    linear fit in place of the epsilon-insensitive SVR loss."""
-    both = train.withColumn("_is_test", F.lit(False)).unionByName(test.withColumn("_is_test", F.lit(True)))
-    both, names = random_fourier(both, features, n_components, seed=seed, fit_on=train)
-    tr = assemble(both.where(~F.col("_is_test")), names)
-    te = assemble(both.where(F.col("_is_test")), names)
-    m = LinearRegression(labelCol=label, loss="huber", regParam=1e-3, maxIter=200).fit(tr)
-    return m.transform(te).drop(FEATURES, "_is_test", *names)
-
-
 # ---------------------------------------------------------------- K4, K5 trees
 
 def random_forest_regressor(n_estimators: int = 100, max_depth: int | None = None, seed: int = 42,
@@ -138,24 +125,6 @@ def logistic_regression(n: int, C: float = 1.0, label: str = "label") -> Logisti
                               maxIter=1000, tol=1e-9)
 
 
-def rbf_classifier(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                   n_components: int = 100, seed: int = 42) -> DataFrame:
-    """K7: ``SVC(kernel='rbf', probability=True)`` re-aimed: linear SVM on random
-    Fourier features, its margin calibrated to a probability by a one-feature
-    logistic fit (Platt scaling)."""
-    both = train.withColumn("_is_test", F.lit(False)).unionByName(test.withColumn("_is_test", F.lit(True)))
-    both, names = random_fourier(both, features, n_components, seed=seed, fit_on=train)
-    tr = assemble(both.where(~F.col("_is_test")), names)
-    te = assemble(both.where(F.col("_is_test")), names)
-    svm = LinearSVC(labelCol=label, regParam=1e-3).fit(tr)
-    margin = lambda d: svm.transform(d).withColumn("_m", vector_to_array("rawPrediction")[1])
-    cal = LogisticRegression(labelCol=label, featuresCol="_mv").fit(
-        assemble(margin(tr).drop(FEATURES, "rawPrediction", "prediction"), ["_m"], "_mv"))
-    out = cal.transform(assemble(margin(te).drop(FEATURES, "rawPrediction", "prediction"), ["_m"], "_mv"))
-    return out.withColumn("prob_1", vector_to_array("probability")[1]).drop(
-        "_mv", "_m", "rawPrediction", "probability", "_is_test", *names)
-
-
 def decision_tree(max_depth: int = 5, label: str = "label") -> DecisionTreeClassifier:
     """K9: ``DecisionTreeClassifier(max_depth=5)``."""
     return DecisionTreeClassifier(labelCol=label, maxDepth=max_depth, seed=42)
@@ -183,7 +152,8 @@ def kmeans(k: int = 3, seed: int = 42) -> KMeans:
 
 
 def hierarchical(k: int = 3, seed: int = 42) -> BisectingKMeans:
-    """K13 re-aim: divisive bisecting k-means in place of agglomerative Ward."""
+    """Divisive clustering by bisecting k-means, for tables beyond the square cost of K13's
+    :func:`flowframe.operators.agglomerate.agglomerate`."""
     return BisectingKMeans(k=k, seed=seed)
 
 
@@ -208,7 +178,7 @@ class PopulationScaler(Estimator):
 
 
 class FourierFeatures(Estimator):
-    """K3 features of a vector column as a pipeline stage, scaled on the rows it is fitted on."""
+    """RBF features of a vector column as a pipeline stage, scaled on the rows it is fitted on."""
 
     def __init__(self, features: Sequence[str], outputCol: str, n_components: int = 100, seed: int = 42):
         super().__init__()

@@ -16,10 +16,12 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from flowframe.operators import agglomerate as AG
 from flowframe.operators import boosting as B
 from flowframe.operators import explain as X
 from flowframe.operators import features as J
 from flowframe.operators import forecast as FC
+from flowframe.operators import kernels as KM
 from flowframe.operators import models as K
 from flowframe.operators import neighbors as NB
 from flowframe.operators import split as SP
@@ -72,7 +74,7 @@ def k02(spark, sf):
 @query("k03_rbf_kernel_regression")
 def k03(spark, sf):
     tr, te = _split(spark, sf)
-    return _pred(K.rbf_regression(tr, te, FEATS, "revenue"))
+    return _pred(KM.rbf_regression(tr, te, FEATS, "revenue", C=1.0, epsilon=0.1))
 
 
 @query("k04_random_forest_regression")
@@ -128,7 +130,7 @@ def k06(spark, sf):
 @query("k07_rbf_kernel_classifier_proba")
 def k07(spark, sf):
     tr, te = _split(spark, sf)
-    out = K.rbf_classifier(tr, te, FEATS, "surge")
+    out = KM.rbf_classifier(tr, te, FEATS, "surge")
     return out.select(F.col("date").cast("timestamp_ntz").alias("date"), "surge", "prob_1")
 
 
@@ -178,6 +180,29 @@ def k13(spark, sf):
     return K.hierarchical(3).fit(e).transform(e).select("vec_id", "label", F.col("prediction").alias("cluster"))
 
 
+@query("k13_agglomerative_3")
+def k13a(spark, sf):
+    """Ward linkage; its square cost is that of distinct vectors."""
+    e = T(spark, sf, "embeddings")
+    return AG.agglomerate(e, "vec_id", k=3, vector="embedding").join(e.select("vec_id", "label"), "vec_id").select("vec_id", "label", "cluster")
+
+
+@query("k13_agglomerative_1d", """
+WITH RECURSIVE p AS (SELECT DISTINCT s_nationkey AS x, COUNT(*) AS n FROM supplier GROUP BY 1),
+c AS (SELECT 0 AS step, list({'a': x, 'b': x, 'n': n, 's': (n * x)::DOUBLE} ORDER BY x) AS g FROM p
+  UNION ALL
+  SELECT step + 1, list_concat(list_concat(g[:m - 1], [{'a': g[m].a, 'b': g[m + 1].b, 'n': g[m].n + g[m + 1].n, 's': g[m].s + g[m + 1].s}]), g[m + 2:])
+  FROM (SELECT step, g, list_position(d, list_min(d)) AS m FROM (SELECT step, g,
+      list_transform(range(1, len(g)), lambda i: g[i].n * g[i + 1].n / (g[i].n + g[i + 1].n) * POW(g[i].s / g[i].n - g[i + 1].s / g[i + 1].n, 2)) AS d
+    FROM c WHERE len(g) > 3))),
+last AS (SELECT unnest(g) AS k FROM c ORDER BY step DESC LIMIT 3),
+named AS (SELECT s_suppkey, k.a, MIN(s_suppkey) OVER (PARTITION BY k.a) AS first FROM supplier JOIN last ON s_nationkey BETWEEN k.a AND k.b)
+SELECT s_suppkey, CAST(DENSE_RANK() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster FROM named""")
+def k13o(spark, sf):
+    """On a line, clusters are stretches, so SQL can follow the merges of neighbours."""
+    return AG.agglomerate(T(spark, sf, "supplier"), "s_suppkey", ["s_nationkey"], 3)
+
+
 def _k14_sql() -> str:
     hot = ", ".join(f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEGMENTS)
     return f"""SELECT c_custkey, [ROUND((c_acctbal - AVG(c_acctbal) OVER ()) / STDDEV_POP(c_acctbal) OVER (), 6),

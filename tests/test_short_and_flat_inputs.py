@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import explain as X
 from flowframe.operators import forecast as FC
+from flowframe.operators import kernels as KM
 from flowframe.operators import metrics as M
 from flowframe.operators import models as K
 from flowframe.operators import tuning as TU
@@ -65,9 +66,9 @@ def test_kernel_scaling_does_not_look_at_test_rows(spark):
     rows = [(float(i), float(i % 7), float(i * 2 + i % 7)) for i in range(60)]
     train = spark.createDataFrame(rows[:40], "a double, b double, y double")
     test = spark.createDataFrame(rows[40:], "a double, b double, y double")
-    first = K.rbf_regression(train, test, ["a", "b"], "y", 20).where("a = 41").first()["prediction"]
+    first = KM.rbf_regression(train, test, ["a", "b"], "y", landmarks=20).where("a = 41").first()["prediction"]
     shifted = test.unionByName(spark.createDataFrame([(1e6, 1e6, 0.0)], "a double, b double, y double"))
-    again = K.rbf_regression(train, shifted, ["a", "b"], "y", 20).where("a = 41").first()["prediction"]
+    again = KM.rbf_regression(train, shifted, ["a", "b"], "y", landmarks=20).where("a = 41").first()["prediction"]
     assert first == pytest.approx(again)
 
 
