@@ -9,9 +9,9 @@ not look like many).  A logistic layer makes the score.
 At scoring time a filter's response to a word depends on the word alone, so every
 distinct word is projected once and positions only gather and add.
 
-Thresholds are calibrated by language on all labelled documents: those outside the training
-sample are scored by the net in Spark and counted by language, label and rounded score;
-those of the sample are scored by nets trained without them (``FOLDS`` folds of equal texts).
+Thresholds are calibrated by language on all labelled documents that the net did not learn from:
+those outside the sample are scored in Spark and counted by language, label and rounded score;
+every ``ASIDE``-th of the sample is left out of training for it.
 The language is read off the text (function words; a text without any is a language of its
 own), never from a column.  Every language has its own threshold: its counts are smoothed
 with ``PRIOR`` documents of each class that are spread like those of all languages.  It is mapped
@@ -22,9 +22,9 @@ texts; scoring takes whole texts of any length.
 
 Defined results: null and empty texts have no word and score 0; repeated rows each get
 their score; rows without a label, or with a null one, are not learned from; without
-labels, or with only one class, every text scores 0 and ``Net.trained`` is false; if a fold
-lacks a class, the sample is calibrated by the net it trained; an empty table gives an empty
-result; further columns are kept.
+labels, or with only one class, every text scores 0 and ``Net.trained`` is false; if calibration
+lacks a class, the learned texts count there too; an empty table gives an empty result;
+further columns are kept.
 """
 
 from __future__ import annotations
@@ -53,9 +53,9 @@ PREFIXES = (3, 4, 5, 6, 7)
 STRETCH = 32
 #: Stretches whose positions are in memory together.
 BLOCK = 1024
-#: Folds of the sample for calibration, documents of each class that smooth a language's
+#: Part of the sample that calibration uses, documents of each class that smooth a language's
 #: counts, and the steps of rounded scores.
-FOLDS = 2
+ASIDE = 4
 PRIOR = 20.0
 GRADES = 1000
 #: Calibration weighs clean documents kept this many times as much as toxic ones caught.
@@ -295,19 +295,24 @@ def calibrate(net: Net, counts: np.ndarray) -> None:
 
 
 def fit(texts: list[str], labels: np.ndarray, others: Callable[[Net], np.ndarray] | None = None) -> Net:
-    """Train on all texts; calibrate on their scores by nets of the other folds and on the counts
-    that ``others`` gives of further labelled documents scored by the net."""
+    """Train on most texts; calibrate on the scores of the rest (every ``ASIDE``-th by a hash of the whole
+    text, so equal texts stay together) and on the counts that ``others`` gives of further
+    labelled documents scored by the net.  If these lack a class, the texts learned from count too."""
     if len(set(labels.tolist())) < 2:
         return Net(np.zeros((1, DIMS)), np.zeros((DIMS, 1)), np.zeros(1), np.zeros(1), trained=False)
-    net = train_net(*texts_to_words(pa.array(texts, pa.string())), labels)
-    fold = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts])  # equal texts fall in one fold
+    aside = np.array([zlib.crc32(t.encode()) % ASIDE == 0 for t in texts])
+    if len(set(labels[~aside].tolist())) < 2:
+        aside[:] = False
+    net = train_net(*texts_to_words(pa.array([t for t, a in zip(texts, aside) if not a], pa.string())), labels[~aside])
     counts = others(net) if others else np.zeros((len(LANGUAGES), 2, GRADES + 1), np.int64)
-    whole = all(len(set(labels[fold != k].tolist())) == 2 for k in range(FOLDS))
-    for k in range(FOLDS) if whole else [None]:
-        learn, check = (fold != k, fold == k) if whole else (None, np.ones(len(texts), bool))
-        own = train_net(*texts_to_words(pa.array([t for t, x in zip(texts, learn) if x], pa.string())), labels[learn]) if whole else net
-        langs, grades = graded(Scorer(own), pa.array([t for t, x in zip(texts, check) if x], pa.string()))
-        np.add.at(counts, (langs, labels[check], grades), 1)
+
+    def add(some: np.ndarray) -> None:
+        langs, grades = graded(Scorer(net), pa.array([t for t, x in zip(texts, some) if x], pa.string()))
+        np.add.at(counts, (langs, labels[some], grades), 1)
+
+    add(aside)
+    if not counts.sum(axis=(0, 2)).all():
+        add(~aside)
     calibrate(net, counts)
     return net
 
