@@ -14,7 +14,7 @@ key holds a large share of the rows.  The helpers here keep every task bounded:
     table with one row per ``(keys, block)``) gives the position.
 
 ``with_halo`` / ``segment_window``
-    bounded row frames (lag, lead, rolling n rows, EWM).  Rows are cut into
+    bounded row frames (lag, lead, rolling n rows).  Rows are cut into
     segments of ``B`` positions; the last ``before`` rows of a segment are copied
     into the next one (and the first ``after`` rows into the previous one) as a
     halo, the window runs per ``(keys, segment)``, halo rows are dropped.
