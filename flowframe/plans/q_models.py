@@ -155,6 +155,42 @@ def k09(spark, sf):
     return _proba(m.transform(K.assemble(te, FEATS)))
 
 
+# A tree of one split over two features, by search over all splits for the least impurity.
+STUMP_SQL = """
+WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS a, l_discount AS b,
+  CASE WHEN l_quantity * (1 - l_discount) > 30 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y FROM lineitem),
+c AS (SELECT DISTINCT 0 AS f, a AS t FROM d UNION ALL SELECT DISTINCT 1, b FROM d),
+g AS (SELECT f, t, COUNT(*) AS n, SUM(y) AS s, COUNT(*) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS nl,
+  SUM(y) FILTER (CASE f WHEN 0 THEN a ELSE b END <= t) AS sl FROM d, c GROUP BY f, t),
+best AS (SELECT f, t, sl / nl AS l, (s - sl) / (n - nl) AS r FROM g WHERE nl > 0 AND nl < n
+  ORDER BY (sl * sl + POW(nl - sl, 2)) / nl + (POW(s - sl, 2) + POW(n - nl - s + sl, 2)) / (n - nl) DESC LIMIT 1),
+p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y, CASE WHEN CASE f WHEN 0 THEN a ELSE b END <= t THEN l ELSE r END AS p FROM d, best)
+"""
+
+
+def _stump(spark, sf):
+    li = T(spark, sf, "lineitem").withColumn("many", (F.col("l_quantity") * (1 - F.col("l_discount")) > 30).cast("double"))
+    tree = K.decision_tree(1, label="many").setMaxBins(64)
+    return li, Pipeline(stages=[K.VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features"), tree]).fit(li)
+
+
+@query("k09_decision_tree_stump", STUMP_SQL + """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ROUND(p, 6) AS prob_1,
+  CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred FROM p""", "T")
+def k09s(spark, sf):
+    li, model = _stump(spark, sf)
+    return model.transform(li).select(*LINE, rnd(vector_to_array("probability")[1], 6).alias("prob_1"), F.col("prediction").cast("int").alias("pred"))
+
+
+@query("m04_reloaded_classifier_score", STUMP_SQL + """SELECT ROUND(AVG(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
+  COUNT(*) AS n FROM p""", "T")
+def m04(spark, sf):
+    """``joblib.load(path).score(X, y)``: the accuracy of a pipeline that was saved and read again."""
+    li, model = _stump(spark, sf)
+    scored = K.save_load(model, io.scratch_path(spark, "m04")).transform(li)
+    hit = (F.col("many") == F.col("prediction")).cast("double")
+    return scored.agg(rnd(F.avg(hit), 9).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
 @query("k10_random_forest_balanced")
 def k10(spark, sf):
     tr, te = _split(spark, sf)
