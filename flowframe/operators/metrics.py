@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.operators import order as O
+from flowframe.operators import tiles as TL
 from flowframe.operators.order import as_list, join_on_keys
 from flowframe.session import checkpoint
 
@@ -137,63 +138,102 @@ def silhouette_sq(df: DataFrame, id_col: str, vec: str, cluster: str) -> DataFra
     return r.agg(F.avg(sil).alias("silhouette"))
 
 
-#: Rows in one block of the Euclidean silhouette, and cells of a slice of distances.
-TILE_ROWS = 4096
-SLICE_CELLS = 1 << 21
+#: Numbers in one tile's sums by cluster and in a piece of them, and the share of the squared
+#: norms below which a squared distance is taken from the differences.
+SUM_CELLS = 1 << 22
+PIECE_CELLS = 1 << 17
+NEAR = 1e-6
 
 
-def silhouette(df: DataFrame, id_col: str, vec: str, cluster: str, tile_rows: int = TILE_ROWS) -> DataFrame:
+def silhouette(df: DataFrame, id_col: str, vec: str, cluster: str, tile_rows: int = TL.TILE_ROWS) -> DataFrame:
     """M7: ``silhouette_score(X, labels)``, Euclidean and exact.
 
-    Every distance is needed, so the cost grows with the square of the rows: tiles of
-    ``tile_rows`` rows meet in pairs, and a pair of tiles gives, for each row of the first, its
-    sum of distances to the rows of each cluster in the second - one array a row, never a
-    row per pair - which are summed per row.  ``a`` excludes the row itself; a row of a
+    Every distance is needed, so the cost grows with the square of the rows: tiles of at most
+    ``tile_rows`` rows meet in pairs, each pair once, and a pair gives, for each row of either tile, its
+    sum of distances to the rows of each cluster in the other - one block of numbers per piece of
+    a tile, never a row per pair - which are summed per piece.  Distances come from matrix products; where two
+    rows are so near that a product would round, from the differences.  Equal rows of a
+    cluster meet once, with their number.  ``a`` excludes the row itself; a row of a
     singleton cluster scores 0, as does one with a = b = 0; rows whose vector or cluster is NULL take no part;
     of vectors of different lengths only those of the greatest do.  Use
     :func:`silhouette_sq` where the square is too much.
     """
-    x = F.col(vec).cast("array<double>")
-    rows = df.select(F.col(id_col).alias("_id"), F.col(cluster).alias("_c"), x.alias("_x")).where("_c is not null and _x is not null")
-    dims, n = rows.agg(F.max(F.size("_x")), F.count(F.lit(1))).first()
-    rows = rows.where(F.size("_x") == (dims or 0))
+    # single precision stays so until a task reads it
+    single = df.schema[vec].dataType.simpleString() == "array<float>"
+    kind = "float32" if single else "float64"
+    x = F.col(vec) if single else F.col(vec).cast("array<double>")
+    rows = df.select(F.col(cluster).alias("_c"), x.alias("_x")).where("_c is not null and _x is not null")
+    dims = rows.agg(F.max(F.size("_x"))).first()[0] or 0
+    points = rows.where(F.size("_x") == dims).groupBy("_c", "_x").agg(F.count(F.lit(1)).cast("double").alias("_w"))
+    points = checkpoint(points.withColumn("_row", F.monotonically_increasing_id()))
     # clusters are numbered; k of them
-    sizes = checkpoint(rows.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")))
-    numbered = checkpoint(sizes.withColumn("_k", F.row_number().over(Window.orderBy("_c")) - 1))
-    k = numbered.count()
-    tiles = max(1, -(-n // tile_rows))
-    placed = join_on_keys(rows, numbered, ["_c"]).withColumn("_row", F.monotonically_increasing_id())
-    placed = checkpoint(placed.withColumn("_tile", F.pmod(F.xxhash64("_row"), F.lit(tiles)).cast("long")))
+    numbered = checkpoint(points.select("_c").distinct().withColumn("_k", F.row_number().over(Window.orderBy("_c")) - 1))
+    n, k = points.count(), numbered.count()
+    most = TL.rows_per_tile(n, dims, tile_rows)
+    tiles = TL.tiles_of(n, min(most, max(256, SUM_CELLS // max(1, k))))
+    piece_rows = max(16, min(1024, PIECE_CELLS // max(1, k)))
+    placed = join_on_keys(points, numbered, ["_c"]).select(
+        "_k", "_x", "_w", F.pmod(F.xxhash64("_row"), F.lit(tiles)).cast("long").alias("_tile"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.array(pdf["_x"].tolist(), dtype="float64").reshape(len(pdf), -1)
-        return pd.DataFrame({"tile": [int(pdf["_tile"].iloc[0])], "rows": [pdf["_row"].tolist()], "ks": [pdf["_k"].tolist()], "xs": [v.tobytes()]})
-
-    packed = checkpoint(placed.select("_tile", "_row", "_k", "_x").groupBy("_tile").applyInPandas(
-        pack, "tile long, rows array<long>, ks array<int>, xs binary"))
-    left = packed.select(F.col("rows").alias("l_rows"), F.col("xs").alias("l_xs"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("tile"))
-    pairs = left.join(packed, "tile").select("l_rows", "l_xs", "ks", "xs")
+        return pd.DataFrame({"tile": [int(pdf["_tile"].iloc[0])], "ks": [pdf["_k"].tolist()], "ws": [pdf["_w"].tolist()],
+                             "xs": [TL.matrix(pdf["_x"], kind).tobytes()]})
+
+    packed = checkpoint(placed.groupBy("_tile").applyInPandas(pack, "tile long, ks array<int>, ws array<double>, xs binary"))
+    left, right = (packed.select(F.col("tile").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("ks", "ws", "xs")]) for side in "lr")
+
+    def weights(ks: np.ndarray, ws: np.ndarray) -> np.ndarray:
+        hot = np.zeros((len(ks), k))
+        hot[np.arange(len(ks)), ks] = ws
+        return hot
+
+    def pieces(tile: int, total: np.ndarray, sizes: np.ndarray, ks: np.ndarray | None, ws: np.ndarray | None) -> pd.DataFrame:
+        """Sums of a tile against another one in pieces, the other's cluster sizes as their last line; a tile
+        against itself brings its rows' clusters and numbers."""
+        cuts = range(0, len(total), piece_rows)
+        return pd.DataFrame({"tile": tile, "piece": [at // piece_rows for at in cuts],
+                             "sums": [np.vstack([total[at:at + piece_rows], sizes]).tobytes() for at in cuts],
+                             "ks": [None if ks is None else ks[at:at + piece_rows].tolist() for at in cuts],
+                             "ws": [None if ws is None else ws[at:at + piece_rows].tolist() for at in cuts]})
 
     def sums(batches):
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                a, b = (np.frombuffer(v).reshape(-1, dims) for v in (r.l_xs, r.xs))
-                hot = np.zeros((len(b), k))
-                hot[np.arange(len(b)), np.asarray(r.ks)] = 1.0
-                step = max(1, SLICE_CELLS // max(1, len(b) * dims))
-                total = np.empty((len(a), k))
+            for t in pdf.itertuples(index=False):
+                a, b = (np.frombuffer(v, kind).reshape(-1, dims).astype("float64") for v in (t.l_xs, t.r_xs))
+                (ak, bk), (aw, bw) = (np.asarray(t.l_ks), np.asarray(t.r_ks)), (np.asarray(t.l_ws), np.asarray(t.r_ws))
+                hot_a, hot_b = weights(ak, aw), weights(bk, bw)
+                one, two, p, q = TL.augmented(a, b)
+                total, back = np.empty((len(a), k)), np.zeros((len(b), k))
+                step = max(1, TL.SLICE_CELLS // len(b))
                 for at in range(0, len(a), step):
-                    gap = a[at:at + step, None, :] - b
-                    total[at:at + step] = np.sqrt((gap * gap).sum(axis=2)) @ hot
-                yield pd.DataFrame({"_row": r.l_rows, "_sums": total.tolist()})
-
-    part = pairs.mapInPandas(sums, "_row long, _sums array<double>")
-    total = part.select("_row", F.posexplode("_sums").alias("_k2", "_s")).groupBy("_row", "_k2").agg(F.sum("_s").alias("_s"))
-    other = numbered.select(F.col("_k").alias("_k2"), F.col("_n").alias("_n2"))
-    each = total.join(placed.select("_row", "_k", "_n"), "_row").join(other, "_k2")
-    own = F.col("_k") == F.col("_k2")
-    r = each.groupBy("_row").agg(F.max(F.when(own & (F.col("_n") > 1), F.try_divide(F.col("_s"), F.col("_n") - 1))).alias("a"),
-                                 F.min(F.when(~own, F.col("_s") / F.col("_n2"))).alias("b"))
-    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return r.agg(F.avg(score).alias("silhouette"))
+                    d = one[at:at + step] @ two.T
+                    near = NEAR * (p[at:at + step] + q.max())
+                    few = np.flatnonzero(d.min(axis=1) < near)
+                    i, j = np.nonzero(d[few] < near[few, None])
+                    d[few[i], j] = TL.exact_squares(a, b, few[i] + at, j)
+                    np.sqrt(d, out=d)
+                    total[at:at + step] = d @ hot_b
+                    if t.l != t.r:
+                        back += (hot_a[at:at + step].T @ d).T
+                same = t.l == t.r
+                yield pieces(t.l, total, hot_b.sum(axis=0), ak if same else None, aw if same else None)
+                if not same:
+                    yield pieces(t.r, back, hot_a.sum(axis=0), None, None)
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(v).reshape(-1, k) for v in pdf["sums"])
+        total, sizes = total[:-1], total[-1]
+        own = pdf[pdf["ks"].notna()].iloc[0]
+        ks, ws, at = np.asarray(own["ks"], int), np.asarray(own["ws"]), np.arange(len(total))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            a = total[at, ks] / (sizes[ks] - 1)
+            mean = total / sizes
+            mean[at, ks] = np.inf
+            b = mean.min(axis=1)
+            s = (b - a) / np.maximum(a, b)
+        s = np.where((sizes[ks] > 1) & np.isfinite(b) & (np.maximum(a, b) > 0), s, 0.0)
+        return pd.DataFrame({"s": [float((s * ws).sum())], "n": [float(ws.sum())]})
+
+    parts = TL.tile_pairs(left, right, tiles, tiles, half=True).mapInPandas(sums, "tile long, piece int, sums binary, ks array<int>, ws array<double>")
+    scored = parts.groupBy("tile", "piece").applyInPandas(score, "s double, n double")
+    return scored.agg(F.try_divide(F.sum("s"), F.sum("n")).alias("silhouette"))

@@ -19,7 +19,7 @@ TILE_ROWS = 16384
 TILE_CELLS = 1 << 21
 LEAST_ROWS = 1024
 #: Cells of a slice of distances, and most tasks for the pairs.
-SLICE_CELLS = 1 << 18
+SLICE_CELLS = 1 << 20
 PAIR_TASKS = 2000
 
 

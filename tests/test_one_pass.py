@@ -132,6 +132,31 @@ def test_euclidean_silhouette_of_small_tiles(spark):
     assert M.silhouette(df.where("false"), "id", "v", "c").first()[0] is None
 
 
+def test_euclidean_silhouette_takes_each_pair_of_tiles_once(spark, monkeypatch):
+    made, tile_pairs = [], M.TL.tile_pairs
+
+    def counted(*args, **kw):
+        made.append((args[2], tile_pairs(*args, **kw)))
+        return made[-1][1]
+
+    monkeypatch.setattr(M.TL, "tile_pairs", counted)
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(0, 1, (40, 4)), 3, axis=0)
+    x[::3] += rng.normal(0, 1e-7, (40, 4))  # near copies, far from 0
+    x += 1e3
+    lab = rng.integers(0, 3, 120)
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
+    s = []
+    for i in range(120):
+        a = d[i][lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
+        b = min(d[i][lab == c].mean() for c in {0, 1, 2} - {lab[i]})
+        s.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, lab))], "id long, v array<double>, c int")
+    assert M.silhouette(df, "id", "v", "c", 20).first()[0] == pytest.approx(np.mean(s), abs=1e-9)
+    (tiles, pairs), = made
+    assert tiles > 3 and pairs.count() == tiles * (tiles + 1) // 2
+
+
 @pytest.mark.parametrize("pattern", [r"(?P<a>[a-z]+)(?P<d>\d)?", r"([a-z]+)(\d*)", r"(?:(x+)|(\d*y))", r"(?P<k>\w)=(\d+)?"])
 def test_groups_that_take_no_part_are_missing(spark, pattern):
     texts = ["ab1 c d22", "", "xx y 3y xy", "k=1 j= z=33", None, "é=5"]
