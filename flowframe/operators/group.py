@@ -7,10 +7,10 @@ NULL are dropped first, as pandas ``groupby(dropna=True)`` does (S2).
 
 from __future__ import annotations
 
-import functools
 import pickle
 from typing import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,6 +123,8 @@ def group_apply(df: DataFrame, keys, fn, schema: str) -> DataFrame:
 
 #: Groups whose states a task holds before it hands them on.
 HELD_GROUPS = 1 << 16
+#: A group with more than this share (1 / HOT_SHARE) of all rows is folded where its rows lie.
+HOT_SHARE = 64
 
 
 def group_fold(df: DataFrame, keys, init: Callable, update: Callable, merge: Callable, finish: Callable, schema: str,
@@ -131,7 +133,9 @@ def group_fold(df: DataFrame, keys, init: Callable, update: Callable, merge: Cal
 
     ``init()`` makes a state, ``update(state, rows)`` adds a pandas frame of a group's rows (a part of
     an Arrow batch), ``merge(a, b)`` joins two states and ``finish(state)`` gives the group's
-    values, a dict with the columns of ``schema``.  States (pickled) are folded within a task,
+    values, a dict with the columns of ``schema``.  A call costs far more than a row, so the rows of
+    a group are brought together first, and ``update`` is called once a group and batch; the
+    few hot groups have many rows in every batch and are folded in place.  States (pickled) are
     merged by key - one state a task, whatever the rows - and the values are joined back
     to the rows (``join``; else one row per group).  Groups of a NULL key are groups of their own.
     """
@@ -141,6 +145,9 @@ def group_fold(df: DataFrame, keys, init: Callable, update: Callable, merge: Cal
     out_schema = StructType([*fields.fields, *StructType.fromDDL(schema).fields])
     values = [f.name for f in StructType.fromDDL(schema).fields]
 
+    def key_of(row: tuple) -> tuple:
+        return tuple(None if pd.isna(v) else v for v in row)
+
     def rows_of(states: dict) -> pd.DataFrame:
         frame = pd.DataFrame(list(states), columns=keys, dtype=object)
         return frame.assign(_state=[pickle.dumps(s) for s in states.values()])
@@ -148,22 +155,48 @@ def group_fold(df: DataFrame, keys, init: Callable, update: Callable, merge: Cal
     def partial(batches):
         states: dict = {}
         for pdf in batches:
-            for _, part in pdf.groupby(keys, dropna=False, sort=False):
-                key = tuple(None if pd.isna(v) else v for v in part[keys].iloc[0])
-                states[key] = update(states[key] if key in states else init(), part)
+            code = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+            order = np.argsort(code, kind="stable")
+            pdf, starts = pdf.take(order), np.flatnonzero(np.diff(code[order], prepend=-1))
+            names = pdf[keys].iloc[starts].itertuples(index=False, name=None)
+            for key, at, end in zip(map(key_of, names), starts, [*starts[1:], len(pdf)]):
+                states[key] = update(states[key] if key in states else init(), pdf.iloc[at:end])
             if len(states) > HELD_GROUPS:
                 yield rows_of(states)
                 states = {}
         if states:
             yield rows_of(states)
 
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        state = functools.reduce(merge, map(pickle.loads, pdf["_state"]))
-        found = finish(state)
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, **{v: [found[v]] for v in values}})
+    def finished(done: list) -> pd.DataFrame:
+        frame = pd.DataFrame([k for k, _ in done], columns=keys, dtype=object)
+        return frame.assign(**{v: pd.Series([found[v] for _, found in done], dtype=object) for v in values})
 
-    states = df.mapInPandas(partial, state_schema)
-    groups = states.groupBy(*keys).applyInPandas(final, out_schema)
+    def final(batches):
+        """States in the order of their keys."""
+        held = None
+        for pdf in batches:
+            done = []
+            for *row, state in pdf[[*keys, "_state"]].itertuples(index=False, name=None):
+                key, state = key_of(row), pickle.loads(state)
+                if held and held[0] == key:
+                    held = key, merge(held[1], state)
+                else:
+                    if held:
+                        done.append((held[0], finish(held[1])))
+                    held = key, state
+            if done:
+                yield finished(done)
+        if held:
+            yield finished([(held[0], finish(held[1]))])
+
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # fewer than HOT_SHARE rows whatever the input
+    hot = sizes.where(F.col("_n") * HOT_SHARE > df.agg(F.count(F.lit(1))).scalar()).select(*keys, F.lit(True).alias("_hot"))
+    marked = join_on_keys(df, F.broadcast(hot), keys, "left")
+    cold = marked.where(F.col("_hot").isNull()).drop("_hot").repartition(*keys).sortWithinPartitions(*keys)
+    states = (marked.where("_hot").drop("_hot").mapInPandas(partial, state_schema)
+              .unionByName(cold.mapInPandas(partial, state_schema)))
+    groups = states.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(final, out_schema)
     return join_on_keys(df, groups, keys, "left") if join else groups
 
 

@@ -94,6 +94,17 @@ def test_a_hot_group_is_folded_in_many_tasks(spark):
     assert joined.columns == ["k", "x", "n", "mean", "tasks"] and joined.count() == 6000 and joined.where("n is null").count() == 0
 
 
+def test_a_group_of_scattered_rows_is_updated_once_a_batch(spark):
+    rows = spark.range(8000, numPartitions=8).select(F.when(F.col("id") % 200 > 0, F.col("id") % 200).alias("k"), F.col("id").alias("x"))
+    update = lambda s, pdf: (s[0] + len(pdf), s[1] + int(pdf["x"].sum()), s[2] + 1)
+    merge = lambda a, b: tuple(u + v for u, v in zip(a, b))
+    finish = lambda s: {"n": s[0], "total": s[1], "calls": s[2]}
+    got = G.group_fold(rows, ["k"], lambda: (0, 0, 0), update, merge, finish, "n bigint, total bigint, calls bigint", join=False).collect()
+    exp = {r["k"]: (r["n"], r["t"]) for r in rows.groupBy("k").agg(F.count("*").alias("n"), F.sum("x").alias("t")).collect()}
+    assert {r["k"]: (r["n"], r["total"]) for r in got} == exp and len(got) == 200
+    assert max(r["calls"] for r in got) <= 2
+
+
 def test_headers_are_read_in_one_job(spark, tmp_path):
     for i in range(60):
         head = "a,b" if i % 3 else "b,c,a"
