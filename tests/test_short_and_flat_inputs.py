@@ -109,6 +109,33 @@ def test_grid_search_for_a_classifier_pipeline(spark):
     assert all(r["accuracy"] == 1.0 for r in got.collect())
 
 
+def test_folds_of_a_grid_search_are_fitted_together(spark):
+    import threading
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from flowframe.operators import split as SP
+    meet, fits = threading.Barrier(3), []
+
+    class Meeting(LinearRegression):
+        def _fit(self, dataset):
+            fits.append(1)
+            if len(fits) <= 3:  # the three folds of the first setting wait for each other
+                meet.wait(60)
+            return super()._fit(dataset)
+
+    df = spark.createDataFrame([(i, float(i), float(i * 3 % 17 + i)) for i in range(90)], "id long, x double, y double")
+    got = TU.grid_search(df, ["id"], ["x"], "y", Meeting(labelCol="y"), {"regParam": [0.0, 5.0]})
+    plain = LinearRegression(labelCol="y")
+    maps = ParamGridBuilder().addGrid(plain.regParam, [0.0, 5.0]).build()
+    cv = CrossValidator(estimator=plain, estimatorParamMaps=maps, numFolds=3, foldCol="_fold", evaluator=RegressionEvaluator(labelCol="y"))
+    want = cv.fit(K.assemble(SP.kfold(df, ["id"], 3, 42, name="_fold"), ["x"])).avgMetrics
+    assert sorted(r["rmse"] for r in got.collect()) == pytest.approx(sorted(want))
+    assert len(fits) == 7  # six, and the best setting on all rows
+
+
 def test_columns_by_type(spark):
     from flowframe.operators import select as S
     df = spark.sql("SELECT 1 AS i, 2.5D AS d, true AS b, 'x' AS s, array(1) AS a, DATE'2024-01-01' AS t")
