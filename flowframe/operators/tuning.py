@@ -91,7 +91,7 @@ def grid_search(df: DataFrame, id_cols: Sequence[str], features: Sequence[str],
     begins the next; here the fits of all folds are concurrent Spark jobs (``parallelism``; else
     the cluster's cores, ``GRID_FITS`` at most), and the best setting is fitted to all rows at the end.
     ``estimator`` may be a pipeline ending in the model whose parameters the grid names.
-    Forests of a training set that fits a task are grown in tasks by the same rules, all
+    Forests of a training set that fits a task are grown in tasks by the same rules (with bootstrap draws of their own), all
     settings and folds in one job (:mod:`flowframe.operators.forest`).
     Output one row per setting: (setting, <metric>) sorted by the caller."""
     classify = metric in ("accuracy", "f1")
